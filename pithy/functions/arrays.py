@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are costly to compute and used more than once later.
+
+    Like `withColumns`, but through a one-row generator. The optimizer neither
+    pushes filters through it nor merges it with later projections, either of
+    which would repeat the expressions (it does both for chained Arrow UDFs and
+    for filters on computed columns).
+    """
+    kept = [c for c in df.columns if c not in columns]
+    made = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(made)))
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate an expression once and use it many times inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

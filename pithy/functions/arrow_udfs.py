@@ -26,16 +26,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(sys.modules[porter_stem.__module__])
 
 
-def _evaluated_once(udf):
-    """Keep the optimizer from merging this UDF's projection into those above it.
-
-    Spark collapses projections that chain Arrow UDFs, which would repeat the text
-    cleaning for every later use of its result; a nondeterministic producer is not
-    collapsed. The UDFs themselves are pure.
-    """
-    return udf.asNondeterministic()
-
-
 def nfkc(text: Column) -> Column:
     """Unicode NFKC, run by Arrow's own kernel."""
 
@@ -43,7 +33,7 @@ def nfkc(text: Column) -> Column:
     def normalise(batch: pa.Array) -> pa.Array:
         return pc.utf8_normalize(batch, form="NFKC")
 
-    return _evaluated_once(normalise)(text)
+    return normalise(text)
 
 
 def unescape_entities(text: Column) -> Column:
@@ -57,7 +47,7 @@ def unescape_entities(text: Column) -> Column:
             pa.string(),
         )
 
-    return _evaluated_once(decode)(text)
+    return decode(text)
 
 
 def stem_tokens(tokens: Column) -> Column:

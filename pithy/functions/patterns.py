@@ -78,7 +78,6 @@ NFKC_STABLE = (
     r"\x{4e00}-\x{9fa5}"
 )
 
-# Token of the sentence weights: two or more word characters.
-WEIGHT_TOKEN = r"[\p{L}\p{N}_]{2,}"
-# Token of the ROUGE scores.
-SCORE_TOKEN = "[a-z0-9]+"
+# What separates the words of the sentence weights, and the tokens of the ROUGE scores.
+NON_WORD = r"[^\p{L}\p{N}_]+"
+NON_SCORE = "[^a-z0-9]+"

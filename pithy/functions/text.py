@@ -21,8 +21,7 @@ def clean_cell(value: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words."""
-    stripped = strip(text)
-    return F.when(stripped == "", 0).otherwise(F.size(F.split(stripped, f"{P.WS}+")))
+    return F.size(F.array_remove(F.split(text, f"{P.WS}+"), ""))
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -113,15 +112,13 @@ def compression_ratio(summary_words: Column, article_words: Column) -> Column:
 
 def weight_tokens(sentence: Column, stop_words: tuple[str, ...]) -> Column:
     """Lower-case words of two or more characters, stop words removed."""
-    words = F.regexp_extract_all(F.lower(sentence), F.lit(P.WEIGHT_TOKEN), F.lit(0))
-    if not stop_words:
-        return words
-    return F.filter(words, lambda word: ~word.isin(*stop_words))
+    words = F.split(F.lower(sentence), P.NON_WORD)
+    return F.filter(words, lambda word: (F.length(word) > 1) & ~word.isin(*stop_words))
 
 
 def score_tokens(text: Column) -> Column:
     """Lower-case runs of ASCII letters and digits."""
-    return F.regexp_extract_all(F.lower(text), F.lit(P.SCORE_TOKEN), F.lit(0))
+    return F.array_remove(F.split(F.lower(text), P.NON_SCORE), "")
 
 
 def domain(url: Column) -> Column:

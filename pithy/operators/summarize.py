@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pithy.functions import arrow_udfs, text
-from pithy.functions.arrays import top_in_order
+from pithy.functions.arrays import compute_once, top_in_order
 from pithy.functions.stopwords import ENGLISH
 
 DAMPING, TOLERANCE, MAX_ITERATIONS = 0.85, 1e-4, 200
@@ -127,7 +127,7 @@ def add_summaries(
     """One summary column per method; the sentences are split once for all of them."""
     chosen = choose_methods(methods)
     article = text.strip(F.coalesce(F.col(article_col), F.lit("")))
-    df = df.withColumn("sentences", text.split_sentences(article))
+    df = compute_once(df, {"sentences": text.split_sentences(article)})
     return df.withColumns(
         {f"{prefix}{m.name}": m.build(article, F.col("sentences"), n) for m in chosen}
     )
