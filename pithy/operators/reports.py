@@ -94,12 +94,17 @@ def rouge_pivot(scores: DataFrame, variants: Sequence[str] = ALL_VARIANTS) -> Da
 def paired_rows(
     scores: DataFrame, left: str, right: str, metric: str = "rouge1_f1", id_col: str = "id"
 ) -> DataFrame:
-    """One row per article with the scores of two methods side by side."""
+    """One row per id with the scores of two methods side by side.
+
+    `copies` counts the rows behind it: rows that share an id are copies of one
+    article and score alike.
+    """
     def of(name: str) -> Column:
         return F.max(F.when(F.col("method") == name, F.round(metric, PLACES)))
 
     both = scores.where(F.col("method").isin(left, right)).groupBy(id_col).agg(
-        of(left).alias("left_score"), of(right).alias("right_score")
+        of(left).alias("left_score"), of(right).alias("right_score"),
+        F.count_if(F.col("method") == left).alias("copies"),
     )
     return both.where("left_score is not null and right_score is not null")
 
@@ -109,10 +114,13 @@ def paired_comparison(
 ) -> DataFrame:
     """Wins of either method and ties, on scores rounded to six places."""
     a, b = F.col("left_score"), F.col("right_score")
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("copies"))), F.lit(0))
+
     return paired_rows(scores, left, right, metric, id_col).agg(
         F.lit(left).alias("left_method"), F.lit(right).alias("right_method"),
-        F.count_if(a > b).alias("left_wins"), F.count_if(a < b).alias("right_wins"),
-        F.count_if(a == b).alias("ties"),
+        rows(a > b).alias("left_wins"), rows(a < b).alias("right_wins"), rows(a == b).alias("ties"),
     )
 
 

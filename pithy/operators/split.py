@@ -45,7 +45,8 @@ def random_split(
 ) -> DataFrame:
     """Add `split`: exactly ceil(test_size * n) rows are 'test', the others 'train'.
 
-    `id` must be unique. Tables of fewer than four rows serve as both parts.
+    The size is exact when ids are unique; rows that share an id, as copies may,
+    stay together in one part. Tables of fewer than four rows serve as both parts.
     """
     return df.withColumn("split", F.explode(_random_parts(df, id_col, seed, test_size)))
 
