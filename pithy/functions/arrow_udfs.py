@@ -9,6 +9,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,11 +28,13 @@ cloudpickle.register_pickle_by_value(sys.modules[porter_stem.__module__])
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC, run by Arrow's own kernel."""
+    """Unicode NFKC. (Arrow's own kernel leaves accents decomposed.)"""
 
     @F.arrow_udf("string")
     def normalise(batch: pa.Array) -> pa.Array:
-        return pc.utf8_normalize(batch, form="NFKC")
+        return pa.array(
+            [t and unicodedata.normalize("NFKC", t) for t in batch.to_pylist()], pa.string()
+        )
 
     return normalise(text)
 

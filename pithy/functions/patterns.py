@@ -12,11 +12,10 @@ WS_RANGES = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WS = f"[{WS_RANGES}]"
-NON_WS = f"[^{WS_RANGES}]"
 WS_CHARS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    + "".join(chr(c) for c in range(0x2000, 0x200B))
-    + "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Control characters that cleaning turns into spaces.
@@ -61,7 +60,7 @@ TAG = r"<[/!?a-zA-Z][^>]*>"
 # Entities decoded without leaving the JVM; "&amp;" must stay last.
 ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
     ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"),
     ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
     ("&euro;", "€"), ("&pound;", "£"), ("&amp;", "&"),
