@@ -20,21 +20,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark, local=True)
     return spark
 
 
-def checkpoint_root(spark: SparkSession, local: bool = False) -> str:
+def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in `spark.checkpoint.dir`.
 
-    Only local runs may fall back to a folder of this machine.
+    Only local runs fall back to a folder of this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not (local or spark.sparkContext.master.startswith("local")):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
         root = os.path.join(tempfile.gettempdir(), "pithy-checkpoint")
-        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 

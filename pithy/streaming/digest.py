@@ -30,11 +30,13 @@ def digest_pages(pages: DataFrame, method: str | Method = "lead_3", n: int = 3)
 def start_page_digest(
     spark: SparkSession, in_dir: str, out_dir: str, name: str = "page_digest",
     method: str | Method = "lead_3", n: int = 3, max_files_per_trigger: int = 1000,
+    checkpoint_dir: str | None = None,
 ) -> StreamingQuery:
     """Digest the page files that are new in a folder, then stop.
 
-    Progress is kept under the cluster's checkpoint folder: a rerun takes up only
-    files not yet digested, and a lost executor or restart repeats no output.
+    Progress is kept in `checkpoint_dir`, by default under the cluster's checkpoint
+    folder: a rerun takes up only files not yet digested, and a lost executor or
+    restart repeats no output.
     """
     pages = (
         spark.readStream.schema(PAGE_SCHEMA)
@@ -45,7 +47,7 @@ def start_page_digest(
         digest_pages(pages, method, n)
         .writeStream.format("parquet").outputMode("append")
         .option("path", out_dir)
-        .option("checkpointLocation", f"{checkpoint_root(spark)}/{name}")
+        .option("checkpointLocation", checkpoint_dir or f"{checkpoint_root(spark)}/{name}")
         .trigger(availableNow=True)
         .queryName(name)
         .start()
