@@ -76,8 +76,8 @@ def pair_digest(*columns: Column) -> Column:
     return F.unhex(F.sha2(F.concat(*framed), 256))
 
 
-def _copies(df: DataFrame, cols: Columns) -> DataFrame:
-    """One row per distinct (article, summary), with its number of copies.
+def _copies(df: DataFrame, cols: Columns, *also: str) -> DataFrame:
+    """One row per distinct (article, summary, also), with its number of copies.
 
     The text is reduced to a digest before the shuffle and counted on the map
     side, so a pair that fills a third of the table costs one row per task.
@@ -86,9 +86,9 @@ def _copies(df: DataFrame, cols: Columns) -> DataFrame:
         add_checks(df, cols)
         .select(
             pair_digest(F.col(cols.article).cast("string"), F.col(cols.summary).cast("string")).alias("d"),
-            "article_words", "summary_words", "reject_reason",
+            "article_words", "summary_words", "reject_reason", *also,
         )
-        .groupBy("d", "article_words", "summary_words", "reject_reason")
+        .groupBy("d", "article_words", "summary_words", "reject_reason", *also)
         .agg(F.count("*").alias("n"))
     )
 
@@ -108,22 +108,24 @@ def profile(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """One row: rows, columns, sources, word counts, duplicates, rejected rows by reason.
 
     `sources` is the number of distinct sources; `distinct_sources` lists them.
+    The texts are read once.
     """
     check_columns(df, cols)
-    has_source = cols.source and cols.source in df.columns
-    n_sources = distinct_sources(df, cols).select(F.count("*")).scalar() if has_source else F.lit(0)
+    source = [cols.source] if cols.source and cols.source in df.columns else []
+    n_sources = F.count_distinct(source[0]) if source else F.lit(0).cast("long")
     reason = F.col("reject_reason")
-    return _copies(df, cols).agg(
+    return _copies(df, cols, *source).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.lit(df.columns).alias("columns"),
         _lengths("article_words").alias("article_lengths"),
         _lengths("summary_words").alias("summary_lengths"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
+        (F.coalesce(F.sum("n"), F.lit(0)) - F.count_distinct("d")).alias("duplicate_rows"),
         *[
             F.coalesce(F.sum(F.when(reason == r, F.col("n"))), F.lit(0)).alias(f"{r}_rows")
             for r in ("empty_article", "empty_summary", "summary_longer_than_article")
         ],
-    ).withColumn("sources", n_sources.cast("long"))
+        n_sources.alias("sources"),
+    )
 
 
 def duplicate_count(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:

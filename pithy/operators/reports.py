@@ -143,24 +143,25 @@ def length_histogram(df: DataFrame, text_col: str, bins: int = 20) -> DataFrame:
     a unit-wide range, as plotting libraries have it.
     """
     words = df.select(text.word_count(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
-    counts = words.groupBy("words").agg(F.count("*").alias("n"))  # bounded by the longest text
+    counts = words.groupBy("words").agg(F.count("*").alias("n"))
+    # One row, no longer than the longest text has words: the texts are read once.
     lo, hi = F.min("words").cast("double"), F.max("words").cast("double")
-    one_value = lo == hi
-    limits = counts.agg(
-        F.when(one_value, lo - 0.5).otherwise(lo).alias("lo"),
-        F.when(one_value, hi + 0.5).otherwise(hi).alias("hi"),
-    )
-    edges = limits.select("lo", ((F.col("hi") - F.col("lo")) / bins).alias("w"), F.explode(
-        F.sequence(F.lit(1), F.lit(bins))).alias("bin")).where("w is not null")
-    lo_value, hi_value = limits.select("lo").scalar(), limits.select("hi").scalar()
-    width = (hi_value - lo_value) / F.lit(bins)
-    place = F.least(F.lit(bins), F.floor((F.col("words") - lo_value) / width) + 1).cast("int")
-    filled = counts.withColumn("bin", place).groupBy("bin").agg(F.sum("n").alias("rows"))
-    return edges.join(filled, "bin", "left").select(
+    whole = counts.agg(
+        F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"),
+        F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi"),
+        F.collect_list(F.struct("words", "n")).alias("counts"),
+    ).where("lo is not null")
+    width = (F.col("hi") - F.col("lo")) / bins
+
+    def place(words: Column) -> Column:
+        return F.least(F.lit(bins), F.floor((words - F.col("lo")) / width) + 1)
+
+    inside = F.filter("counts", lambda c: place(c["words"]) == F.col("bin"))
+    return whole.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins)))).select(
         "bin",
-        (F.col("lo") + (F.col("bin") - 1) * F.col("w")).alias("from_words"),
-        (F.col("lo") + F.col("bin") * F.col("w")).alias("to_words"),
-        F.coalesce("rows", F.lit(0)).alias("rows"),
+        (F.col("lo") + (F.col("bin") - 1) * width).alias("from_words"),
+        (F.col("lo") + F.col("bin") * width).alias("to_words"),
+        F.aggregate(inside, F.lit(0).cast("long"), lambda total, c: total + c["n"]).alias("rows"),
     )
 
 
