@@ -177,33 +177,38 @@ def _rank_batch(sizes, sent, word, n_words, damping, tol, max_iter):
     return x
 
 
-def _lcs_bits(a: list[str], b: list[str]) -> int:
-    """Bit-parallel LCS: one big integer holds a row of the table."""
+def _lcs_rows(a: list[str], b: list[str]) -> Iterator[int]:
+    """Bit-parallel LCS: one big integer per prefix of b, a zero bit per matched place of a."""
     places: dict[str, int] = {}
     for i, token in enumerate(a):
         places[token] = places.get(token, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
+    row = full = (1 << len(a)) - 1
+    yield row
     for token in b:
         match = row & places.get(token, 0)
         row = (row + match | row - match) & full
+        yield row
+
+
+def _lcs_bits(a: list[str], b: list[str]) -> int:
+    for row in _lcs_rows(a, b):
+        pass
     return len(a) - row.bit_count()
 
 
 def _lcs_positions(a: list[str], b: list[str]) -> set[int]:
     """Positions in a of one longest common subsequence, ties walked as ROUGE walks them."""
-    table = [[0] * (len(b) + 1)]
-    for x in a:
-        above, row = table[-1], [0]
-        for j, y in enumerate(b):
-            row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
-        table.append(row)
+    rows = list(_lcs_rows(a, b))
+
+    def length(i: int, j: int) -> int:
+        return i - (rows[j] & (1 << i) - 1).bit_count()
+
     found, i, j = set(), len(a), len(b)
     while i and j:
         if a[i - 1] == b[j - 1]:
             i, j = i - 1, j - 1
             found.add(i)
-        elif table[i][j - 1] > table[i - 1][j]:
+        elif length(i, j - 1) > length(i - 1, j):
             j -= 1
         else:
             i -= 1

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from pithy.functions.arrow_udfs import _lcs_bits, _rank_batch, _union_hits
+from pithy.functions.arrow_udfs import _lcs_bits, _lcs_positions, _rank_batch, _union_hits
 from pithy.functions.porter import porter_stem
 
 words = st.lists(st.sampled_from("abcd"), max_size=12)
@@ -29,6 +29,18 @@ def test_lcs_bits(a, b):
     assert _union_hits(" ".join(a), " ".join(b)) == lcs(a, b)
 
 
+@given(words, words)
+def test_lcs_positions_are_a_common_subsequence(a, b):
+    at = sorted(_lcs_positions(a, b))
+    rest = iter(b)
+    assert len(at) == lcs(a, b) and all(a[i] in rest for i in at)
+
+
+def test_lcs_positions_of_long_lines():
+    a, b = ([f"w{i * k % 997}" for i in range(4000)] for k in (1, 7))
+    assert len(_lcs_positions(a, b)) == _lcs_bits(a, b)
+
+
 def test_union_lcs_example():
     """The example of Lin (2004): one reference line, two candidate lines."""
     assert _union_hits("w1 w2 w3 w4 w5", "w1 w2 w6 w7 w8\nw1 w3 w8 w9 w5") == 4
