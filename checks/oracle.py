@@ -203,7 +203,7 @@ def with_(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
-def random_split(source: str, n: str = "source_n") -> str:
+def random_split(source: str) -> str:
     return f"""
 hashed AS (SELECT *, md5(id || ':42') AS h, count(*) OVER () AS n FROM {source}),
 parted AS MATERIALIZED (

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-# Spark ML's English stop words (StopWordsRemover), which the
-# reference's own list is replaced by. Pass another list where another is wanted.
+# Spark ML's English stop words (StopWordsRemover). Every function
+# that uses them takes another list as a parameter.
 # Contractions are left out: the weight tokens never hold an apostrophe.
 ENGLISH = tuple(
     """
