@@ -108,3 +108,9 @@ def test_similarity_tables_agree_with_pairs(spark):
         assert strength.get(key, 0) == pytest.approx(sum(cosine(vector, v) for v in others))
         if key[1]:
             assert lead.get(key, 0) == pytest.approx(cosine(vector, vectors[(key[0], 0)]))
+
+
+def test_default_stop_words_are_sparks(spark):
+    from pyspark.ml.feature import StopWordsRemover
+    known = StopWordsRemover.loadDefaultStopWords("english")
+    assert set(S.ENGLISH) == {w for w in known if "'" not in w}
