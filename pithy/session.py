@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,16 +23,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in `spark.checkpoint.dir`.
+    """The shared folder for intermediate tables and stream progress.
 
-    Only local runs fall back to a folder of this machine.
+    The cluster names it in `spark.checkpoint.dir`; where that is unset, the
+    warehouse folder serves, which executors share as well. Never a temp folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-        root = os.path.join(tempfile.gettempdir(), "pithy-checkpoint")
-    return root
+    return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/pithy-checkpoint"
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage, survives lost executors, and gives the optimizer the
+    table's true size for its choice of joins.
+    """
+    path = f"{checkpoint_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
