@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pithy.llm.decontam import contaminated
+from pithy.llm.langid import identify_languages
+from pithy.llm.secrets import scan_secrets
 from pithy.llm.simhash import simhash_components
 
 
@@ -11,9 +14,21 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_secrets(read(spark, sf, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identify_languages(read(spark, sf, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_components(read(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op5_language_id, op8_decontamination, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
