@@ -1,5 +1,83 @@
-"""The corpus pipeline (stages follow)."""
+"""From raw documents to packed training sequences: five stages, each one operator.
 
+Every stage's result is written to the shared folder and read again as the next
+one's documents. All stages but the last keep the columns of `documents`. Rows
+with a null id work under a hash of their text, so nulls never remove each other.
+"""
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pithy.llm.decontam import contaminated
+from pithy.llm.langid import UNDETERMINED, fit, predict
+from pithy.llm.packing import pack
+from pithy.llm.secrets import redact_live
+from pithy.llm.simhash import simhash_components
+from pithy.session import written
+
+LEAST_LANGUAGE_SCORE = 0.1
+
+
+def working_id() -> Column:
+    return F.coalesce(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without letters or whose n-grams no learned language knows.
+
+    Learns from all rows with a label; nothing is rejected where nothing was learned.
+    """
+    model = fit(docs.where("doc_id is not null and lang is not null"))
+    if not model.languages:
+        return docs
+    found = predict(docs, model)
+    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each component: the one with the least id, once."""
+    keyed = docs.withColumn("_id", working_id())
+    found = written(simhash_components(keyed, "_id").where("_id = component_id").groupBy("_id").count(), "kept")
+    once = keyed.join(found.where("count = 1").select("_id"), "_id", "left_semi")
+    repeated = keyed.join(found.where("count > 1").select("_id"), "_id", "left_semi").dropDuplicates(["_id"])
+    return once.unionByName(repeated).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    keyed = docs.withColumn("_id", working_id())
+    bad = written(contaminated(keyed, benchmark, "_id").select("_id").distinct(), "contaminated")
+    return keyed.join(bad, "_id", "left_anti").select(*docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces live credentials in the texts; no document goes."""
+    redacted = redact_live(docs)
+    return redacted.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences: one row per piece."""
+    return pack(docs)
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
+
+#: Model fitting, fingerprints and tokenizers are not SQL; tests/llm compares with a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return docs

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pithy.llm.chat import conversation_digests, format_conversations
 from pithy.llm.decontam import contaminated
 from pithy.llm.langid import identify_languages
+from pithy.llm.packing import pack
 from pithy.llm.secrets import scan_secrets
 from pithy.llm.simhash import simhash_components
 
@@ -22,13 +24,27 @@ def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify_languages(read(spark, sf, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(read(spark, sf, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts hold control strings of the template."""
+    rows = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], rows.schema)
+    return conversation_digests(format_conversations(rows.unionByName(added)))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_components(read(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op5_language_id, op8_decontamination, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op2_secret_scans, op5_language_id, op7_packing, op8_decontamination, op9_chat_formatting, op10_simhash_near_dedup,
+)}
 ORACLES: dict[str, str] = {}
