@@ -153,12 +153,16 @@ def contaminated(
     there = there.withColumn("by_size", F.array(*[
         F.when(F.exists("windows", lambda x: F.least(x["words"], F.lit(SHINGLE)) == k), shingles(F.col("w"), k))
         for k in range(1, SHINGLE + 1)
-    ])).select("doc", "tkey", "by_size", F.explode("windows").alias("x"))
-    k = F.least(F.col("x.words"), F.lit(SHINGLE))
-    windows = there.select(
-        "doc", "tkey", F.col("x.words").alias("words"), F.col("x.start").alias("start"),
-        F.slice(F.get("by_size", k - 1), F.col("x.start") + 1, F.col("x.words") - k + 1).alias("s"),
-    ).where(F.size("s") == F.col("words") - F.least("words", F.lit(SHINGLE)) + 1)
+    ])).select("doc", "tkey", "by_size", "windows")
+
+    def cut(x: Column) -> Column:
+        k = F.least(x["words"], F.lit(SHINGLE))
+        return F.struct(x["words"].alias("words"), x["start"].alias("start"),
+                        F.slice(F.get("by_size", k - 1), x["start"] + 1, x["words"] - k + 1).alias("s"))
+
+    # Cut before the rows multiply, so that no row carries a whole text's shingles.
+    windows = there.select("doc", "tkey", F.explode(F.transform("windows", cut)).alias("x")).select("doc", "tkey", "x.*")
+    windows = windows.where(F.size("s") == F.col("words") - F.least("words", F.lit(SHINGLE)) + 1)
     windows = written(
         windows.select("doc", "tkey", "words", "start", marked(F.col("s")).alias("marked"), simhash(F.col("s")).alias("fp")),
         "fingerprints",
