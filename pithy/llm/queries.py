@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pithy.llm.chat import conversation_digests, format_conversations
 from pithy.llm.decontam import contaminated
 from pithy.llm.langid import identify_languages
+from pithy.llm.maintext import extract_pages
 from pithy.llm.packing import pack
 from pithy.llm.secrets import scan_secrets
 from pithy.llm.simhash import simhash_components
+from pithy.llm.tokencount import count_tokens
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,6 +22,14 @@ def op2_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return scan_secrets(read(spark, sf, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return count_tokens(read(spark, sf, "documents"))
+
+
+def op4_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_pages(read(spark, sf, "pages"))
+
+
 def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify_languages(read(spark, sf, "documents"))
 
@@ -45,6 +55,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_secret_scans, op5_language_id, op7_packing, op8_decontamination, op9_chat_formatting, op10_simhash_near_dedup,
+    op2_secret_scans, op3_token_counts, op4_html_extraction, op5_language_id, op7_packing, op8_decontamination,
+    op9_chat_formatting, op10_simhash_near_dedup,
 )}
 ORACLES: dict[str, str] = {}
