@@ -9,6 +9,7 @@ from pithy.llm.decontam import contaminated
 from pithy.llm.langid import identify_languages
 from pithy.llm.maintext import extract_pages
 from pithy.llm.packing import pack
+from pithy.llm.passages import remove_repeats, repeat_digests
 from pithy.llm.secrets import scan_secrets
 from pithy.llm.simhash import simhash_components
 from pithy.llm.tokencount import count_tokens
@@ -18,6 +19,10 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeat_digests(remove_repeats(read(spark, sf, "documents")))
+
+
 def op2_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return scan_secrets(read(spark, sf, "documents"))
 
@@ -55,7 +60,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_secret_scans, op3_token_counts, op4_html_extraction, op5_language_id, op7_packing, op8_decontamination,
-    op9_chat_formatting, op10_simhash_near_dedup,
+    op1_suffix_dedup, op2_secret_scans, op3_token_counts, op4_html_extraction, op5_language_id, op7_packing,
+    op8_decontamination, op9_chat_formatting, op10_simhash_near_dedup,
 )}
 ORACLES: dict[str, str] = {}
