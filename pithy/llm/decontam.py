@@ -170,11 +170,13 @@ def contaminated(
 
     most = radius // BLOCKS
     listed = items.select("item_id", "words", marked(F.col("shingles")).alias("item"), simhash(F.col("shingles")).alias("item_fp"))
-    variants = F.array(*[
-        F.struct(F.lit(i).alias("block"), value.bitwiseXOR(F.lit(flip).cast("long")).alias("bits"))
-        for i, ((_, width), value) in enumerate(zip(blocks_of(BLOCKS), block_values(F.col("item_fp"), BLOCKS)))
-        for flip in flips(width, most)
+    patterns = F.array(*[
+        F.struct(F.lit(i).alias("block"), F.lit(flip).cast("long").alias("flip"))
+        for i, (_, width) in enumerate(blocks_of(BLOCKS)) for flip in flips(width, most)
     ])
+    values = F.array(*block_values(F.col("item_fp"), BLOCKS))
+    variants = F.transform(patterns, lambda x: F.struct(
+        x["block"].alias("block"), F.get(values, x["block"]).bitwiseXOR(x["flip"]).alias("bits")))
     listed = written(listed.select("*", F.explode(variants).alias("v")).select("*", "v.block", "v.bits").drop("v"), "items")
     keys = F.array(*[
         F.struct(F.lit(i).alias("block"), v.alias("bits")) for i, v in enumerate(block_values(F.col("fp"), BLOCKS))

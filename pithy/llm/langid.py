@@ -58,7 +58,7 @@ def training_rows(labelled: DataFrame, key: str, lang: str, per_language: int) -
     """About `per_language` rows of every language, chosen by the hash of their key.
 
     Only counts per hash bucket are shuffled; the rows stay where they are and are
-    kept by comparison with their language's last bucket.
+    kept by comparison with their language's last bucket, one number per language.
     """
     bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
     counts = labelled.select(F.col(lang).alias("l"), bucket.alias("b")).groupBy("l", "b").count()
@@ -73,8 +73,11 @@ def training_rows(labelled: DataFrame, key: str, lang: str, per_language: int) -
         .withColumn("upto", F.col("before") + F.sum("count").over(w) - F.col("count"))
         .where(F.col("upto") < per_language)
     )
-    ends = fine.groupBy("l").agg(F.max("b").alias("end"))
-    return labelled.join(ends, F.col(lang) == F.col("l")).where(bucket <= F.col("end")).drop("l", "end")
+    ends = {r.l: r.end for r in fine.groupBy("l").agg(F.max("b").alias("end")).collect()}
+    if not ends:
+        return labelled.limit(0)
+    last = F.create_map(*[F.lit(x) for pair in ends.items() for x in pair])
+    return labelled.where(bucket <= F.element_at(last, F.col(lang)))
 
 
 class LanguageFilters:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -18,50 +19,83 @@ from pithy.session import written
 END = 1
 CAPACITY = 2048
 SALTS = 1024
-CACHED_WORDS = 300_000
-CACHED_LENGTH = 48
 RANKS = 1 << 44
+KEPT = 250_000
+KEPT_LENGTH = 48
 
+#: Fixed values of the tokenizer: how it cuts lower-cased text of ASCII and Latin letters.
+RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^\sa-zß-öø-ž0-9]+")
+#: Text that has one normal form and is lower-cased letter by letter.
+LATIN = re.compile("[ \n!-~\u00c0-\u012f\u0132-\u017e]*")
+BLANKS = re.compile("[ \n\t]+")
+#: The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
-class WordIds:
+
+class TextIds:
     """Token ids of whole texts as little-endian uint32 bytes.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are
-    those of its blank-separated words in turn; the ids of recent words are kept.
+    The tokenizer drops white space and cuts lower-cased text into runs of letters,
+    single digits and runs of signs, and the ids of the runs follow one another. Texts
+    of printable ASCII and Latin letters are cut here, and the ids of recent words and
+    runs are kept; in other texts that goes for such words, and the rest goes to the tokenizer
+    word by word.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for at in range(0, len(new), 4096):
-            part = new[at: at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def run(self, run: str) -> bytes:
+        """Ids of one run; each byte stands as the character the byte-level alphabet gives it."""
+        letters = run if run.isascii() else run.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return self.keep(self.runs, run, np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes())
+
+    def word(self, word: str) -> bytes:
+        runs = RUNS.findall(word.lower())
+        return self.keep(self.words, word, b"".join([self.runs.get(r) or self.run(r) for r in runs]))
+
+    def keep(self, known: dict[str, bytes], key: str, ids: bytes) -> bytes:
+        if len(key) <= KEPT_LENGTH:
+            if len(known) >= KEPT:
+                known.clear()
+            known[key] = ids
+        return ids
+
+    def forget(self) -> None:
+        """Gives the memory back at the end of a task; the worker lives on."""
+        self.words.clear()
+        self.runs.clear()
+
+    def latin(self, text: str) -> bytes:
+        words = text.replace("\n", " ").split(" ")
+        found = list(map(self.words.get, words))
+        if None in found:
+            found = [self.word(w) if ids is None else ids for w, ids in zip(words, found)]
+        return b"".join(found)
 
     def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn({w for w in words if len(w) <= CACHED_LENGTH})
+        if LATIN.fullmatch(text) and "<|" not in text:
+            return self.latin(text)
         out = []
-        for w in words:
-            out.append(self.known[w] if len(w) <= CACHED_LENGTH else
-                       np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes())
+        for word in BLANKS.split(text):
+            if LATIN.fullmatch(word) and "<|" not in word:
+                out.append(self.latin(word))
+            else:
+                out.append(np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes())
         return b"".join(out)
 
 
 @cache
-def loaded(path: str) -> WordIds:
+def loaded(path: str) -> TextIds:
     """One per Python worker, kept between tasks."""
-    return WordIds(path)
+    return TextIds(path)
 
 
 def default_tokenizer() -> str:
@@ -75,17 +109,18 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, path: str
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = path or default_tokenizer()
-        words = loaded(place)
+        tokens = loaded(place)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = words.ids(text.as_py() or "") + np.array([END], "<u4").tobytes()
+                ids = tokens.ids(text.as_py() or "") + np.array([END], "<u4").tobytes()
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start: 4 * (start + capacity)]
                     rows.append((doc, start, len(part) // 4, zlib.crc32(part), total))
             columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        tokens.forget()
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(step, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

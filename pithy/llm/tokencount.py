@@ -135,6 +135,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             counts = [counter.count(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), batch.column(2)], schema.names)
+        counter.known.clear()  # the worker lives on after the task
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col), text.alias("text"), F.coalesce(F.char_length(text), F.lit(0)).cast("long").alias("n_chars"))
