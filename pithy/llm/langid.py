@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pithy.llm.common import small_batches
+
 UNDETERMINED = "und"
 GRAM = 4
 PART = 1 << 20
@@ -119,6 +121,7 @@ def fit(
     each are used, whole texts of them. The driver receives the filter's slots, at
     most `size` rows of one bit per language.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.where("lang is not null and text is not null")
     languages = sorted(r.lang for r in rows.select("lang").distinct().collect())
@@ -166,6 +169,7 @@ def predict(docs: DataFrame, model: LanguageFilters, text: str = "text") -> Data
     text's n-grams, less the share its filter would claim falsely; ties go to the
     alphabetically first. score is that share.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]

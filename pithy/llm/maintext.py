@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pithy.llm.common import small_batches
+
 #: Fixed values of HTML: elements without content, whose content is no markup, that break no line,
 #: and that end an open paragraph or an open element of their own kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -274,4 +276,5 @@ def extract_pages(
                 [*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema.names
             )
 
+    small_batches(pages.sparkSession)
     return rows.mapInArrow(step, schema)

@@ -14,13 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pithy.llm.common import small_batches
 from pithy.session import written
 
 END = 1
 CAPACITY = 2048
 SALTS = 1024
 RANKS = 1 << 44
-KEPT = 250_000
+KEPT = 400_000
 KEPT_LENGTH = 48
 
 #: Fixed values of the tokenizer: how it cuts lower-cased text of ASCII and Latin letters.
@@ -38,8 +39,8 @@ class TextIds:
 
     The tokenizer drops white space and cuts lower-cased text into runs of letters,
     single digits and runs of signs, and the ids of the runs follow one another. Texts
-    of printable ASCII and Latin letters are cut here, and the ids of recent words and
-    runs are kept; in other texts that goes for such words, and the rest goes to the tokenizer
+    of printable ASCII and Latin letters are cut here, and the ids of the first words and
+    runs of a task are kept; in other texts that goes for such words, and the rest goes to the tokenizer
     word by word.
     """
 
@@ -62,9 +63,7 @@ class TextIds:
         return self.keep(self.words, word, b"".join([self.runs.get(r) or self.run(r) for r in runs]))
 
     def keep(self, known: dict[str, bytes], key: str, ids: bytes) -> bytes:
-        if len(key) <= KEPT_LENGTH:
-            if len(known) >= KEPT:
-                known.clear()
+        if len(key) <= KEPT_LENGTH and len(known) < KEPT:  # what is frequent comes early
             known[key] = ids
         return ids
 
@@ -122,6 +121,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, path: str
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
         tokens.forget()
 
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(step, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 

@@ -25,14 +25,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pithy.llm.common import small_batches, written_by
 from pithy.llm.suffixgroups import ranges, suffix_order
 from pithy.session import written
 
-GRAM = 16
-FREQUENT = 64  # occurrences of a hash beyond which its windows go one by one
-LONG = 256  # windows of a segment beyond which its hash counts as frequent
-PART = 1 << 19
+GRAM = 24  # three 8-byte words
+MANY = 64  # further contents of a hash within blocks, beyond which its windows go one by one
+MANY_BLOCKS = 256  # blocks that have a hash, likewise
+LONG = 256  # windows of a segment, likewise
+LONG_MARK = 65535
+PART = 1 << 16
 SORT_BYTES = 8 << 20
+HELD_BYTES = 24 << 20
 NO_ID = np.iinfo(np.int64).max  # a null id comes after all others
 
 
@@ -47,7 +51,14 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     x = data.astype(np.uint64)
     for width in (1, 2, 4):
         x = x[:-width] | (x[width:] << np.uint64(8 * width))
-    return mixed(x[:-8] * np.uint64(0x9E3779B97F4A7C15) + mixed(x[8:]))
+    n = len(data) - GRAM + 1
+    h = x[:n] * np.uint64(0x9E3779B97F4A7C15)
+    h += x[8: n + 8] * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(31)
+    h += x[16: n + 16] * np.uint64(0x165667B19E3779F9)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -59,12 +70,13 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and hash of every segment; none crosses a document's bounds."""
+    """First window, number of windows, hash, and a hash of both ends of every segment; none crosses a document's bounds."""
     found = []
     last = len(data) - length + 1
     for at in range(0, max(last, 0), PART):
         stop = min(at + PART, last)
-        least = sliding_least(gram_hashes(data[at: stop + length - 1]), length - GRAM + 1)
+        grams = gram_hashes(data[at: stop + length - 1])
+        least = sliding_least(grams, length - GRAM + 1)
         window = np.arange(at, stop)
         inner = bounds[(bounds > at) & (bounds < stop + length)]
         whole = np.ones(stop - at, bool)
@@ -77,16 +89,18 @@ def segments(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndar
         first = np.flatnonzero(cut)
         size = np.diff(np.r_[first, stop - at])
         good = whole[first]
-        found.append((window[first[good]], size[good], least[first[good]]))
+        first, size = first[good], size[good]
+        ends = mixed(grams[first] + mixed(grams[first + size + length - 1 - GRAM] + size.astype(np.uint64)))
+        found.append((window[first], size, least[first], ends))
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def pack(*arrays: np.ndarray | bytes) -> bytes:
+def pack(*arrays: np.ndarray | bytes, level: int = 1) -> bytes:
     raw = [a if isinstance(a, bytes) else a.tobytes() for a in arrays]
     head = np.array([len(raw), *map(len, raw)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
+    return zstandard.ZstdCompressor(level=level).compress(head + b"".join(raw))
 
 
 def unpack(blob: bytes) -> list[bytes]:
@@ -105,7 +119,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) ->
         def block() -> pa.RecordBatch:
             lengths = np.array([len(t) for t in texts], np.int64)
             null = np.array([i is None for i in ids], bool)
-            blob = pack(np.array([0 if i is None else i for i in ids], np.int64), null, lengths, b"".join(texts))
+            blob = pack(np.array([0 if i is None else i for i in ids], np.int64), null, lengths, b"".join(texts), level=3)
             return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), pa.array([blob], pa.binary())], ["block", "blob"])
 
         for batch in batches:
@@ -119,6 +133,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) ->
         if ids:
             yield block()
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(step, "block long, blob binary")
 
@@ -131,20 +146,26 @@ class Block:
         self.ids, self.null = np.frombuffer(ids, np.int64), np.frombuffer(null, bool)
         self.bounds = np.r_[0, np.cumsum(np.frombuffer(sizes, np.int64))]
         self.length = length
-        self.first, self.many, least = segments(np.frombuffer(self.data, np.uint8), self.bounds, length)
+        self.first, self.many, least, self.ends = segments(np.frombuffer(self.data, np.uint8), self.bounds, length)
         self.doc = np.searchsorted(self.bounds, self.first, side="right") - 1
         self.rank = np.where(self.null, NO_ID, self.ids)  # what documents are compared by
         self.bucket, self.tag = placed(least, buckets)
 
-    def hashes(self):
-        """Distinct (bucket, tag) in order, with occurrences, whether in several documents, and each segment's place."""
-        key = self.bucket.astype(np.uint64) << np.uint64(32) | self.tag
-        distinct, place, times = np.unique(key, return_inverse=True, return_counts=True)
-        times[place[self.many > LONG]] = 65535  # a long segment makes its hash a frequent one, everywhere
-        low, high = np.full(len(distinct), len(self.ids)), np.full(len(distinct), -1)
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (bucket, tag) in order, and each segment's place among them."""
+        return np.unique(self.bucket.astype(np.uint64) << np.uint64(32) | self.tag, return_inverse=True)
+
+    def holders(self, place: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """How many further contents each distinct hash has here, and whether several documents have it."""
+        low, high = np.full(count, len(self.ids)), np.full(count, -1)
         np.minimum.at(low, place, self.doc)
         np.maximum.at(high, place, self.doc)
-        return distinct, times, low < high, place
+        often = np.flatnonzero(np.bincount(place, minlength=count)[place] > 1)
+        by = often[np.lexsort((self.ends[often], place[often]))]
+        fresh = (place[by][1:] == place[by][:-1]) & (self.ends[by][1:] != self.ends[by][:-1])
+        further = np.minimum(np.bincount(place[by][1:][fresh], minlength=count), LONG_MARK)
+        further[place[self.many > LONG]] = LONG_MARK
+        return further, low < high
 
     def pieces(self, flags: np.ndarray, buckets: int):
         """What the block sends, given each distinct hash's flag.
@@ -153,7 +174,7 @@ class Block:
         contents' first segment, and the pieces: content, first byte, windows, bucket,
         tag, least and greatest rank of the documents that hold it, and bytes.
         """
-        flag = flags[self.hashes()[3]]
+        flag = flags[self.hashes()[1]]
         use = np.flatnonzero(flag > 0)
         known: dict[bytes, int] = {}
         ends = self.first[use] + self.many[use] + self.length - 1
@@ -257,6 +278,45 @@ def sorted_holders(groups: list[np.ndarray], bodies: list[bytes], low: np.ndarra
         yield c, result[a: a + n]
 
 
+def compared(buckets: list[tuple[list[int], list[list[bytes]]]], length: int) -> pa.RecordBatch:
+    """(block, blob): for each block's contents, runs of windows that an earlier document has, and the first such."""
+    known: dict[tuple[int, bytes], int] = {}
+    tags, read = [], []
+    for at, (numbers, parts) in enumerate(buckets):
+        for number, (content, many, tag, low, high, raw) in zip(numbers, parts):
+            many = np.frombuffer(many, np.uint16).astype(np.int64)
+            ends = np.cumsum(many + length - 1)
+            of = np.empty(len(many), np.int64)
+            for i, (a, b, t) in enumerate(zip((ends - many - length + 1).tolist(), ends.tolist(), np.frombuffer(tag, np.uint32).tolist())):
+                of[i] = known.setdefault((at, raw[a:b]), len(known))
+                if of[i] == len(tags):
+                    tags.append(at << 32 | t)
+            content = np.cumsum(np.frombuffer(content, np.int32), dtype=np.int64)
+            read.append((number, content, many, of, np.frombuffer(low, np.int64), np.frombuffer(high, np.int64)))
+    low = np.full(len(known), NO_ID)
+    for _, _, _, of, own, _ in read:
+        np.minimum.at(low, of, own)
+    runs: dict[int, np.ndarray] = {}
+    for c, least in least_holders(np.array(tags, np.int64), [body for _, body in known], low, length):
+        first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
+        runs[c] = np.stack([first, np.diff(np.r_[first, len(least)]), least[first]], axis=1)
+    has_runs = np.zeros(len(known), bool)
+    has_runs[list(runs)] = True
+    out = []
+    for number, content, many, of, _, high in read:
+        alone = np.flatnonzero(~has_runs[of] & (low[of] < high))
+        rows = [np.stack([content[alone], 0 * alone, many[alone], low[of[alone]]], axis=1)]
+        for i in np.flatnonzero(has_runs[of]).tolist():
+            own = runs[int(of[i])]
+            own = own[own[:, 2] < high[i]]
+            if len(own):
+                rows.append(np.c_[np.full(len(own), content[i]), own])
+        found = np.concatenate(rows)
+        if len(found):
+            out.append((number, pack(found)))
+    return records(["block", "blob"], [r[0] for r in out], [r[1] for r in out])
+
+
 def per_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[bytes]]]:
     """(bucket, blocks, blobs) of a partition sorted by bucket, one bucket at a time."""
     bucket, blocks, blobs = None, [], []
@@ -298,13 +358,16 @@ def remove_repeats(
         raise ValueError(f"length must be over {GRAM}")
     spark = docs.sparkSession
     buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = written(blocks_of(docs, id_col, text_col, block_bytes), "blocks")
+    blocks = written_by(
+        blocks_of(docs, id_col, text_col, block_bytes), "block", int(spark.conf.get("spark.sql.shuffle.partitions")))
     sent = ["bucket", "block", "blob"]
 
     def list_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                distinct, times, several, _ = Block(blob.as_py(), length, buckets).hashes()
+                block = Block(blob.as_py(), length, buckets)
+                distinct, place = block.hashes()
+                further, several = block.holders(place, len(distinct))
                 bucket = (distinct >> np.uint64(32)).astype(np.int64)
                 first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
                 ends = np.r_[first, len(bucket)]
@@ -312,7 +375,7 @@ def remove_repeats(
                 for a, b in zip(first, ends[1:].astype(int)):
                     tags = (distinct[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                     gaps = np.diff(tags, prepend=np.uint32(0))
-                    rows.append((int(bucket[a]), pack(gaps, np.minimum(times[a:b], 65535).astype(np.uint16), several[a:b])))
+                    rows.append((int(bucket[a]), pack(gaps, further[a:b].astype(np.uint16), several[a:b])))
                 yield records(sent, [r[0] for r in rows], [number] * len(rows), [r[1] for r in rows])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,9 +383,10 @@ def remove_repeats(
             parts = [unpack(b) for b in blobs]
             tags = [np.cumsum(np.frombuffer(p[0], np.uint32), dtype=np.uint32) for p in parts]
             distinct, place = np.unique(np.concatenate(tags), return_inverse=True)
-            times = np.bincount(place, weights=np.concatenate([np.frombuffer(p[1], np.uint16) for p in parts]))
-            holders = np.bincount(place) + np.bincount(place, weights=np.concatenate([np.frombuffer(p[2], bool) for p in parts]))
-            flag = np.where(holders < 2, 0, np.where(times <= FREQUENT, 1, 2)).astype(np.uint8)[place]
+            weigh = lambda k, kind: np.bincount(place, weights=np.concatenate([np.frombuffer(p[k], kind) for p in parts]))
+            holders = np.bincount(place)
+            frequent = (weigh(1, np.uint16) > MANY) | (holders > MANY_BLOCKS)
+            flag = np.where(holders + weigh(2, bool) < 2, 0, np.where(frequent, 2, 1)).astype(np.uint8)[place]
             ends = np.cumsum([len(t) for t in tags])[:-1]
             yield records(sent, [bucket] * len(numbers), numbers, [pack(x) for x in np.split(flag, ends)])
 
@@ -340,44 +404,20 @@ def remove_repeats(
                 for a, b in zip(first, np.r_[first, len(order)][1:].astype(int)):
                     own = order[a:b]
                     out.append((int(bucket[own[0]]), pack(
-                        content[own], many[own].astype(np.uint32), tag[own].astype(np.uint32), low[own], high[own],
+                        np.diff(content[own], prepend=0).astype(np.int32), many[own].astype(np.uint16), tag[own].astype(np.uint32), low[own], high[own],
                         b"".join(bodies[i] for i in own.tolist()),
                     )))
                 yield records(sent, [r[0] for r in out], [number] * len(out), [r[1] for r in out])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, numbers, blobs in per_bucket(batches):
-            known: dict[bytes, int] = {}
-            read, body_tags = [], []
-            for blob in blobs:
-                content, many, tag, low, high, raw = unpack(blob)
-                many = np.frombuffer(many, np.uint32).astype(np.int64)
-                ends = np.cumsum(many + length - 1)
-                bodies = [raw[a:b] for a, b in zip((ends - many - length + 1).tolist(), ends.tolist())]
-                tag = np.frombuffer(tag, np.uint32)
-                of = np.empty(len(bodies), np.int64)
-                for i, body in enumerate(bodies):
-                    of[i] = known.setdefault(body, len(known))
-                    if of[i] == len(body_tags):
-                        body_tags.append(tag[i])
-                read.append((np.frombuffer(content, np.int64), many, of, np.frombuffer(low, np.int64), np.frombuffer(high, np.int64)))
-            low = np.full(len(known), NO_ID)
-            for _, _, of, own, _ in read:
-                np.minimum.at(low, of, own)
-            runs: dict[int, list[tuple[int, int, int]]] = {}
-            for c, least in least_holders(np.array(body_tags), list(known), low, length):
-                first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-                runs[c] = list(zip(first.tolist(), np.diff(np.r_[first, len(least)]).tolist(), least[first].tolist()))
-            out = []
-            for number, (content, many, of, _, high) in zip(numbers, read):
-                found = []
-                for c, n, i, most in zip(content.tolist(), many.tolist(), of.tolist(), high.tolist()):
-                    for first, size, least in runs.get(i) or ((0, n, int(low[i])),):
-                        if least < most:
-                            found.append((c, first, size, least))
-                if found:
-                    out.append((number, pack(np.array(found, np.int64))))
-            yield records(["block", "blob"], [r[0] for r in out], [r[1] for r in out])
+        held, size = [], 0
+        for _, numbers, blobs in per_bucket(batches):
+            held.append((numbers, [unpack(b) for b in blobs]))
+            size += sum(len(p[-1]) for p in held[-1][1])
+            if size >= HELD_BYTES:
+                yield compared(held, length)
+                held, size = [], 0
+        yield compared(held, length)
 
     result = f"`{id_col}` long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary"
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pithy.llm.common import components, join_labels, key_changes, split_hot_groups, whole_groups
+from pithy.llm.common import components, join_labels, key_changes, small_batches, split_hot_groups, whole_groups
 from pithy.session import written
 
 SEED = 42
@@ -53,6 +53,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             )
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
+    small_batches(docs.sparkSession)
     columns = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return columns.mapInArrow(step, "id long, fp long")
 

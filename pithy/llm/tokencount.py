@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pithy.llm.common import small_batches
+
 SPACE = "▁"  # stands for a blank inside pieces
 UNKNOWN_PENALTY = 10.0
 CACHED = 500_000
@@ -137,6 +139,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), batch.column(2)], schema.names)
         counter.known.clear()  # the worker lives on after the task
 
+    small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col), text.alias("text"), F.coalesce(F.char_length(text), F.lit(0)).cast("long").alias("n_chars"))
     schema = rows.selectExpr(f"`{id_col}`", "cast(0 as long) as n_tokens", "n_chars").schema
