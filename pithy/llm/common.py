@@ -70,6 +70,7 @@ def split_hot_groups(df: DataFrame, keys: list[str], salt: Column, size: int) ->
     Groups of at most `size` rows stay whole (0, 0). A larger group is dealt into
     blocks of about `size` rows; each row goes to every pair of blocks that holds
     its own, so any two rows of the group meet in a task of about two blocks.
+    `block` is the row's own.
     """
     hot = (
         df.groupBy(*keys).count().where(F.col("count") > size)
@@ -84,12 +85,12 @@ def split_hot_groups(df: DataFrame, keys: list[str], salt: Column, size: int) ->
     )
     dealt = (
         df.join(hot, same, "left")
-        .withColumn("_own", F.coalesce(own, F.lit(0)))
+        .withColumn("block", F.coalesce(own, F.lit(0)))
         .withColumn("_other", F.explode(others))
-        .withColumn("block_a", F.least("_own", "_other"))
-        .withColumn("block_b", F.greatest("_own", "_other"))
+        .withColumn("block_a", F.least("block", "_other"))
+        .withColumn("block_b", F.greatest("block", "_other"))
     )
-    return dealt.drop(*[f"_{k}" for k in keys], "_blocks", "_own", "_other")
+    return dealt.drop(*[f"_{k}" for k in keys], "_blocks", "_other")
 
 
 def join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
