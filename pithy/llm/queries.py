@@ -9,6 +9,7 @@ from pithy.llm.decontam import contaminated
 from pithy.llm.langid import identify_languages
 from pithy.llm.maintext import extract_pages
 from pithy.llm.neardup import embedding_components
+from pithy.llm.oracle import ORACLES
 from pithy.llm.packing import pack
 from pithy.llm.passages import remove_repeats, repeat_digests
 from pithy.llm.secrets import scan_secrets
@@ -64,8 +65,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_components(read(spark, sf, "documents"))
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_secret_scans, op3_token_counts, op4_html_extraction, op5_language_id,
     op6_embedding_near_dedup, op7_packing, op8_decontamination, op9_chat_formatting, op10_simhash_near_dedup,
 )}
-ORACLES: dict[str, str] = {}
