@@ -7,7 +7,7 @@ with a null id work under a hash of their text, so nulls never remove each other
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pithy.llm.decontam import contaminated
@@ -20,8 +20,12 @@ from pithy.session import written
 LEAST_LANGUAGE_SCORE = 0.1
 
 
-def working_id() -> Column:
-    return F.coalesce(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))))
+def keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with `_id`: the document's id, or a hash of id and text where the id is null or repeated."""
+    repeated = written(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_seen")), "repeated-ids")
+    own = F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit("")))
+    marked = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("_seen")) & (F.col("doc_id").isNotNull()), "left")
+    return marked.withColumn("_id", F.when(F.col("doc_id").isNull() | F.col("_seen").isNotNull(), own).otherwise(F.col("doc_id"))).drop("_seen")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,20 +41,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component: the one with the least id, once."""
-    keyed = docs.withColumn("_id", working_id())
-    found = written(simhash_components(keyed, "_id").where("_id = component_id").groupBy("_id").count(), "kept")
-    once = keyed.join(found.where("count = 1").select("_id"), "_id", "left_semi")
-    repeated = keyed.join(found.where("count > 1").select("_id"), "_id", "left_semi").dropDuplicates(["_id"])
-    return once.unionByName(repeated).select(*docs.columns)
+    """Keeps one document of each component: the one with the least id, once.
+
+    The few that go are joined to the documents, not the many that stay.
+    """
+    rows = keyed(docs)
+    found = written(simhash_components(rows, "_id"), "components")
+    gone = written(found.where("_id <> component_id").select("_id").distinct(), "duplicates")
+    repeated = written(found.where("_id = component_id").groupBy("_id").count().where("count > 1").select("_id"), "repeated")
+    once = rows.join(written(gone.unionByName(repeated), "not-once"), "_id", "left_anti")
+    again = rows.join(repeated, "_id", "left_semi").dropDuplicates(["_id"])
+    return once.unionByName(again).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    keyed = docs.withColumn("_id", working_id())
-    bad = written(contaminated(keyed, benchmark, "_id").select("_id").distinct(), "contaminated")
-    return keyed.join(bad, "_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs)
+    bad = written(contaminated(rows, benchmark, "_id").select("_id").distinct(), "contaminated")
+    return rows.join(bad, "_id", "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

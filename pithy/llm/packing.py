@@ -11,10 +11,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pithy.llm.common import small_batches
+from pithy.llm.suffixgroups import ranges
 from pithy.session import written
 
 END = 1
@@ -23,6 +25,7 @@ SALTS = 1024
 RANKS = 1 << 44
 KEPT = 400_000
 KEPT_LENGTH = 48
+TOGETHER = 4 << 20
 
 #: Fixed values of the tokenizer: how it cuts lower-cased text of ASCII and Latin letters.
 RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^\sa-zß-öø-ž0-9]+")
@@ -59,8 +62,14 @@ class TextIds:
         return self.keep(self.runs, run, np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes())
 
     def word(self, word: str) -> bytes:
-        runs = RUNS.findall(word.lower())
-        return self.keep(self.words, word, b"".join([self.runs.get(r) or self.run(r) for r in runs]))
+        found = self.words.get(word)
+        if found is None:
+            lower = word.lower()
+            if word.isalpha():
+                return self.runs.get(lower) or self.run(lower)
+            found = b"".join([self.runs.get(r) or self.run(r) for r in RUNS.findall(lower)])
+            self.keep(self.words, word, found)
+        return found
 
     def keep(self, known: dict[str, bytes], key: str, ids: bytes) -> bytes:
         if len(key) <= KEPT_LENGTH and len(known) < KEPT:  # what is frequent comes early
@@ -72,24 +81,36 @@ class TextIds:
         self.words.clear()
         self.runs.clear()
 
-    def latin(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        found = list(map(self.words.get, words))
-        if None in found:
-            found = [self.word(w) if ids is None else ids for w, ids in zip(words, found)]
-        return b"".join(found)
-
-    def ids(self, text: str) -> bytes:
-        if LATIN.fullmatch(text) and "<|" not in text:
-            return self.latin(text)
+    def latin(self, texts: list[str]) -> list[bytes]:
+        """Each distinct word is looked up once; the texts' ids are gathered from those."""
+        words = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        distinct = list(map(self.word, coded.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
+        place = coded.indices.to_numpy()
+        many = sizes[place]
+        ids = np.frombuffer(b"".join(distinct), "<u4")[ranges((np.cumsum(sizes) - sizes)[place], many)]
+        ends = np.r_[0, np.cumsum(many)][words.offsets.to_numpy()]
+        return [ids[i:j].tobytes() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def other(self, text: str) -> bytes:
         out = []
         for word in BLANKS.split(text):
             if LATIN.fullmatch(word) and "<|" not in word:
-                out.append(self.latin(word))
+                out.append(self.word(word))
             else:
                 out.append(np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes())
         return b"".join(out)
 
+    def ids(self, texts: list[str]) -> list[bytes]:
+        plain = [i for i, t in enumerate(texts) if LATIN.fullmatch(t) and "<|" not in t]
+        out: list[bytes] = [b""] * len(texts)
+        for i, ids in zip(plain, self.latin([texts[i] for i in plain])):
+            out[i] = ids
+        for i in set(range(len(texts))).difference(plain):
+            out[i] = self.other(texts[i])
+        return out
+
 
 @cache
 def loaded(path: str) -> TextIds:
@@ -103,16 +124,29 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def texts_ids(tokens: TextIds, texts: pa.Array) -> Iterator[bytes]:
+    """The ids of every text, some megabytes of texts at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size >= TOGETHER:
+            yield from tokens.ids(held)
+            held, size = [], 0
+    yield from tokens.ids(held)
+
+
 def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, path: str | None) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): full windows of each document, then the rest. Map-only."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = path or default_tokenizer()
         tokens = loaded(place)
+        end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokens.ids(text.as_py() or "") + np.array([END], "<u4").tobytes()
+            for doc, ids in zip(batch.column(0).to_pylist(), texts_ids(tokens, batch.column(1))):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start: 4 * (start + capacity)]
