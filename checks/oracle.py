@@ -6,7 +6,7 @@ masking, ROUGE by n-gram joins, TextRank over explicit sentence pairs.
 
 from __future__ import annotations
 
-from pithy.functions import patterns as P
+from checks import fixed as P
 from pithy.functions.stopwords import ENGLISH
 
 
@@ -29,7 +29,7 @@ def words(x: str) -> str:
 
 def normal(x: str) -> str:
     x = f"regexp_replace({x}, {q(P.CONTROL)}, ' ', 'g')"
-    for _, flags, pattern in P.BOILERPLATE:
+    for flags, pattern in P.BOILERPLATE:
         x = f"regexp_replace({x}, {q(f'(?{flags})' + pattern)}, '', 'g')"
     return f"trim(regexp_replace({x}, {q(WS + '+')}, ' ', 'g'))"
 
@@ -252,7 +252,8 @@ parsed AS MATERIALIZED (
          CASE WHEN {words('article')} < 30 THEN 'too_short' ELSE 'ok' END AS status
   FROM bodies),
 ok_pages AS MATERIALIZED (
-  SELECT page_id, url, title, article, domain, {sentence_list('article')} AS s FROM parsed WHERE status = 'ok')"""
+  SELECT page_id, url, title, article, domain, status, CASE WHEN status = 'ok' THEN {sentence_list('article')} ELSE [] END AS s
+  FROM parsed)"""
 
 
 def build() -> dict[str, str]:
@@ -435,14 +436,14 @@ def build() -> dict[str, str]:
     sql["page_articles"] = with_(PAGES) + "SELECT page_id, url, title, article, domain, status FROM parsed"
     sql["page_domain"] = with_(PAGES) + "SELECT domain, count(*) AS pages FROM parsed GROUP BY domain"
     sql["page_digest"] = with_(PAGES) + f"""
-      SELECT page_id, url, title, article, domain, 'lead_3' AS method, {lead('s')} AS summary,
+      SELECT page_id, url, title, article, domain, status, 'lead_3' AS method, {lead('s')} AS summary,
              len(s) <= 2 AS short_input FROM ok_pages"""
     sql["stream_digest"] = sql["page_digest"]
     sql["page_pairs_scored"] = with_(PAGES, f"""
       page_rows AS MATERIALIZED (
         SELECT page_id AS id, {words(lead('s'))} AS summary_length,
                regexp_extract_all(lower(title), '[a-z0-9]+') AS rt,
-               regexp_extract_all(lower({lead('s')}), '[a-z0-9]+') AS ct FROM ok_pages)""",
+               regexp_extract_all(lower({lead('s')}), '[a-z0-9]+') AS ct FROM ok_pages WHERE status = 'ok')""",
         rouge_n("pr", 1, "page_rows", "id"),
     ) + "SELECT id, summary_length, round(f1, 6) AS rouge1_f1 FROM page_rows JOIN pr USING (id)"
     return sql

@@ -1,7 +1,6 @@
 """Fixed patterns and word lists that decide results.
 
-Every pattern here is valid both for Java's regex engine (Spark) and for RE2
-(the SQL used to check results), unless it says otherwise.
+The patterns are Java's (Spark). Those that could run long are possessive.
 """
 
 from __future__ import annotations
@@ -21,10 +20,11 @@ WS_CHARS = (
 # Control characters that cleaning turns into spaces.
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 
-# Boilerplate that cleaning removes, in this order.
+# Boilerplate that cleaning removes, in this order. Blank lines before a
+# keyword's line stay, as white space collapses later anyway.
 # Each pattern carries the flags it needs: one string for Java, one for RE2.
 BOILERPLATE = (
-    ("imudU", "im", r"^\s*(share this article|read more|advertisement|sponsored)\s*[:\-]?\s*"),
+    ("imudU", "im", r"^[^\S\n]*+(share this article|read more|advertisement|sponsored)\s*+[:\-]?+\s*+"),
     ("iudU", "i", r"\bclick here to .*?(\.|$)"),
     ("iudU", "i", r"\bcopyright\s+©.*?(\.|$)"),
 )
@@ -51,11 +51,15 @@ MIN_ARTICLE_WORDS = 30
 # Elements that are dropped with their content.
 PAGE_DROPPED = (
     "script", "style", "noscript", "iframe", "aside", "footer", "header", "nav", "form",
+    "template",
 )
-TEXT_DROPPED = ("script", "style", "noscript", "iframe")
+TEXT_DROPPED = ("script", "style", "noscript", "iframe", "template")
 
+# What a tag may hold up to its end: quotes count after "=" only. Java alone: possessive
+# groups neither backtrack nor recurse, however long the tag.
+TAG_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
 # A tag, comment end or doctype; a bare "<" followed by a space is text.
-TAG = r"<[/!?a-zA-Z][^>]*>"
+TAG = r"<[/!?a-zA-Z]" + TAG_REST
 
 # Entities decoded without leaving the JVM; "&amp;" must stay last.
 ENTITIES = (

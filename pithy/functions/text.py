@@ -61,14 +61,17 @@ def drop_elements(markup: Column, names: tuple[str, ...]) -> Column:
     One alternation, so whichever opens first wins; an unclosed element runs to
     the end. Elements nested in one of the same name are not balanced.
     """
-    elements = "|".join(rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)" for name in names)
+    elements = "|".join(rf"<{name}\b{P.TAG_REST}.*?(?:</{name}\s*+>|\z)" for name in names)
     return F.regexp_replace(markup, rf"(?is)<!--.*?(?:-->|\z)|{elements}", " ")
 
 
 def tags_to_text(markup: Column) -> Column:
-    """Each text node stripped, nodes joined by one space, entities decoded."""
-    tag = P.TAG
-    return decode_entities(strip(F.regexp_replace(markup, f"{P.WS}*(?:{tag}{P.WS}*)+", " ")))
+    """Each text node stripped, nodes joined by one space, entities decoded.
+
+    The markup is split at its tags: linear, however many follow one another.
+    """
+    nodes = F.transform(F.split(markup, P.TAG, -1), strip)
+    return decode_entities(F.array_join(F.array_remove(nodes, ""), " "))
 
 
 def decode_entities(text: Column) -> Column:

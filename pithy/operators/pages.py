@@ -16,7 +16,7 @@ from pithy.functions.arrays import compute_once
 
 def _region(markup: Column, name: str) -> Column:
     """Content of the first element of a name, up to its end tag or the end; '' if absent."""
-    return F.regexp_extract(markup, rf"(?is)<{name}\b[^>]*>(.*?)(?:</{name}\s*>|\z)", 1)
+    return F.regexp_extract(markup, rf"(?is)<{name}\b{P.TAG_REST}(.*?)(?:</{name}\s*+>|\z)", 1)
 
 
 def _has(markup: Column, name: str) -> Column:
@@ -25,7 +25,7 @@ def _has(markup: Column, name: str) -> Column:
 
 def _paragraphs(region: Column) -> Column:
     """Raw content of every <p>: up to its end tag, or the tag that implicitly closes it."""
-    chunks = F.split(region, r"(?i)<p(?:[\s/][^>]*)?>")
+    chunks = F.split(region, rf"(?i)<p(?=[\s/>]){P.TAG_REST}")
     closers = "p|div|article|section|main|body|html|ul|ol|table|h[1-6]|blockquote|pre|figure"
     return F.transform(
         F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0))),

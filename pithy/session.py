@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", partitions: int | None = None,
+) -> SparkSession:
     """A session for tests and single-machine runs; clusters bring their own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -19,6 +21,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if partitions:
+        spark.conf.set("pithy.partitions", partitions)
     return spark
 
 
@@ -44,11 +48,10 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for inputs of few files.
+    """Deal an input over as many partitions as the session's `pithy.partitions` names.
 
-    A file of one row group is one task, however many cores are idle. Inputs of
-    at least as many files as cores - every large one - keep the scan's own
-    partitions and are not shuffled.
+    For small inputs of one row group, which are one task however many cores are
+    idle. Where the setting is absent the scan's own partitions stay, unshuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if len(df.inputFiles()) < cores else df
+    partitions = df.sparkSession.conf.get("pithy.partitions", None)
+    return df.repartition(int(partitions)) if partitions else df

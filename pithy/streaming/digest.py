@@ -19,12 +19,13 @@ PAGE_SCHEMA = T.StructType([
 
 
 def digest_pages(pages: DataFrame, method: str | Method = "lead_3", n: int = 3) -> DataFrame:
-    """Parse pages and summarise those long enough; the same on batches and streams.
+    """Parse pages and summarise them; the same on batches and streams.
 
-    Every step is row-local, so a stream needs no state and no watermark.
+    Every page stays: one too short to be an article keeps its `status` and has an
+    empty summary. Every step is row-local, so a stream needs no state and no watermark.
     """
-    articles = parse_pages(pages).where(F.col("status") == "ok").drop("status")
-    return summarize(articles, method, n)
+    parsed = parse_pages(pages).withColumn("_long", F.when(F.col("status") == "ok", F.col("article")))
+    return summarize(parsed, method, n, "_long").drop("_long")
 
 
 def start_page_digest(
