@@ -9,7 +9,7 @@ equal windows are then neighbours, and each learns the least document that holds
 Steps, on blocks of whole documents (about `block_bytes` of text, stored compressed):
 1. every block lists its hashes by bucket; 2. buckets tell which occur in more than
 one document, and which are frequent; 3. blocks send the distinct segments of those
-hashes, those of frequent hashes and of hashes with a long segment as single windows
+hashes, those of very frequent hashes and of hashes with a long segment as single windows
 under a hash of their own; 4. buckets sort and compare; 5. blocks mark the bytes found.
 A block sends every distinct content once, so copies cost one record per block.
 """
@@ -30,8 +30,8 @@ from pithy.llm.suffixgroups import ranges, suffix_order
 from pithy.session import written
 
 GRAM = 24  # three 8-byte words
-MANY = 64  # further contents of a hash within blocks, beyond which its windows go one by one
-MANY_BLOCKS = 256  # blocks that have a hash, likewise
+SORTED = 96  # contents of a group up to which its suffixes are sorted
+MANY = 20_000  # contents of a hash, or blocks that have it, beyond which its windows go one by one
 LONG = 256  # windows of a segment, likewise
 LONG_MARK = 65535
 PART = 1 << 16
@@ -223,7 +223,7 @@ def placed(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), key & np.uint64(0xFFFFFFFF)
 
 
-def least_holders(tags: np.ndarray, bodies: list[bytes], low: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
+def least_holders(tags: np.ndarray, bodies: list[bytes], low: np.ndarray, length: int, most: int = SORTED) -> Iterator[tuple[int, np.ndarray]]:
     """(content, least rank per window) of contents that meet another one of their tag.
 
     bodies: distinct contents, `low` the least rank that holds each.
@@ -232,44 +232,77 @@ def least_holders(tags: np.ndarray, bodies: list[bytes], low: np.ndarray, length
     starts = np.flatnonzero(np.r_[True, tags[order][1:] != tags[order][:-1]]) if len(order) else np.empty(0, np.int64)
     sizes = np.diff(np.r_[starts, len(order)])
     lengths = np.array([len(b) for b in bodies], np.int64)
-    batch, held = [], 0
     groups = [order[s: s + k] for s, k in zip(starts.tolist(), sizes.tolist()) if k > 1]
     groups.sort(key=lambda g: int(lengths[g].sum()))  # strings of like length take like many steps
-    for g in groups:
-        batch.append(g)
-        held += int(lengths[g].sum())
-        if held >= SORT_BYTES:
-            yield from sorted_holders(batch, bodies, low, length)
-            batch, held = [], 0
-    if batch:
-        yield from sorted_holders(batch, bodies, low, length)
-
-
-def sorted_holders(groups: list[np.ndarray], bodies: list[bytes], low: np.ndarray, length: int):
-    """Suffix-sorts each group's contents, joined by separators below all bytes that fall from left to right."""
+    for large in (False, True):
+        batch, held = [], 0
+        for g in groups:
+            if (len(g) > most) != large:
+                continue
+            batch.append(g)
+            held += int(lengths[g].sum())
+            if held >= SORT_BYTES:
+                yield from sorted_holders(batch, bodies, low, length, large)
+                batch, held = [], 0
+        if batch:
+            yield from sorted_holders(batch, bodies, low, length, large)
+
+
+def window_words(raw: np.ndarray, at: np.ndarray, length: int) -> list[np.ndarray]:
+    """The windows at the given places as 8-byte words; the last word may overlap the one before."""
+    x = raw.astype(np.uint64)
+    for width in (1, 2, 4):
+        x = x[:-width] | (x[width:] << np.uint64(8 * width))
+    return [x[at + o] for o in [*range(0, length - 8, 8), length - 8]]
+
+
+def sorted_holders(groups: list[np.ndarray], bodies: list[bytes], low: np.ndarray, length: int, large: bool):
+    """Brings equal windows of each group together and yields (content, least rank per window).
+
+    A group's contents form one string, joined by separators below all bytes that
+    fall from left to right, whose suffixes are sorted. That takes as many steps as
+    the longest string is long; large groups sort their windows by a hash of all
+    their bytes instead. Either way neighbours are compared byte by byte.
+    """
     content = np.concatenate(groups)
     sizes = np.array([len(bodies[c]) for c in content.tolist()], np.int64)
-    group_of = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+    in_group = np.array([len(g) for g in groups])
+    group_of = np.repeat(np.arange(len(groups)), in_group)
     room = sizes + 1
     begin = np.cumsum(room) - room
     total = int(room.sum())
     raw = np.frombuffer(b"\0".join(bodies[c] for c in content.tolist()) + b"\0", np.uint8)
-    in_group = np.array([len(g) for g in groups])
-    symbols = raw.astype(np.int32) + np.repeat(in_group[group_of], room)
-    symbols[begin + sizes] = np.repeat(in_group, in_group) - 1 - ranges(np.zeros(len(groups), np.int64), in_group)
-    bounds = np.r_[0, np.cumsum(np.bincount(group_of, weights=room).astype(np.int64))]
-    order = suffix_order(symbols, bounds)
-
     piece = np.repeat(np.arange(len(content)), room)
-    is_window = np.zeros(total, bool)
-    is_window[ranges(begin, sizes - length + 1)] = True
-    order = order[is_window[order]]
+    places = ranges(begin, sizes - length + 1)
+    if large:
+        words = window_words(raw, places, length)
+        h = np.zeros(len(places), np.uint64)
+        for w in words:
+            h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + w)
+        by = np.lexsort((h, group_of[piece[places]]))
+        order = places[by]
+    else:
+        symbols = raw.astype(np.int32) + np.repeat(in_group[group_of], room)
+        symbols[begin + sizes] = np.repeat(in_group, in_group) - 1 - ranges(np.zeros(len(groups), np.int64), in_group)
+        bounds = np.r_[0, np.cumsum(np.bincount(group_of, weights=room).astype(np.int64))]
+        is_window = np.zeros(total, bool)
+        is_window[places] = True
+        order = suffix_order(symbols, bounds)
+        order = order[is_window[order]]
     views = np.lib.stride_tricks.sliding_window_view(raw, length)
-    same = np.zeros(len(order), bool)
-    for at in range(1, len(order), 1 << 16):
-        to = min(len(order), at + (1 << 16))
-        same[at:to] = (views[order[at:to]] == views[order[at - 1: to - 1]]).all(axis=1)
-    same[1:] &= group_of[piece[order[1:]]] == group_of[piece[order[:-1]]]
+
+    def equal_to_last(order: np.ndarray) -> np.ndarray:
+        same = np.zeros(len(order), bool)
+        for at in range(1, len(order), 1 << 16):
+            to = min(len(order), at + (1 << 16))
+            same[at:to] = (views[order[at:to]] == views[order[at - 1: to - 1]]).all(axis=1)
+        same[1:] &= group_of[piece[order[1:]]] == group_of[piece[order[:-1]]]
+        return same
+
+    same = equal_to_last(order)
+    if large and (~same[1:] & (h[by][1:] == h[by][:-1])).any():  # unequal windows of one hash may lie between equal ones
+        order = places[np.lexsort((*words, group_of[piece[places]]))]
+        same = equal_to_last(order)
     head = np.flatnonzero(~same)
     least = np.minimum.reduceat(low[content[piece[order]]], head) if len(order) else np.empty(0, np.int64)
     result = np.empty(total, np.int64)
@@ -278,7 +311,7 @@ def sorted_holders(groups: list[np.ndarray], bodies: list[bytes], low: np.ndarra
         yield c, result[a: a + n]
 
 
-def compared(buckets: list[tuple[list[int], list[list[bytes]]]], length: int) -> pa.RecordBatch:
+def compared(buckets: list[tuple[list[int], list[list[bytes]]]], length: int, most: int) -> pa.RecordBatch:
     """(block, blob): for each block's contents, runs of windows that an earlier document has, and the first such."""
     known: dict[tuple[int, bytes], int] = {}
     tags, read = [], []
@@ -297,7 +330,7 @@ def compared(buckets: list[tuple[list[int], list[list[bytes]]]], length: int) ->
     for _, _, _, of, own, _ in read:
         np.minimum.at(low, of, own)
     runs: dict[int, np.ndarray] = {}
-    for c, least in least_holders(np.array(tags, np.int64), [body for _, body in known], low, length):
+    for c, least in least_holders(np.array(tags, np.int64), [body for _, body in known], low, length, most):
         first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
         runs[c] = np.stack([first, np.diff(np.r_[first, len(least)]), least[first]], axis=1)
     has_runs = np.zeros(len(known), bool)
@@ -339,7 +372,7 @@ def records(names: list[str], *columns) -> pa.RecordBatch:
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
-    block_bytes: int = 4 << 20, buckets: int | None = None,
+    block_bytes: int = 4 << 20, buckets: int | None = None, sorted_contents: int = SORTED, many: int = MANY,
 ) -> DataFrame:
     """(id_col, n_bytes, spans, kept) for every row: what each text's UTF-8 bytes keep.
 
@@ -352,7 +385,8 @@ def remove_repeats(
 
     buckets: how finely hashes are dealt, by default eight per shuffle partition; a
     bucket is held by one task at a time. On large clusters raise `block_bytes` with
-    it, so that a block still sends many hashes to each bucket.
+    it, so that a block still sends many hashes to each bucket. sorted_contents and
+    many: see SORTED and MANY; they move work, not results.
     """
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
@@ -385,7 +419,7 @@ def remove_repeats(
             distinct, place = np.unique(np.concatenate(tags), return_inverse=True)
             weigh = lambda k, kind: np.bincount(place, weights=np.concatenate([np.frombuffer(p[k], kind) for p in parts]))
             holders = np.bincount(place)
-            frequent = (weigh(1, np.uint16) > MANY) | (holders > MANY_BLOCKS)
+            frequent = weigh(1, np.uint16) + holders > many
             flag = np.where(holders + weigh(2, bool) < 2, 0, np.where(frequent, 2, 1)).astype(np.uint8)[place]
             ends = np.cumsum([len(t) for t in tags])[:-1]
             yield records(sent, [bucket] * len(numbers), numbers, [pack(x) for x in np.split(flag, ends)])
@@ -415,9 +449,9 @@ def remove_repeats(
             held.append((numbers, [unpack(b) for b in blobs]))
             size += sum(len(p[-1]) for p in held[-1][1])
             if size >= HELD_BYTES:
-                yield compared(held, length)
+                yield compared(held, length, sorted_contents)
                 held, size = [], 0
-        yield compared(held, length)
+        yield compared(held, length, sorted_contents)
 
     result = f"`{id_col}` long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary"
 
