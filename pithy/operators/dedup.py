@@ -11,19 +11,15 @@ from pithy.functions import text
 def deduplicate(df: DataFrame, article_col: str = "article", id_col: str = "id") -> DataFrame:
     """Keep the row with the lowest id of every article, ignoring case and outer space.
 
-    Blank articles are dropped. The shuffle key is a digest of the article. Spark
-    applies the `row_number = 1` limit before the shuffle too, so however many
-    copies an article has, each task sends at most one of them.
+    Blank articles are dropped. Digests alone are shuffled to find the articles that
+    repeat; other rows stay where they are while those articles are few enough to
+    broadcast. Of a repeated article each task sends at most one row: Spark applies
+    the `row_number = 1` limit before the shuffle too.
     """
     key = F.lower(text.strip(F.coalesce(F.col(article_col), F.lit(""))))
-    others = [F.col(c) for c in df.columns if c != id_col]
-    first = Window.partitionBy("_digest").orderBy(F.col(id_col), *others)
-    return (
-        df.withColumn("_key", key)
-        .where("_key != ''")
-        .withColumn("_digest", F.unhex(F.sha2("_key", 256)))
-        .drop("_key")
-        .withColumn("_rank", F.row_number().over(first))
-        .where("_rank = 1")
-        .drop("_rank", "_digest")
-    )
+    rows = df.where(key != "").withColumn("_digest", F.unhex(F.sha2(key, 256)))
+    repeated = rows.groupBy("_digest").count().where("count > 1").select("_digest")
+    first = Window.partitionBy("_digest").orderBy(F.col(id_col), *[F.col(c) for c in df.columns if c != id_col])
+    once = rows.join(repeated, "_digest", "left_anti")
+    lowest = rows.join(repeated, "_digest", "left_semi").withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
+    return once.unionByName(lowest.drop("_rank")).select(*df.columns)

@@ -32,23 +32,34 @@ class Columns:
 
 DEFAULT = Columns()
 
+#: Column in which a reader leaves a line that it could not parse.
+CORRUPT = "_corrupt_record"
+REASONS = ("corrupt_record", "empty_article", "empty_summary", "summary_longer_than_article")
+
 
 def check_columns(df: DataFrame, cols: Columns = DEFAULT) -> None:
     missing = [c for c in (cols.article, cols.summary) if c not in df.columns]
     if missing:
-        raise DataValidationError(f"Dataset is missing required column(s): {', '.join(missing)}")
+        raise DataValidationError(f"No column named {' or '.join(missing)} in the table")
 
 
 def add_checks(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
-    """Add word counts of the raw text and `reject_reason` (null for good rows)."""
+    """Add word counts of the raw text and `reject_reason` (null for good rows).
+
+    A table that has the checks already is returned as it is. Lines that a reader
+    could not parse (`_corrupt_record`) are rejected as such.
+    """
     check_columns(df, cols)
+    if "reject_reason" in df.columns:
+        return df
     df = compute_once(df, {
         "article_words": text.word_count(F.coalesce(F.col(cols.article).cast("string"), F.lit(""))),
         "summary_words": text.word_count(F.coalesce(F.col(cols.summary).cast("string"), F.lit(""))),
     })
     return df.withColumn(
         "reject_reason",
-        F.when(F.col("article_words") == 0, "empty_article")
+        F.when(F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False), "corrupt_record")
+        .when(F.col("article_words") == 0, "empty_article")
         .when(F.col("summary_words") == 0, "empty_summary")
         .when(F.col("article_words") < F.col("summary_words"), "summary_longer_than_article"),
     )
@@ -76,8 +87,8 @@ def pair_digest(*columns: Column) -> Column:
     return F.unhex(F.sha2(F.concat(*framed), 256))
 
 
-def _copies(df: DataFrame, cols: Columns, *also: str) -> DataFrame:
-    """One row per distinct (article, summary, also), with its number of copies.
+def _copies(df: DataFrame, cols: Columns) -> DataFrame:
+    """One row per distinct (article, summary), with its number of copies.
 
     The text is reduced to a digest before the shuffle and counted on the map
     side, so a pair that fills a third of the table costs one row per task.
@@ -86,9 +97,9 @@ def _copies(df: DataFrame, cols: Columns, *also: str) -> DataFrame:
         add_checks(df, cols)
         .select(
             pair_digest(F.col(cols.article).cast("string"), F.col(cols.summary).cast("string")).alias("d"),
-            "article_words", "summary_words", "reject_reason", *also,
+            "article_words", "summary_words", "reject_reason",
         )
-        .groupBy("d", "article_words", "summary_words", "reject_reason", *also)
+        .groupBy("d", "article_words", "summary_words", "reject_reason")
         .agg(F.count("*").alias("n"))
     )
 
@@ -108,24 +119,27 @@ def profile(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """One row: rows, columns, sources, word counts, duplicates, rejected rows by reason.
 
     `sources` is the number of distinct sources; `distinct_sources` lists them.
-    The texts are read once.
+    The texts are read once: copies are counted per digest, then digests per word
+    counts, and everything but the sources follows from that small table.
     """
     check_columns(df, cols)
-    source = [cols.source] if cols.source and cols.source in df.columns else []
-    n_sources = F.count_distinct(source[0]) if source else F.lit(0).cast("long")
+    n_sources = F.lit(0).cast("long")
+    if cols.source and cols.source in df.columns:
+        named = df.select(cols.source).where(F.col(cols.source).isNotNull()).distinct()
+        n_sources = named.agg(F.count("*")).scalar()
     reason = F.col("reject_reason")
-    return _copies(df, cols, *source).agg(
+    lengths = _copies(df, cols).groupBy("article_words", "summary_words", "reject_reason").agg(
+        F.sum("n").alias("n"), F.count("*").alias("pairs")
+    )
+    columns = [c for c in df.columns if c not in ("article_words", "summary_words", "reject_reason", CORRUPT)]
+    return lengths.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.lit(df.columns).alias("columns"),
+        F.lit(columns).alias("columns"),
         _lengths("article_words").alias("article_lengths"),
         _lengths("summary_words").alias("summary_lengths"),
-        (F.coalesce(F.sum("n"), F.lit(0)) - F.count_distinct("d")).alias("duplicate_rows"),
-        *[
-            F.coalesce(F.sum(F.when(reason == r, F.col("n"))), F.lit(0)).alias(f"{r}_rows")
-            for r in ("empty_article", "empty_summary", "summary_longer_than_article")
-        ],
-        n_sources.alias("sources"),
-    )
+        F.coalesce(F.sum(F.col("n") - F.col("pairs")), F.lit(0)).alias("duplicate_rows"),
+        *[F.coalesce(F.sum(F.when(reason == r, F.col("n"))), F.lit(0)).alias(f"{r}_rows") for r in REASONS],
+    ).withColumn("sources", n_sources)
 
 
 def duplicate_count(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
@@ -158,25 +172,23 @@ def validate(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     report = profile(df, cols)
     row = report.first()
     if row["rows"] == 0:
-        raise DataValidationError("Dataset is empty.")
+        raise DataValidationError("The table has no rows")
     messages = {
-        "empty_article": f"Article column '{cols.article}' contains empty rows",
-        "empty_summary": f"Summary column '{cols.summary}' contains empty rows",
-        "summary_longer_than_article": (
-            "Some rows have summaries longer than articles; "
-            "this usually indicates swapped columns"
-        ),
+        "corrupt_record": "Lines that could not be parsed",
+        "empty_article": f"Rows without text in the article column {cols.article}",
+        "empty_summary": f"Rows without text in the summary column {cols.summary}",
+        "summary_longer_than_article": "Rows whose summary has more words than the article (are the columns swapped?)",
     }
     for reason, message in messages.items():
         if row[f"{reason}_rows"]:
             where = ""
             if cols.id and cols.id in df.columns:
                 first = [str(r[0]) for r in offenders(df, reason, cols).collect()]
-                where = f" at: {', '.join(first)}"
+                where = f", first ids: {', '.join(first)}"
             raise DataValidationError(message + where)
     if row["duplicate_rows"]:
         warnings.warn(
-            f"Dataset contains {row['duplicate_rows']} duplicated article/summary row(s).",
+            f"{row['duplicate_rows']} rows repeat the article and summary of an earlier one",
             UserWarning, stacklevel=2,
         )
     return report

@@ -126,14 +126,14 @@ def paired_comparison(
 
 def best_and_worst(scores: DataFrame, metric: str = "rouge1_f1", id_col: str = "id") -> DataFrame:
     """Best and worst article of every method; ties go to the lowest id."""
-    score = F.round(metric, PLACES)
-    best = F.min(F.struct((-score).alias("s"), F.col(id_col).alias("id")))
-    worst = F.min(F.struct(score.alias("s"), F.col(id_col).alias("id")))
-    return scores.groupBy("method").agg(best.alias("b"), worst.alias("w")).select(
-        "method",
-        F.col("b.id").alias("best_id"), (-F.col("b.s")).alias("best_score"),
-        F.col("w.id").alias("worst_id"), F.col("w.s").alias("worst_score"),
-    )
+    rounded = scores.select("method", F.round(metric, PLACES).alias("s"), F.col(id_col).alias("id"))
+    ends = rounded.groupBy("method").agg(F.max("s").alias("best_score"), F.min("s").alias("worst_score"))
+    # One row per method.
+    at_ends = rounded.join(F.broadcast(ends), "method").where("s = best_score or s = worst_score")
+    return at_ends.groupBy("method", "best_score", "worst_score").agg(
+        F.min(F.when(F.col("s") == F.col("best_score"), F.col("id"))).alias("best_id"),
+        F.min(F.when(F.col("s") == F.col("worst_score"), F.col("id"))).alias("worst_id"),
+    ).select("method", "best_id", "best_score", "worst_id", "worst_score")
 
 
 def length_histogram(df: DataFrame, text_col: str, bins: int = 20) -> DataFrame:

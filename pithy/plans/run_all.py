@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,23 +16,25 @@ from pithy.operators import evaluate as E
 from pithy.operators import quality as Q
 from pithy.operators import reports as R
 from pithy.operators.split import cap_rows, split_dataset
-from pithy.operators.summarize import Method
+from pithy.operators.summarize import Method, choose_methods
+from pithy.session import written
 from pithy.sources.readers import read_pairs
 from pithy.sources.sinks import read_rows, write_metrics, write_rows, write_summary
 
 
 def run_all(
     spark: SparkSession, in_path: str, out_dir: str, methods: Sequence[str | Method] | None = None,
-    n: int = 3, variants: Sequence[str] = E.ALL_VARIANTS, max_examples: int | None = 50,
+    n: int = 3, variants: Sequence[str] = E.ALL_VARIANTS, max_examples: int | None = None,
     seed: int = 42, fmt: str | None = None, cols: Q.Columns = Q.DEFAULT, on_bad_rows: str = "raise",
+    timing_rows: int = 1000,
 ) -> dict[str, str]:
     """Write every result of a corpus under `out_dir`; return the paths by name.
 
     `on_bad_rows` is 'raise' (stop at the first failed check) or 'quarantine'
-    (set bad rows aside and go on). `max_examples` caps the scored test rows;
-    None or 0 scores all of them.
+    (set bad rows aside and go on). All test rows are scored unless the caller names
+    `max_examples`. Seconds per article are measured on `timing_rows` of them.
     """
-    raw = read_pairs(spark, in_path, fmt)
+    raw = read_pairs(spark, in_path, fmt, label_corrupt=True)
     Q.check_columns(raw, cols)
     if not cols.id or cols.id not in raw.columns:
         cols = Q.Columns(cols.article, cols.summary, "id", cols.source)
@@ -40,22 +43,24 @@ def run_all(
         "profile", "rejected", "prepared", "qualitative_review", "method_summary", "rouge_metrics",
     )}
 
+    # Checked once: profile, rejected rows and good rows read the same table.
+    checked = written(Q.add_checks(raw, cols), "checked")
+    report = Q.profile(checked, cols) if on_bad_rows == "quarantine" else Q.validate(checked, cols)
+    row = report.first()
+    spark.createDataFrame([row], report.schema).write.mode("overwrite").json(paths["profile"])
+    columns = [c for c in raw.columns if c != Q.CORRUPT]
     if on_bad_rows == "quarantine":
-        good, bad = Q.quarantine(raw, cols)
-        bad.write.mode("overwrite").parquet(paths["rejected"])
-        report = Q.profile(raw, cols)
-    else:
-        good, report = raw, Q.validate(raw, cols)
-    report.write.mode("overwrite").json(paths["profile"])
+        checked.where("reject_reason is not null").write.mode("overwrite").parquet(paths["rejected"])
+    good = checked.where("reject_reason is null").select(*columns)
 
-    # Written once, read by everything that follows: cleaning is not repeated, and
-    # a lost executor costs a re-read rather than a recomputation.
-    prepared = split_dataset(Q.prepare(good, cols), cols.id, seed)
-    prepared.write.mode("overwrite").parquet(paths["prepared"])
+    # Split by id before cleaning, so that the cut-off does not clean texts. Written
+    # once, read by everything that follows; a reader of one part skips the others.
+    prepared = Q.prepare(split_dataset(good, cols.id, seed), cols)
+    prepared.write.mode("overwrite").partitionBy("split").parquet(paths["prepared"])
     prepared = spark.read.parquet(paths["prepared"])
     test = cap_rows(prepared.where(F.col("split") == "test"), max_examples, cols.id, seed)
 
-    seconds = E.time_methods(test, methods, n, cols)
+    seconds = E.time_methods(cap_rows(test, timing_rows, cols.id, seed), methods, n, cols)
     write_rows(
         E.score_methods(test, methods, n, variants, cols=cols, seconds=seconds),
         paths["qualitative_review"],
@@ -64,15 +69,18 @@ def run_all(
     summary = E.method_summary(scores, variants)
     write_summary(summary, paths["method_summary"])
     write_metrics(summary, paths["rouge_metrics"])
-    for name, table in report_tables(prepared, scores, summary, variants, cols).items():
+    names = [m.name for m in choose_methods(methods)]
+    for name, table in report_tables(prepared, scores, summary, variants, cols, names).items():
         paths[name] = f"{out_dir}/reports/{name}"
-        table.coalesce(1).write.mode("overwrite").json(paths[name])
+        # Tables by source grow with the sources; the others have a fixed bound.
+        table = table if name in ("quality", "sources") else table.coalesce(1)
+        table.write.mode("overwrite").json(paths[name])
     return paths
 
 
 def report_tables(
     prepared: DataFrame, scores: DataFrame, summary: DataFrame, variants: Sequence[str],
-    cols: Q.Columns = Q.DEFAULT,
+    cols: Q.Columns = Q.DEFAULT, methods: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """The report tables by name; each is small whatever the size of the corpus."""
     tables = {
@@ -85,7 +93,11 @@ def report_tables(
         "describe_lengths": R.describe_lengths(prepared, cols),
         "split_skew": R.split_skew(prepared, cols),
     }
+    if cols.source and cols.source in prepared.columns:
+        tables["sources"] = Q.distinct_sources(prepared, cols)
     if "rouge1" in variants:
+        for left, right in combinations(methods, 2):
+            tables[f"paired_{left}_{right}"] = R.paired_comparison(scores, left, right, id_col=cols.id)
         by = [cols.source] if cols.source and cols.source in scores.columns else []
         tables["per_example_rouge"] = R.score_curve(scores)
         tables["best_and_worst"] = R.best_and_worst(scores, id_col=cols.id)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(
     cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", partitions: int | None = None,
+    config: dict[str, str] | None = None,
 ) -> SparkSession:
     """A session for tests and single-machine runs; clusters bring their own."""
     spark = (
@@ -18,6 +19,7 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config(map=config or {})
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

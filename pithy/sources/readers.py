@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from pithy.operators.quality import DataValidationError
+from pithy.operators.quality import CORRUPT, DataValidationError
 
 PAIR_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -23,39 +23,55 @@ PAIR_SCHEMA = T.StructType([
 FORMATS = {".csv": "csv", ".tsv": "tsv", ".parquet": "parquet", ".jsonl": "jsonl"}
 
 # What the usual CSV readers take for a missing value.
-MISSING = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "#N/A", "<NA>")
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def read_pairs(
     spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None,
+    label_corrupt: bool = False,
 ) -> DataFrame:
     """Read a table by suffix or explicit format: csv, tsv, parquet or jsonl.
 
-    `path` may name a file, a folder or a glob. Text formats take the schema's
-    fields by header or key; without a schema the header's columns are read as
-    text, and JSON fields are those of PAIR_SCHEMA that occur.
+    `path` may name a file, a folder or a glob. Without a schema CSV takes the
+    header's columns and JSON every key that occurs, all as text; JSON keys cost a
+    second scan, which a schema saves. With `label_corrupt` a line that does not
+    parse, or a CSV line of another number of fields than the header, is kept in
+    `_corrupt_record`; the checks of `quality` then reject it.
     """
     fmt = fmt or FORMATS.get(PurePosixPath(path).suffix.lower())
     if fmt not in FORMATS.values():
-        raise DataValidationError("Supported formats are CSV, TSV, Parquet, and JSONL.")
+        raise DataValidationError(f"Cannot tell the format of {path}: name csv, tsv, parquet or jsonl")
+    bad = {"columnNameOfCorruptRecord": CORRUPT} if label_corrupt else {}
     try:
         if fmt == "parquet":
             return (spark.read.schema(schema) if schema else spark.read).parquet(path)
         if fmt == "jsonl":
-            return spark.read.schema(schema or PAIR_SCHEMA).json(path)
+            reader = spark.read.options(primitivesAsString=True, **bad)
+            fields = schema or reader.json(path).schema
+            if label_corrupt and CORRUPT not in fields.names:
+                fields = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+            elif not label_corrupt:
+                fields = T.StructType([f for f in fields if f.name != CORRUPT])
+            return reader.schema(fields).json(path)
         # Quoted line breaks and doubled quotes are part of the text.
         reader = spark.read.options(
             header=True, multiLine=True, quote='"', escape='"', sep="\t" if fmt == "tsv" else ",",
-            enforceSchema=False,
+            enforceSchema=False, **bad,
         )
-        df = (reader.schema(schema) if schema else reader).csv(path)
+        fields = schema or reader.csv(path).schema
+        if label_corrupt:
+            fields = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+        df = reader.schema(fields).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise DataValidationError(f"Dataset file does not exist: {path}") from error
+            raise DataValidationError(f"There is nothing at {path}") from error
         raise
     return df.withColumns({
         f.name: F.when(~F.col(f.name).isin(*MISSING), F.col(f.name))
-        for f in df.schema if f.dataType == T.StringType()
+        for f in df.schema if f.dataType == T.StringType() and f.name != CORRUPT
     })
 
 
@@ -67,5 +83,10 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def limit_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Cap the rows on ingest; None or a value below 1 means all of them."""
-    return df.limit(max_rows) if max_rows and max_rows > 0 else df
+    """Any `max_rows` rows; None or a value below 1 means all of them.
+
+    A limit ends in one partition, so the rows are dealt out again for the work that follows.
+    """
+    if not max_rows or max_rows <= 0:
+        return df
+    return df.limit(max_rows).repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,7 +11,10 @@ from pithy.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=8, shuffle_partitions=4)
+    folder = tempfile.mkdtemp(prefix="pithy-tests-")
+    session = local_session(cores=8, shuffle_partitions=4, config={
+        "spark.checkpoint.dir": f"{folder}/checkpoint", "spark.sql.warehouse.dir": f"{folder}/warehouse",
+    })
     yield session
     session.stop()
 

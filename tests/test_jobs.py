@@ -35,9 +35,9 @@ def test_parquet_and_jsonl(spark, tmp_path, corpus):
 
 
 def test_reader_errors(spark, tmp_path):
-    with pytest.raises(quality.DataValidationError, match="does not exist"):
+    with pytest.raises(quality.DataValidationError, match="nothing at"):
         readers.read_pairs(spark, str(tmp_path / "none.csv"))
-    with pytest.raises(quality.DataValidationError, match="Supported formats"):
+    with pytest.raises(quality.DataValidationError, match="Cannot tell the format"):
         readers.read_pairs(spark, str(tmp_path / "data.xlsx"))
 
 
@@ -65,12 +65,54 @@ def test_checkpoint_folder_is_the_sessions(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir", checkpoint_root(spark))
 
 
-def test_spread_leaves_many_files_alone(spark, tmp_path, corpus):
-    spark.range(1000).repartition(8).write.parquet(str(tmp_path / "many"))
+def test_spread_only_on_request(spark, tmp_path, corpus):
     corpus.coalesce(1).write.parquet(str(tmp_path / "one"))
-    many, one = (spread(spark.read.parquet(str(tmp_path / n))) for n in ("many", "one"))
-    assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
-    assert one.rdd.getNumPartitions() == 16
+    df = spark.read.parquet(str(tmp_path / "one"))
+    before = spark.conf.get("pithy.partitions", None)
+    try:
+        spark.conf.set("pithy.partitions", 16)
+        assert spread(df).rdd.getNumPartitions() == 16
+        spark.conf.unset("pithy.partitions")
+        assert "Exchange" not in spread(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        if before:
+            spark.conf.set("pithy.partitions", before)
+
+
+def test_missing_value_tokens(spark, tmp_path):
+    file = tmp_path / "data.csv"
+    file.write_text("article,highlights\n" + "".join(f"text,{m}\n" for m in readers.MISSING) + "text,-n/a\n")
+    rows = readers.read_pairs(spark, str(file)).collect()
+    assert [r["highlights"] for r in rows] == [None] * len(readers.MISSING) + ["-n/a"]
+
+
+def test_jsonl_keeps_every_key_and_labels_bad_lines(spark, tmp_path):
+    file = tmp_path / "data.jsonl"
+    lines = [json.dumps({"document": f"One two three {i}. Four five.", "summary": "one", "lang": "en"}) for i in range(8)]
+    file.write_text("\n".join([*lines, "not json"]))
+    df = readers.read_pairs(spark, str(file), label_corrupt=True)
+    assert set(df.columns) == {"document", "summary", "lang", "_corrupt_record"}
+    assert "_corrupt_record" not in readers.read_pairs(spark, str(file)).columns
+    paths = run_all(spark, str(file), str(tmp_path / "out"), ["lead_3"], cols=quality.Columns("document", "summary", None, None),
+                    variants=("rouge1",), on_bad_rows="quarantine")
+    assert [r[0] for r in spark.read.parquet(paths["rejected"]).select("reject_reason").collect()] == ["corrupt_record"]
+    assert spark.read.parquet(paths["prepared"]).count() == 8
+
+
+def test_csv_lines_of_another_width_are_labelled(spark, tmp_path):
+    file = tmp_path / "data.csv"
+    file.write_text("article,highlights\na b,c\na b,c,d,e\n")
+    rows = readers.read_pairs(spark, str(file), label_corrupt=True).collect()
+    assert [r["_corrupt_record"] is None for r in rows] == [True, False]
+
+
+def test_run_all_scores_every_test_row(spark, tmp_path):
+    rows = [(i, "s", f"First sentence of text {i}. Second one here. Third one too.", f"First sentence {i}") for i in range(800)]
+    spark.createDataFrame(rows, "id long, source string, article string, highlights string").write.parquet(str(tmp_path / "in.parquet"))
+    paths = run_all(spark, str(tmp_path / "in.parquet"), str(tmp_path / "out"), variants=("rouge1",))
+    assert sinks.read_rows(spark, paths["qualitative_review"]).count() == 400
+    assert spark.read.json(paths["paired_lead_3_textrank"]).first()["ties"] >= 0
+    assert [r[0] for r in spark.read.json(paths["sources"]).collect()] == ["s"]
 
 
 PAGE = "<title>T{0}</title><article><p>{1}</p></article>"
@@ -92,7 +134,8 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     batch = digest_pages(spark.read.parquet(src), "textrank")
     streamed = spark.read.parquet(out)
     assert sorted(streamed.collect()) == sorted(batch.select(*streamed.columns).collect())
-    assert streamed.count() == sum(1 for i in range(17) if i % 4)
+    assert streamed.count() == 17
+    assert {r["page_id"] for r in streamed.where("summary = ''").collect()} == {i for i in range(17) if not i % 4}
 
 
 def test_run_all(spark, tmp_path, corpus):
@@ -115,7 +158,7 @@ def test_run_all(spark, tmp_path, corpus):
 def test_run_all_quarantines_or_raises(spark, tmp_path, corpus):
     bad = corpus.union(spark.createDataFrame([(99, "wire", " ", "x")], corpus.schema)).drop("id")
     bad.write.json(str(tmp_path / "in.jsonl"))
-    with pytest.raises(quality.DataValidationError, match="empty rows"):
+    with pytest.raises(quality.DataValidationError, match="article column article"):
         run_all(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "a"))
     with warnings.catch_warnings():
         warnings.simplefilter("error", UserWarning)

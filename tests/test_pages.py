@@ -1,6 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from pithy.functions import text
 from pithy.operators.pages import looks_like_chrome, parse_pages
 
 LONG = " ".join(f"word{i}" for i in range(16)) + "."
@@ -58,3 +61,26 @@ def test_chrome(spark):
              "Follow us on the map": True, "a copyright case": False, "stand by me": False}
     df = spark.createDataFrame(list(cases.items()), "p string, want boolean")
     assert df.where(looks_like_chrome(F.col("p")) != F.col("want")).count() == 0
+
+
+def test_long_runs_of_markup_are_linear(spark):
+    """Neither stack nor time grows out of bounds; the input is no literal, so an executor works on it."""
+    n = 100_000
+    cases = [("<br>\n", n), ("<td></td>", n), (" ", 1_000_000), ("\n", 1_000_000), ("<p>", n), ("<!---->", n)]
+    for piece, times in cases:
+        df = spark.range(1).selectExpr(f"concat('<p>start', repeat('{piece}', cast(id as int) + {times}), 'end</p>') as html", "'u' as url")
+        begin = time.perf_counter()
+        (row,) = df.select(text.strip_html(F.col("html")).alias("t"), text.normalize_article(F.col("html")).alias("a")).collect()
+        parse_pages(df).collect()
+        assert row["t"].split() == ["start", "end"] or "start" in row["t"]
+        assert time.perf_counter() - begin < 15, piece
+
+
+@pytest.mark.parametrize("markup, visible", [
+    ('<a title="x > y" href="u">Link</a> end', "Link end"), ("<a title='>'>a</a><b>c</b>", "a c"),
+    ('<p class=a">one</p><p>two "quoted" words</p>', 'one two "quoted" words'), ("a<template><b>hidden</b></template>b <i>c</i>", "a b c"),
+    ("<br>" * 50 + "x", "x"), ("1 < 2 <b>bold</b>", "1 < 2 bold"),
+])
+def test_visible_text(spark, markup, visible):
+    df = spark.createDataFrame([(markup,)], "html string")
+    assert df.select(text.strip_html(F.col("html"))).first()[0] == visible

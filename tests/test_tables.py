@@ -50,17 +50,17 @@ def test_duplicates_count_nulls_as_equal_and_empty_as_different(spark):
 
 
 def test_validate_order_and_messages(spark, corpus):
-    with pytest.raises(quality.DataValidationError, match=r"missing required column\(s\): article, highlights"):
+    with pytest.raises(quality.DataValidationError, match="No column named article or highlights"):
         quality.validate(spark.range(3))
-    with pytest.raises(quality.DataValidationError, match="empty"):
+    with pytest.raises(quality.DataValidationError, match="no rows"):
         quality.validate(corpus.where("false"))
-    with pytest.raises(quality.DataValidationError, match="Article column 'article' contains empty rows at: 2, 3"):
+    with pytest.raises(quality.DataValidationError, match="article column article, first ids: 2, 3"):
         quality.validate(frame(spark, MIXED))
-    with pytest.raises(quality.DataValidationError, match="Summary column .* at: 4, 8, 9"):
+    with pytest.raises(quality.DataValidationError, match="summary column .* first ids: 4, 8, 9"):
         quality.validate(frame(spark, MIXED).where("id not in (2, 3)"))
-    with pytest.raises(quality.DataValidationError, match="swapped columns at: 5"):
+    with pytest.raises(quality.DataValidationError, match="swapped.*first ids: 5"):
         quality.validate(frame(spark, MIXED).where("id in (1, 5, 6)"))
-    with pytest.warns(UserWarning, match="1 duplicated"):
+    with pytest.warns(UserWarning, match="1 rows repeat"):
         quality.validate(frame(spark, MIXED).where("id in (1, 6, 7)"))  # equal lengths are allowed
 
 
@@ -78,14 +78,28 @@ def test_deduplicate(spark):
         assert [(r["id"], r["highlights"]) for r in got] == [(1, "a"), (3, "c")]
 
 
-def test_deduplicate_prunes_copies_before_the_shuffle(spark):
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deduplicate_shuffles_digests_and_prunes_copies(spark):
     df = frame(spark, [(i, "s", "the same text" if i % 3 else f"text {i}", "h") for i in range(600)]).repartition(8)
     result = dedup.deduplicate(df)
-    plan = result._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "WindowGroupLimit" in plan_of(result) and "Partial" in plan_of(result)
     assert result.count() == 201
 
 
+def test_profile_and_best_worst_plans(spark, scored):
+    df = frame(spark, MIXED)
+    assert "Expand" not in plan_of(quality.profile(df))
+    assert "SortAggregate" not in plan_of(reports.best_and_worst(scored))
+
+
+def test_checks_are_made_once(spark):
+    checked = quality.add_checks(frame(spark, MIXED))
+    assert quality.add_checks(checked) is checked
+
+
 def test_random_split(spark):
     for n in (4, 5, 10, 101, 1000):
         df = spark.range(n).repartition(3)
@@ -97,10 +111,30 @@ def test_random_split(spark):
     assert other != a
 
 
-def test_tiny_tables_serve_as_both_parts(spark):
-    got = sorted((r["id"], r["split"]) for r in split.random_split(spark.range(3)).collect())
-    assert got == [(i, s) for i in range(3) for s in ("test", "train")]
-    assert split.random_split(spark.range(0)).count() == 0
+def test_tiny_tables_are_split_like_others(spark):
+    for n, test in ((0, 0), (1, 0), (2, 1), (3, 1)):
+        got = split.random_split(spark.range(n)).collect()
+        assert len(got) == n and sum(r["split"] == "test" for r in got) == test
+
+
+def test_split_of_null_and_shared_ids(spark):
+    nulls = spark.createDataFrame([(None, f"text {i}") for i in range(100)], "id long, article string")
+    assert split.random_split(nulls).where("split = 'test'").count() == 25
+    copies = spark.createDataFrame([(7, "x")] * 100, "id long, article string")
+    assert {r["split"] for r in split.random_split(copies).collect()} == {"train"}
+    hot = spark.createDataFrame([(7, "x")] * 40 + [(i, "y") for i in range(100, 160)], "id long, article string")
+    got = split.random_split(hot).collect()
+    assert len({r["split"] for r in got if r["id"] == 7}) == 1
+    assert 0 < sum(r["split"] == "test" for r in got) < 100
+    two = split.random_split(spark.createDataFrame([(1,)] * 5 + [(2,)] * 95, "id long")).collect()
+    assert {r["split"] for r in two} == {"train", "test"}
+
+
+def test_cap_leaves_rows_where_they_are(spark):
+    capped = split.cap_rows(spark.range(10_000).repartition(8), 700)
+    assert capped.count() == 700 and capped.rdd.getNumPartitions() == 8
+    assert split.cap_rows(spark.range(5), 9).count() == 5
+    assert split.cap_rows(spark.createDataFrame([(1,)] * 6 + [(2,)] * 6, "id long"), 8).count() == 6
 
 
 def test_bucket_split_share(spark):
@@ -119,8 +153,8 @@ def test_explicit_split(spark):
 
 def test_cap(spark):
     df = spark.range(100)
-    first = [r[0] for r in split.cap_rows(df, 7).collect()]
-    assert first == [r[0] for r in split.cap_rows(df.repartition(9), 7).collect()] and len(first) == 7
+    first = {r[0] for r in split.cap_rows(df, 7).collect()}
+    assert first == {r[0] for r in split.cap_rows(df.repartition(9), 7).collect()} and len(first) == 7
     assert split.cap_rows(df, 0).count() == 100 and split.cap_rows(df, None).count() == 100
 
 
