@@ -366,6 +366,14 @@ def build() -> dict[str, str]:
              round(avg(summary_length), 6) AS mean_summary_length,
              round(coalesce(avg(ratio), 0), 6) AS mean_compression_ratio
       FROM made JOIN r1 USING (id, method) JOIN r2 USING (id, method) JOIN rl USING (id, method) GROUP BY method"""
+    sql["blank_rows_summary"] = with_(SUMMARIES.replace("FROM checked WHERE reject_reason IS NULL", "FROM checked"), R1) + """
+      SELECT method, count(*) AS n_examples, round(avg(f1), 6) AS rouge1,
+             round(avg(summary_length), 6) AS mean_summary_length,
+             round(coalesce(avg(ratio), 0), 6) AS mean_compression_ratio
+      FROM made JOIN r1 USING (id, method) GROUP BY method"""
+    sql["model_hook_stub"] = with_(DOCS) + """
+      SELECT id, 'longest' AS method, list_reduce(string_split(article, '. '),
+             lambda a, b: CASE WHEN length(b) > length(a) THEN b ELSE a END) AS summary FROM docs"""
     sql["rounded_report"] = with_(SUMMARIES, R1, R2, SUMMARY) + """
       SELECT method, n_examples, round(rouge1, 4) AS rouge1, round(mean_summary_length, 2) AS mean_summary_length,
              round(mean_compression_ratio, 4) AS mean_compression_ratio FROM summary"""

@@ -270,6 +270,13 @@ def method_summary(spark, sf):
     )
 
 
+def blank_rows_summary(spark, sf):
+    """Nothing set aside: blank articles score 0 and count everywhere but in compression."""
+    scored = ev.score_methods(raw_pairs(spark, sf), variants=("rouge1",), **EXACT)
+    df = ev.method_summary(scored, ("rouge1",)).drop("mean_inference_seconds")
+    return rounded(df, "rouge1", "mean_summary_length", "mean_compression_ratio")
+
+
 def rounded_report(spark, sf):
     return ev.rounded_summary(ev.method_summary(scores(spark, sf), ("rouge1",))).drop("mean_inference_seconds")
 
@@ -396,7 +403,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hash_split, bucket_split, explicit_split, split_fallback, split_skew, capped_rows,
         lead_n, tfidf_weights, sentence_strength, lead_similarity, pagerank_scores,
         textrank_summary, all_methods, model_hook_stub,
-        qualitative_rows, method_summary, rounded_report, method_summary_stemmed, precision_recall,
+        qualitative_rows, method_summary, blank_rows_summary, rounded_report, method_summary_stemmed, precision_recall,
         length_describe, score_distribution, method_paired, best_worst, length_histogram,
         rouge_pivot, rouge_matrix, score_curve, quality_by_source, quality_by_label,
         compression_by_method,
