@@ -202,6 +202,7 @@ def embedding_components(
         F.col("label").alias("l"), F.col("vector").alias("v"), "component",
         (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("links"),
     )
+    of = written(of, "vectors-of")  # a plain join of two tables is one whose hot vectors Spark can split
     out = rows.join(of, (F.col("label") == F.col("l")) & (F.col("vector") == F.col("v")), "left")
     component = F.coalesce("component", "id")
     return out.select(

@@ -192,6 +192,7 @@ def simhash_components(
     of = classes.join(members.join(whole, "root").select("fp", "component"), "fp", "left").select(
         "fp", F.coalesce("component", "least").alias("component_id")
     )
+    of = written(of, "components-of")  # a plain join of two tables is one whose hot fingerprints Spark can split
     return table.join(of, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
