@@ -20,11 +20,14 @@ WS_CHARS = (
 # Control characters that cleaning turns into spaces.
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 
-# Boilerplate that cleaning removes, in this order. Blank lines before a
-# keyword's line stay, as white space collapses later anyway.
+# Two or more line breaks with blanks only between them.
+BLANK_LINES = r"(?Ud)\n(?:[^\S\n]*+\n)++"
+
+# Boilerplate that cleaning removes, in this order. Runs of blank lines are
+# two line breaks by then, so the first pattern takes one such run, not any number.
 # Each pattern carries the flags it needs: one string for Java, one for RE2.
 BOILERPLATE = (
-    ("imudU", "im", r"^[^\S\n]*+(share this article|read more|advertisement|sponsored)\s*+[:\-]?+\s*+"),
+    ("imudU", "im", r"^[^\S\n]*+\n?+[^\S\n]*+(share this article|read more|advertisement|sponsored)\s*+[:\-]?+\s*+"),
     ("iudU", "i", r"\bclick here to .*?(\.|$)"),
     ("iudU", "i", r"\bcopyright\s+©.*?(\.|$)"),
 )

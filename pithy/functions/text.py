@@ -41,6 +41,7 @@ def nfkc(text: Column) -> Column:
 
 
 def drop_boilerplate(text: Column) -> Column:
+    text = F.regexp_replace(text, P.BLANK_LINES, "\n\n")
     for java_flags, _, pattern in P.BOILERPLATE:
         text = F.regexp_replace(text, f"(?{java_flags}){pattern}", "")
     return text

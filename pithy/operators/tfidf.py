@@ -2,8 +2,8 @@
 
 Every text is its own corpus of sentences. One repartition of the texts by id
 places all words of a text together; the aggregates and windows that follow are
-keyed by (id, ...) and reuse that placement, so words are never shuffled. `id`
-must be unique: it then spreads evenly, whatever the texts hold.
+keyed by (id, ...) and reuse that placement, so words are never shuffled. Rows that
+share an id, or have none, would be taken for one text: such tables are refused.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ def sentence_weights(
     stop_words: Sequence[str] = ENGLISH,
 ) -> DataFrame:
     """L2-normalised TF-IDF: (id, si, token, tf, df, n_sentences, weight)."""
+    repeated = df.groupBy(id_col).count().where((F.col("count") > 1) | F.col(id_col).isNull()).limit(1).collect()
+    if repeated:
+        raise ValueError(f"Not a unique id: {repeated[0][0]}")
     key = F.col(id_col)
     words = (
         df.select(key, F.col(sentences_col).alias("_s"))
