@@ -7,6 +7,7 @@ masking, ROUGE by n-gram joins, TextRank over explicit sentence pairs.
 from __future__ import annotations
 
 from checks import fixed as P
+from checks.stems import stems
 from pithy.functions.stopwords import ENGLISH
 
 
@@ -151,6 +152,19 @@ made AS MATERIALIZED (
   FROM rows_)"""
 
 
+# The same with the tokens' stems.
+STEMMED = SUMMARIES.replace("made AS MATERIALIZED (", "unstemmed AS MATERIALIZED (") + f""",
+vocabulary AS (SELECT DISTINCT unnest(rt || ct) AS o FROM unstemmed), {stems('vocabulary')},
+places AS (
+  SELECT id, method, 'r' AS side, unnest(range(1, len(rt) + 1)) AS i, unnest(rt) AS o FROM unstemmed
+  UNION ALL SELECT id, method, 'c', unnest(range(1, len(ct) + 1)), unnest(ct) FROM unstemmed),
+lists AS (SELECT id, method, side, list(stem ORDER BY i) AS l FROM places JOIN stems USING (o) GROUP BY ALL),
+made AS MATERIALIZED (
+  SELECT u.* EXCLUDE (rt, ct), coalesce(r.l, []) AS rt, coalesce(c.l, []) AS ct FROM unstemmed u
+  LEFT JOIN lists r ON r.id = u.id AND r.method = u.method AND r.side = 'r'
+  LEFT JOIN lists c ON c.id = u.id AND c.method = u.method AND c.side = 'c')"""
+
+
 def prf(hits: str, n_ref: str, n_cand: str) -> str:
     p, r = f"({hits} / greatest(1, {n_cand}))", f"({hits} / greatest(1, {n_ref}))"
     return f"{p} AS precision, {r} AS recall, CASE WHEN {p} + {r} > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0 END AS f1"
@@ -356,16 +370,21 @@ def build() -> dict[str, str]:
     sql["rouge2"] = with_(SUMMARIES, R2) + f"SELECT id, method, {three} FROM r2"
     sql["rouge_l"] = with_(SUMMARIES, LCS) + f"SELECT id, method, {three} FROM rl"
     sql["rouge_lsum"] = sql["rouge_l"]  # cleaned text holds no line breaks
+    sql["rouge1_stemmed"] = with_(STEMMED, R1) + f"SELECT id, method, {three} FROM r1"
+    sql["rouge2_stemmed"] = with_(STEMMED, R2) + f"SELECT id, method, {three} FROM r2"
+    sql["rouge_l_stemmed"] = with_(STEMMED, LCS) + f"SELECT id, method, {three} FROM rl"
     sql["qualitative_rows"] = with_(SUMMARIES, R1) + """
       SELECT id, source, method, reference_summary, generated_summary, summary_length,
              round(coalesce(ratio, 0), 6) AS compression, round(f1, 6) AS rouge1_f1
       FROM made JOIN r1 USING (id, method)"""
-    sql["method_summary"] = with_(SUMMARIES, R1, R2, LCS) + """
+    means = """
       SELECT method, count(*) AS n_examples, round(avg(r1.f1), 6) AS rouge1, round(avg(r2.f1), 6) AS rouge2,
              round(avg(rl.f1), 6) AS "rougeL", round(avg(rl.f1), 6) AS "rougeLsum",
              round(avg(summary_length), 6) AS mean_summary_length,
              round(coalesce(avg(ratio), 0), 6) AS mean_compression_ratio
       FROM made JOIN r1 USING (id, method) JOIN r2 USING (id, method) JOIN rl USING (id, method) GROUP BY method"""
+    sql["method_summary"] = with_(SUMMARIES, R1, R2, LCS) + means
+    sql["method_summary_stemmed"] = with_(STEMMED, R1, R2, LCS) + means
     sql["blank_rows_summary"] = with_(SUMMARIES.replace("FROM checked WHERE reject_reason IS NULL", "FROM checked"), R1) + """
       SELECT method, count(*) AS n_examples, round(avg(f1), 6) AS rouge1,
              round(avg(summary_length), 6) AS mean_summary_length,

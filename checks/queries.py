@@ -282,7 +282,8 @@ def rounded_report(spark, sf):
 
 
 def method_summary_stemmed(spark, sf):
-    return ev.method_summary(ev.score_methods(pairs(spark, sf)))
+    df = ev.method_summary(ev.score_methods(pairs(spark, sf))).drop("mean_inference_seconds")
+    return rounded(df, *ev.ALL_VARIANTS, "mean_summary_length", "mean_compression_ratio")
 
 
 def precision_recall(spark, sf):
