@@ -78,8 +78,35 @@ SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in ('assign', 'ac
 FROM texts LEFT JOIN spans USING (doc_id)
 """
 
+_WORDS = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+#: Every window that shares a shingle with an item of its size, compared exactly.
+DECONTAMINATION = f"""
+WITH texts AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+items AS (SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL) WHERE len(w) > 0),
+item_grams AS MATERIALIZED (
+    SELECT item_id, n, k, g, count(*) AS c FROM (
+        SELECT item_id, n, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM items, unnest(range(1, n - k + 2)) r(i)) GROUP BY ALL),
+grams AS MATERIALIZED (
+    SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM texts, (SELECT DISTINCT k FROM items), unnest(range(1, len(w) - k + 2)) r(i)),
+starts AS (
+    SELECT DISTINCT doc_id, item_id, n, k, s FROM (
+        SELECT doc_id, item_id, n, k, unnest(range(greatest(1, i - n + k), i + 1)) AS s FROM grams JOIN item_grams USING (k, g))
+    JOIN texts USING (doc_id) WHERE s + n - 1 <= len(w)),
+windows AS (
+    SELECT doc_id, item_id, n, k, s, g, count(*) AS c FROM starts JOIN grams USING (doc_id, k) WHERE i BETWEEN s AND s + n - k GROUP BY ALL),
+compared AS (
+    SELECT doc_id, item_id, n, s, sum(least(w.c, i.c)) AS common, any_value(n - k + 1) AS m
+    FROM windows w JOIN item_grams i USING (item_id, n, k, g) GROUP BY ALL)
+SELECT doc_id, item_id, common / (2 * m - common) AS similarity, s - 1 AS start_word, n AS n_words
+FROM compared WHERE common / (2 * m - common) >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
+"""
+
 ORACLES = {
     "op2_secret_scans": SECRETS,
     "op6_embedding_near_dedup": EMBEDDINGS,
+    "op8_decontamination": DECONTAMINATION,
     "op9_chat_formatting": CHAT,
 }
