@@ -54,7 +54,10 @@ def unescape_entities(text: Column) -> Column:
 
 
 def stem_tokens(tokens: Column) -> Column:
-    """Porter-stem the tokens of a space-joined string that have over 3 characters."""
+    """Porter-stem the tokens of a space-joined string that have over 3 characters.
+
+    Each distinct token of a batch is looked up once; the strings are rebuilt from those.
+    """
 
     @F.arrow_udf("string")
     def stem(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -69,10 +72,11 @@ def stem_tokens(tokens: Column) -> Column:
             return found
 
         for batch in batches:
-            yield pa.array(
-                [t and " ".join(map(stem_one, t.split(" "))) for t in batch.to_pylist()],
-                pa.string(),
-            )
+            lists = pc.split_pattern(batch.fill_null(""), " ")
+            coded = lists.flatten().dictionary_encode()
+            stems = pa.array(map(stem_one, coded.dictionary.to_pylist()), pa.string()).take(coded.indices)
+            joined = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, stems), " ")
+            yield pc.if_else(batch.is_valid(), joined, pa.scalar(None, pa.string()))
 
     return stem(tokens)
 
@@ -159,22 +163,33 @@ def _rank_batch(sizes, sent, word, n_words, damping, tol, max_iter):
         """Similarity matrix times x, without the sentence's own share."""
         own = weight * x[cell_sent]
         return np.bincount(
-            cell_sent, weight * (np.bincount(term, own, len(df))[term] - own), n_sent
+            cell_sent, weight * (np.bincount(term, own)[term] - own), len(x)
         )
 
     strength = neighbours(np.ones(n_sent))
     dangling = strength == 0
     x = 1 / n if n_sent else np.empty(0)
+    scores, place = x.copy(), np.arange(n_sent)  # where the sentences at work came from
     active = np.ones(n_sent, bool)  # a converged document keeps its scores
-    for _ in range(max_iter):
+    for step in range(max_iter):
         if not active.any():
             break
-        spread = neighbours(np.divide(x, strength, out=np.zeros(n_sent), where=~dangling))
-        lost = np.bincount(doc, x * dangling, len(sizes))[doc] / n
+        if step % 4 == 0 and active.mean() < 0.7:  # converged documents leave
+            scores[place[~active]] = x[~active]
+            cells = active[cell_sent]
+            cell_sent, weight = (np.cumsum(active) - 1)[cell_sent[cells]], weight[cells]
+            term = np.unique(term[cells], return_inverse=True)[1]
+            place, x, n, strength, dangling = place[active], x[active], n[active], strength[active], dangling[active]
+            doc = np.unique(doc[active], return_inverse=True)[1]
+            active = np.ones(len(x), bool)
+        documents = int(doc[-1]) + 1
+        spread = neighbours(np.divide(x, strength, out=np.zeros(len(x)), where=~dangling))
+        lost = np.bincount(doc, x * dangling, documents)[doc] / n
         new = np.where(active, damping * (spread + lost) + (1 - damping) / n, x)
-        change = np.bincount(doc, np.abs(new - x), len(sizes))[doc]
+        change = np.bincount(doc, np.abs(new - x), documents)[doc]
         x, active = new, active & (change >= n * tol)
-    return x
+    scores[place] = x
+    return scores
 
 
 def _lcs_rows(a: list[str], b: list[str]) -> Iterator[int]:
