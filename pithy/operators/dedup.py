@@ -6,20 +6,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pithy.functions import text
+from pithy.session import written
 
 
 def deduplicate(df: DataFrame, article_col: str = "article", id_col: str = "id") -> DataFrame:
     """Keep the row with the lowest id of every article, ignoring case and outer space.
 
-    Blank articles are dropped. Digests alone are shuffled to find the articles that
-    repeat; other rows stay where they are while those articles are few enough to
-    broadcast. Of a repeated article each task sends at most one row: Spark applies
-    the `row_number = 1` limit before the shuffle too.
+    Blank articles are dropped; a null id is the lowest. Digests and ids alone are
+    shuffled, and counted before, to find the rows that go; their table is written,
+    so that Spark knows whether it can be broadcast and the texts stay in place.
     """
     key = F.lower(text.strip(F.coalesce(F.col(article_col), F.lit(""))))
     rows = df.where(key != "").withColumn("_digest", F.unhex(F.sha2(key, 256)))
-    repeated = rows.groupBy("_digest").count().where("count > 1").select("_digest")
-    first = Window.partitionBy("_digest").orderBy(F.col(id_col), *[F.col(c) for c in df.columns if c != id_col])
-    once = rows.join(repeated, "_digest", "left_anti")
-    lowest = rows.join(repeated, "_digest", "left_semi").withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
-    return once.unionByName(lowest.drop("_rank")).select(*df.columns)
+    slim = rows.select("_digest", F.col(id_col).alias("_id")).groupBy("_digest", "_id").agg(F.count("*").alias("_n"))
+    repeated = slim.groupBy("_digest").agg(
+        F.sum("_n").alias("_all"), F.min("_id").alias("_least"), F.bool_or(F.col("_id").isNull()).alias("_null")
+    ).where("_all > 1")
+    lowest = F.when(F.col("_null"), F.col("_id").isNull()).otherwise(F.col("_id").eqNullSafe(F.col("_least")))
+    # Rows that go, and those of which several share the lowest id.
+    marked = written(slim.join(repeated, "_digest").withColumn("_first", lowest).where("not _first or _n > 1").select(
+        F.col("_digest").alias("_d"), "_id", "_first"
+    ), "repeated-articles")
+    same = (F.col("_digest") == F.col("_d")) & F.col(id_col).eqNullSafe(F.col("_id"))
+    once = rows.join(marked, same, "left_anti")
+    order = Window.partitionBy("_digest").orderBy(F.col(id_col), *[F.col(c) for c in df.columns if c != id_col])
+    again = rows.join(marked.where("_first"), same, "left_semi").withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
+    return once.unionByName(again.drop("_rank")).select(*df.columns)

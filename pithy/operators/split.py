@@ -53,7 +53,7 @@ def _cut_off(hashes: DataFrame, want: Column, at_most: bool) -> DataFrame:
     cuts = inside.unionByName(below)
     if at_most:
         return cuts.where("c <= want").agg(F.max_by("h", "c").alias("h"))
-    cuts = cuts.where("keys = 1 or c > 0 and c < total")
+    cuts = cuts.where("(keys = 1 and c = 0) or (keys > 1 and c > 0 and c < total)")
     return cuts.agg(F.min_by("h", F.struct(F.abs(F.col("c") - F.col("want")), "c")).alias("h"))
 
 

@@ -82,11 +82,17 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_deduplicate_shuffles_digests_and_prunes_copies(spark):
-    df = frame(spark, [(i, "s", "the same text" if i % 3 else f"text {i}", "h") for i in range(600)]).repartition(8)
+def test_deduplicate_leaves_texts_in_place(spark):
+    df = frame(spark, [(i, "s", "the same text" if i % 3 else f"text {i}", "h") for i in range(600)])
     result = dedup.deduplicate(df)
-    assert "WindowGroupLimit" in plan_of(result) and "Partial" in plan_of(result)
     assert result.count() == 201
+    assert "BroadcastHashJoin" in plan_of(result) and "SortMergeJoin" not in plan_of(result)
+
+
+def test_deduplicate_null_and_repeated_ids(spark):
+    rows = [(None, "x", "One text", "b"), (1, "x", "one TEXT", "a"), (2, "x", "Two", "d"), (2, "x", "two ", "c"), (None, "y", "Three", "e")]
+    got = dedup.deduplicate(frame(spark, rows)).collect()
+    assert sorted((str(r["id"]), r["highlights"]) for r in got) == [("2", "d"), ("None", "b"), ("None", "e")]
 
 
 def test_profile_and_best_worst_plans(spark, scored):
