@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from pithy.llm.decontam import contaminated
 from pithy.llm.langid import UNDETERMINED, fit, predict
+from pithy.llm.nearcopies import near_copy_components
 from pithy.llm.packing import pack
 from pithy.llm.secrets import redact_live
-from pithy.llm.simhash import simhash_components
 from pithy.session import written
 
 LEAST_LANGUAGE_SCORE = 0.1
@@ -43,10 +43,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component: the one with the least id, once.
 
-    The few that go are joined to the documents, not the many that stay.
+    Documents link at a Jaccard similarity of 0.8 of their five-word shingles. The few that go are joined to the documents, not the many that stay.
     """
     rows = keyed(docs)
-    found = written(simhash_components(rows, "_id"), "components")
+    found = written(near_copy_components(rows, "_id"), "components")
     gone = written(found.where("_id <> component_id").select("_id").distinct(), "duplicates")
     repeated = written(found.where("_id = component_id").groupBy("_id").count().where("count > 1").select("_id"), "repeated")
     once = rows.join(written(gone.unionByName(repeated), "not-once"), "_id", "left_anti")

@@ -1,0 +1,173 @@
+"""Near copies at an exact Jaccard similarity: SimHash and min-hash candidates, each link compared in full."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pithy.llm.common import components, join_labels, key_changes, small_batches, split_hot_groups, whole_groups
+from pithy.llm.simhash import SEED, fingerprint, gray_rank, linked_pairs, shingle_hashes
+from pithy.session import written
+
+SHINGLE = 5
+SIMILARITY = 0.8
+RADIUS = 22
+BANDS, WIDTH = 20, 4
+_RANDOM = np.random.default_rng(SEED)
+FLIPS, FACTORS, WEIGHTS = (_RANDOM.integers(0, 1 << 64, n, np.uint64) | np.uint64(1) for n in (BANDS * WIDTH, BANDS * WIDTH, BANDS + WIDTH))
+AT_ONCE = 1 << 12
+PAIRS_AT_ONCE = 1 << 10
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """BANDS hashes of WIDTH min-hashes each; two sets of similarity s share one with 1 - (1 - s^WIDTH)^BANDS."""
+    least = np.full(BANDS * WIDTH, ~np.uint64(0))
+    for at in range(0, len(hashes), AT_ONCE):
+        mixed = (hashes[None, at: at + AT_ONCE] ^ FLIPS[:, None]) * FACTORS[:, None]
+        np.minimum(least, mixed.min(axis=1), out=least)
+    return (least.reshape(BANDS, WIDTH) * WEIGHTS[BANDS:]).sum(axis=1, dtype=np.uint64) * WEIGHTS[:BANDS]
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, key, fp, bands) of every row: a digest of the words, the SimHash and band keys of the shingle set. No shuffle."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, fps, bands = [], [], []
+            for text in batch.column(1).cast(pa.large_binary()):
+                text = text.as_py() or b""
+                hashes = np.unique(shingle_hashes(text, shingle))
+                keys.append(xxhash.xxh3_128_digest(b" ".join(text.lower().split()), SEED))
+                fps.append(fingerprint(hashes))
+                bands.append(band_keys(hashes).view(np.int64) if len(hashes) else [])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(keys, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64)),
+                pa.array(bands, pa.list_(pa.int64())),
+            ], ["id", "key", "fp", "bands"])
+
+    small_batches(docs.sparkSession)
+    columns = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return columns.mapInArrow(step, "id long, key binary, fp long, bands array<long>")
+
+
+def candidate_links(classes: DataFrame, radius: int, block: int) -> DataFrame:
+    """(a, b): edges that connect the nodes which share a band key and differ in at most `radius` bits.
+
+    classes: node, fp, bands. In a group of one band key the Gray-order index finds
+    the pairs; a group gives a spanning forest of them. Large groups are split.
+    """
+    keys = ["band", "block_a", "block_b"]
+    dealt = split_hot_groups(classes.select("node", "fp", F.explode("bands").alias("band")), ["band"], F.xxhash64("node"), block)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, keys):
+            starts = np.r_[0, key_changes(table, keys)]
+            sizes = np.diff(np.r_[starts, table.num_rows])
+            many = np.repeat(sizes > 1, sizes)
+            fp, node = (table.column(c).to_numpy()[many] for c in ("fp", "node"))
+            if not len(fp):
+                continue
+            fp = fp.view(np.uint64)
+            group = np.repeat(np.arange(len(sizes)), sizes)[many]
+            order = np.lexsort((gray_rank(fp), group))
+            fp, group, node = fp[order], group[order], node[order]
+            label = np.arange(len(fp))
+            for a, b in linked_pairs(fp, group, radius):
+                label = join_labels(label, a, b)
+            moved = np.flatnonzero(label != np.arange(len(fp)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[label[moved]])], ["a", "b"])
+
+    return (
+        dealt.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "node", "fp")
+        .mapInArrow(step, "a long, b long").distinct()
+    )
+
+
+def exact_forest(sets: list[np.ndarray], similarity: float, radius: int) -> list[tuple[int, int]]:
+    """Edges that connect exactly the sets linked at the similarity, among those whose fingerprints are within the radius.
+
+    Pairs of least distance come first, and a pair whose ends are connected already is not compared.
+    """
+    fp = np.array([fingerprint(s) for s in sets], np.uint64)
+    order = np.argsort(gray_rank(fp), kind="stable")
+    fp, size = fp[order], np.array([len(s) for s in sets])[order]
+    label, edges = np.arange(len(sets)), []
+    for a, b in linked_pairs(fp, np.zeros(len(fp), np.int64), radius):
+        nearest = np.argsort(np.bitwise_count(fp[a] ^ fp[b]), kind="stable")
+        a, b = a[nearest], b[nearest]
+        for at in range(0, len(a), PAIRS_AT_ONCE):
+            i, j = a[at: at + PAIRS_AT_ONCE], b[at: at + PAIRS_AT_ONCE]
+            able = (label[i] != label[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9)
+            for x, y in zip(i[able].tolist(), j[able].tolist()):
+                if label[x] == label[y]:
+                    continue
+                common = len(np.intersect1d(sets[order[x]], sets[order[y]], assume_unique=True))
+                if common >= similarity * (size[x] + size[y] - common) - 1e-9:
+                    label[label == label[y]] = label[x]
+                    edges.append((int(order[x]), int(order[y])))
+    return edges
+
+
+def compared_links(
+    docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, radius: int, block: int,
+) -> DataFrame:
+    """(a, b): edges between members of one candidate component, each compared shingle by shingle.
+
+    members: node, root. Only the texts of members travel, once unless their
+    component is larger than `block` and is split into pairs of blocks.
+    """
+    keys = ["root", "block_a", "block_b"]
+    dealt = written(split_hot_groups(members, ["root"], F.xxhash64("node"), block).select("node", *keys), "dealt")
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, keys, rows=500):
+            starts = np.r_[0, key_changes(table, keys), table.num_rows]
+            a, b = [], []
+            for at, end in zip(starts, starts[1:]):
+                part = table.slice(int(at), int(end - at))
+                node, first = np.unique(part.column("node").to_numpy(), return_index=True)  # repeated rows share id and text
+                column = part.column("text").cast(pa.large_binary())
+                sets = [np.unique(shingle_hashes(column[int(i)].as_py() or b"", shingle)) for i in first]
+                for x, y in exact_forest(sets, similarity, radius):
+                    a.append(node[x])
+                    b.append(node[y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return (
+        texts.join(dealt, "node").repartition(*keys).sortWithinPartitions(*keys).select(*keys, "node", "text")
+        .mapInArrow(step, "a long, b long").distinct()
+    )
+
+
+def near_copy_components(
+    docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
+    radius: int = RADIUS, block: int = 4096, text_block: int = 1024,
+) -> DataFrame:
+    """(id_col, component_id) for every row of `docs`; component_id is the least id reachable.
+
+    Texts link where the Jaccard similarity of their sets of `shingle`-word shingles
+    (all words, of a shorter text) is at least `similarity`, compared in full, or
+    where their words are equal; so all texts without words are one component.
+    Ids must not be null, and rows may share an id only if they share the text.
+
+    Candidates share one of BANDS keys of WIDTH min-hashes and differ in at most
+    `radius` bits of the SimHash, which the Gray-order index finds within a key. At
+    similarity 0.8 a pair shares no key with probability 3e-5; about 10 bits are
+    expected to differ, the radius lies four deviations above. Exact copies are one
+    row. Sketches are shuffled, and the texts of the documents that have candidates.
+    """
+    table = written(sketches(docs, id_col, text_col, shingle), "sketches")
+    classes = written(table.groupBy("key").agg(
+        F.min("id").alias("node"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands")), "classes")
+    near = components(candidate_links(classes, radius, block))
+    members = written(near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()), "members")
+    links = components(compared_links(docs, members, id_col, text_col, shingle, similarity, radius, text_block))
+    of = classes.select("key", "node").join(links, "node", "left").select("key", F.coalesce("root", "node").alias("component_id"))
+    of = written(of, "components-of")  # a plain join of two tables is one whose hot keys Spark can split
+    return table.select("id", "key").join(of, "key").select(F.col("id").alias(id_col), "component_id")
