@@ -62,9 +62,9 @@ def flips(width: int, most: int) -> list[int]:
     return [reduce(int.__or__, (1 << i for i in c), 0) for n in range(most + 1) for c in combinations(range(width), n)]
 
 
-def needed(m: Column, similarity: float) -> Column:
-    """Least common shingles of two sets of m each that are similar enough."""
-    return F.ceil(m * (2 * similarity / (1 + similarity)) - 1e-9).cast("int")
+def needed(m: Column, similarity: float, other: Column | None = None) -> Column:
+    """Least common shingles of sets of m and `other` (default m) that are similar enough."""
+    return F.ceil((m + (m if other is None else other)) * (similarity / (1 + similarity)) - 1e-9).cast("int")
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -78,9 +78,10 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFra
 
 
 def candidate_windows(rows: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
-    """(doc, tkey, words, start): item-sized windows that share enough shingles with the benchmark.
+    """(doc, tkey, words, start, n): windows that share enough shingles with the benchmark's items of `words` words.
 
-    Lossless: a window as similar as asked to an item of its size has at least
+    A window has n = `words` words; a text of fewer words is one window as a whole.
+    Lossless: a window as similar as asked to an item of that size has at least
     `needed` positions whose shingle occurs in an item of that size.
     """
     known = items.select("k", "words", F.explode("shingles").alias("h")).groupBy("k", "h").agg(
@@ -89,18 +90,20 @@ def candidate_windows(rows: DataFrame, items: DataFrame, similarity: float) -> D
     known = written(known, "benchmark-shingles")
     lengths = [r.k for r in items.select("k").distinct().orderBy("k").collect()]  # at most SHINGLE numbers
     if not lengths:
-        return rows.select("doc", "tkey", F.lit(0).alias("words"), F.lit(0).alias("start")).where(F.lit(False))
-    words = rows.select("doc", "tkey", words_of(F.col("text")).alias("w"))
+        return rows.select("doc", "tkey", *[F.lit(0).alias(c) for c in ("words", "start", "n")]).where(F.lit(False))
+    # Counted before the rows multiply, so that none of them carries the text's words.
+    words = rows.select("doc", "tkey", words_of(F.col("text")).alias("w")).withColumn("n", F.size("w"))
     hits = reduce(DataFrame.unionByName, [
-        words.select("doc", "tkey", F.posexplode(shingles(F.col("w"), k)).alias("at", "h"))
+        words.select("doc", "tkey", "n", F.posexplode(shingles(F.col("w"), k)).alias("at", "h"))
         .join(known.where(F.col("k") == k).select("h", "sizes"), "h")
         for k in lengths
     ])
-    hits = hits.select("doc", "tkey", "at", F.explode("sizes").alias("words")).distinct()
+    hits = hits.select("doc", "tkey", "n", "at", F.explode("sizes").alias("words")).distinct()
     m = F.col("words") - F.least("words", F.lit(SHINGLE)) + 1
+    own = F.least("n", "words") - F.least("words", F.lit(SHINGLE)) + 1
     lists = (
-        hits.groupBy("doc", "tkey", "words").agg(F.array_sort(F.collect_list("at")).alias("p"))
-        .withColumn("m", m).withColumn("need", needed(F.col("m"), similarity))
+        hits.groupBy("doc", "tkey", "n", "words").agg(F.array_sort(F.collect_list("at")).alias("p"))
+        .withColumn("m", m).withColumn("need", needed(F.col("m"), similarity, own))
         .where(F.size("p") >= F.col("need"))
     )
     # The i-th hit begins a run of `need` hits that one window can hold.
@@ -111,9 +114,11 @@ def candidate_windows(rows: DataFrame, items: DataFrame, similarity: float) -> D
             (F.get("p", i) + F.col("m") - 1 - F.get("p", i + F.col("need") - 1)).alias("room"),
         ),
     )
-    runs = lists.select("doc", "tkey", "words", "m", "need", F.explode(runs).alias("r")).where("r.room >= 0")
+    whole = lists.where("n < words").select("doc", "tkey", "words", F.lit(0).alias("start"), "n")
+    runs = lists.where("n >= words").select("doc", "tkey", "words", "m", "need", F.explode(runs).alias("r")).where("r.room >= 0")
     first = F.greatest(F.lit(0), F.col("r.at") - F.least(F.col("r.room"), F.col("m") - F.col("need")))
-    return runs.select("doc", "tkey", "words", F.explode(F.sequence(first, F.col("r.at"))).alias("start")).distinct()
+    starts = runs.select("doc", "tkey", "words", F.explode(F.sequence(first, F.col("r.at"))).alias("start")).distinct()
+    return starts.withColumn("n", F.col("words")).unionByName(whole)
 
 
 def contaminated(
@@ -122,7 +127,8 @@ def contaminated(
 ) -> DataFrame:
     """(id_col, item_id, similarity, start_word, n_words, hamming): a row per document and item it holds.
 
-    A window of as many words as the item is fingerprinted. Fingerprints within
+    A window of as many words as the item is fingerprinted, or the whole of a text
+    that has fewer; `n_words` is the window's number of words. Fingerprints within
     `radius` bits share a block up to radius / BLOCKS flipped bits, and items are
     listed under all such blocks, so the join finds every pair within the radius;
     then the weighted Jaccard similarity of their five-word shingles (weight: number
@@ -144,7 +150,7 @@ def contaminated(
     rows = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("tkey"), text.alias("text"))
     items = written(benchmark_items(benchmark, item_col, item_text), "benchmark-items")
     per_doc = candidate_windows(rows, items, similarity).groupBy("doc", "tkey").agg(
-        F.collect_list(F.struct("words", "start")).alias("windows")
+        F.collect_list(F.struct("words", "start", "n")).alias("windows")
     ).select(F.col("doc").alias("d"), F.col("tkey").alias("t"), "windows")
     per_doc = written(per_doc, "windows")
 
@@ -157,14 +163,14 @@ def contaminated(
 
     def cut(x: Column) -> Column:
         k = F.least(x["words"], F.lit(SHINGLE))
-        return F.struct(x["words"].alias("words"), x["start"].alias("start"),
-                        F.slice(F.get("by_size", k - 1), x["start"] + 1, x["words"] - k + 1).alias("s"))
+        return F.struct(x["words"].alias("words"), x["start"].alias("start"), x["n"].alias("n"),
+                        F.slice(F.get("by_size", k - 1), x["start"] + 1, x["n"] - k + 1).alias("s"))
 
     # Cut before the rows multiply, so that no row carries a whole text's shingles.
     windows = there.select("doc", "tkey", F.explode(F.transform("windows", cut)).alias("x")).select("doc", "tkey", "x.*")
-    windows = windows.where(F.size("s") == F.col("words") - F.least("words", F.lit(SHINGLE)) + 1)
+    windows = windows.where(F.size("s") == F.col("n") - F.least("words", F.lit(SHINGLE)) + 1)
     windows = written(
-        windows.select("doc", "tkey", "words", "start", marked(F.col("s")).alias("marked"), simhash(F.col("s")).alias("fp")),
+        windows.select("doc", "tkey", "words", "start", "n", marked(F.col("s")).alias("marked"), simhash(F.col("s")).alias("fp")),
         "fingerprints",
     )
 
@@ -193,10 +199,10 @@ def contaminated(
         "similarity", common / (F.size("marked") + F.size("item") - common)
     ).where(F.col("similarity") >= similarity)
     best = found.groupBy("doc", "tkey", "item_id").agg(
-        F.max_by(F.struct("similarity", "start", "words", "hamming"), F.struct("similarity", -F.col("start"))).alias("m")
+        F.max_by(F.struct("similarity", "start", "n", "hamming"), F.struct("similarity", -F.col("start"))).alias("m")
     )
     return best.select(
         F.col("doc").alias(id_col), "item_id", F.col("m.similarity").alias("similarity"),
-        F.col("m.start").cast("long").alias("start_word"), F.col("m.words").cast("long").alias("n_words"),
+        F.col("m.start").cast("long").alias("start_word"), F.col("m.n").cast("long").alias("n_words"),
         F.col("m.hamming").cast("long").alias("hamming"),
     )

@@ -230,6 +230,22 @@ def test_contaminated_equals_brute_force(spark):
     assert decontam.contaminated(docs(spark, []), benchmark).count() == 0
 
 
+def test_texts_shorter_than_the_item(spark):
+    random.seed(13)
+    items = {size: [f"w{random.randrange(10_000)}" for _ in range(size)] for size in (59, 30, 12, 3)}
+    rows, want = [], {}
+    for size, words in items.items():
+        for cut in (words[:-1], words[1:], words[:size // 2] + words[size // 2 + 1:], words[:-size // 8], words[4:-4], words[:size // 2]):
+            own, there = ({tuple(x[i:i + k]) for i in range(len(x) - k + 1)} for x in (words, cut) for k in [min(5, size)])
+            value = len(own & there) / len(own | there)
+            if value >= 0.8:
+                want[len(rows), size] = (pytest.approx(value), 0, len(cut))
+            rows.append((len(rows), " ".join(cut)))
+    benchmark = spark.createDataFrame([(size, " ".join(words)) for size, words in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start_word, r.n_words) for r in decontam.contaminated(docs(spark, rows), benchmark).collect()}
+    assert got == want and len(want) >= 9 and any(value[0] == pytest.approx(45 / 55) or value[2] < 55 for value in want.values())
+
+
 # --- chats ---
 
 def test_chats_come_back(spark):
