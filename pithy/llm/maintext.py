@@ -20,58 +20,85 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rb rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
+SPACED = frozenset("br mtd mtr".split())
 OWN_KIND = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"},
 }
 HOLDERS = frozenset("ul ol dl table select div article section main body".split())
 
-#: Elements and words of class, id and role that are never part of an article.
+#: Elements that are never part of an article, and class, id and role names (whole ones) that mark such elements
+#: unless they are, or hold, a marked article. Markup of formulas is text but for its second form in <annotation>.
 DROPPED = frozenset(
-    "nav header footer aside form script style noscript template textarea title iframe svg math canvas audio video object "
+    "nav header footer aside form script style noscript template textarea title iframe svg annotation annotation-xml canvas audio video object "
     "button select option datalist dialog menu head xmp noembed noframes".split()
 )
-DROPPED_WORDS = frozenset(
+DROPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsense sponsor sponsored promo promotion menu menubar nav navbar "
     "navigation breadcrumb breadcrumbs header masthead footer sidebar aside complementary cookie cookies consent notice notices "
     "gdpr banner popup modal dialog overlay newsletter subscribe subscription signup login search comment comments commentlist "
     "disqus reply replies respond discussion related recommended share sharing social pagination pager toolbar widget contentinfo "
-    "alert hidden".split()
+    "alert hidden "
+    "ad-banner ad-block ad-box ad-container ad-slot ad-unit ad-wrapper banner-ad google-ad side-ad top-ad sponsored-content "
+    "sponsored-links promo-box menu-bar main-menu mobile-menu nav-menu side-menu site-menu top-menu nav-bar main-nav site-nav "
+    "top-nav main-navigation post-navigation site-navigation breadcrumb-trail site-header site-footer page-footer footer-widgets "
+    "side-bar sidebar-widget widget-area cookie-banner cookie-bar cookie-consent cookie-notice consent-banner gdpr-banner "
+    "modal-dialog newsletter-form newsletter-signup subscribe-form signup-form login-form search-bar search-box search-form "
+    "comment-form comment-list comment-respond comment-section comments-area comments-list comments-section post-comments "
+    "related-articles related-content related-links related-posts related-stories recommended-posts share-bar share-buttons "
+    "share-links sharing-buttons social-icons social-links social-media social-share alert-box".split()
 )
-WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|_")
 TAG = re.compile(
     r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?+|=)*+)>"""
 )
 NAMED = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?""", re.I)
 
 
-def dropped_by_attributes(attributes: str) -> tuple[bool, bool]:
-    """Whether an element's attributes exclude it, and whether they name it the main content."""
-    main = False
+def read_attributes(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element's attributes hide it, whether they name it a side element, and whether the main content.
+
+    Names are compared whole, never words inside them; `topMenu` and `top_menu` are `top-menu`.
+    """
+    hides = aside = main = False
     for name, value in NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True, False
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True, False
+            hides = True
+        elif name == "style":
+            hides = hides or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif name == "role" and value.lower() == "main" or name == "itemprop" and value.lower() == "articlebody":
             main = True
-        elif name != "itemprop" and DROPPED_WORDS & {w.lower() for w in WORD.findall(value)}:
-            return True, False
-    return False, main
+        elif name in ("class", "id", "role") and not DROPPED_NAMES.isdisjoint(HUMP.sub("-", value).lower().split()):
+            aside = True
+    return hides, aside, main
 
 
 class Page:
     """The elements of a page as parallel lists, parents before children, and its text pieces in order."""
 
     def __init__(self, source: str):
-        self.names, self.parents, self.dropped, self.main = ["body"], [-1], [False], [False]
+        self.names, self.parents, self.main = ["body"], [-1], [False]
+        self.hidden, self.aside = [False], [False]  # by element or hiding attribute, with all below; by a name of its own
         self.pieces: list[tuple[int, str]] = []  # (element, text), or (element, " ") where a block or line ends
         self.stack, self.open = [0], Counter({"body": 1})
         self._read(source)
+        self.dropped = self._dropped()
+
+    def _dropped(self) -> list[bool]:
+        """Hidden elements, and those named as side elements that neither are nor hold a marked article; with all below."""
+        holds = [main and not hidden for main, hidden in zip(self.main, self.hidden)]
+        for at in range(len(holds) - 1, 0, -1):
+            if holds[at]:
+                holds[self.parents[at]] = True
+        out = [False]
+        for at in range(1, len(holds)):
+            out.append(out[self.parents[at]] or self.hidden[at] or self.aside[at] and not holds[at])
+        return out
 
     def _close(self, depth: int) -> None:
         while len(self.stack) > depth:
@@ -105,15 +132,16 @@ class Page:
                 if end is not None:
                     self._close(end)
             self.pieces.append((self.stack[-1], " "))
-        elif name == "br":
+        elif name in SPACED:
             self.pieces.append((self.stack[-1], " "))
         if name in VOID:
             return
-        drop, main = dropped_by_attributes(attributes) if attributes else (False, False)
+        hides, aside, main = read_attributes(attributes) if attributes else (False, False, False)
         parent = self.stack[-1]
         self.names.append(name)
         self.parents.append(parent)
-        self.dropped.append(self.dropped[parent] or drop or name in DROPPED)
+        self.hidden.append(self.hidden[parent] or hides or name in DROPPED)
+        self.aside.append(aside)
         self.main.append(main or name in ("article", "main"))
         self.stack.append(len(self.names) - 1)
         self.open[name] += 1
@@ -127,7 +155,7 @@ class Page:
                 self._close(depth)
 
     def _text(self, text: str) -> None:
-        if text and not self.dropped[self.stack[-1]]:
+        if text and not self.hidden[self.stack[-1]]:
             self.pieces.append((self.stack[-1], html_text.unescape(text)))
 
     def _read(self, source: str) -> None:

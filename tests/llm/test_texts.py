@@ -283,6 +283,28 @@ def test_main_text(page, text):
     assert maintext.main_text(page) == " ".join(text.split())
 
 
+ARTICLE = "<h1>Head</h1><p>" + "A long first paragraph of the article. " * 8 + "</p><p>Its last one, shorter.</p>"
+ARTICLE_TEXT = " ".join(re.sub("<[^>]*>", " ", ARTICLE).split())
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="post overflow-hidden">{}</div>', '<div id="content" class="has-sidebar">{}</div>', '<main class="no-comments">{}</main>',
+    '<article class="with-related">{}</article>', '<article class="post hidden">{}</article>', '<div class="sidebar"><article>{}</article></div>',
+    '<div class="search"><div role="main" class="banner">{}</div></div>', '<section id=comments><div class=x itemprop=articleBody>{}</div></section>',
+    '<body class="sidebar"><div class="article-header-wide">{}</div></body>', '<div class="showComments navOpen share_on">{}</div>',
+    '<div class="ad">Buy now</div><div class="post">{}</div><ul class="comment-list"><li>First!</ul><div id=topMenu><p>Home</p></div>',
+    '<div class="with-nav"><p class="x cookie_banner">We bake</p>{}<div role=navigation>Up</div><div hidden><article>No</article></div></div>',
+])
+def test_only_whole_names_drop_an_element(page):
+    assert maintext.main_text(page.format(ARTICLE)) == ARTICLE_TEXT
+
+
+def test_formulas_stay():
+    page = ("<p>Let <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math> hold, "
+            "<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr></mtable></math>.</p>")
+    assert maintext.main_text(page) == "Let x=2 hold, 1 2."
+
+
 def test_pages_keep_rows(spark):
     rows = [(1, "u", "<p>One</p>"), (1, "u", "<p>One</p>"), (None, None, None), (2, "v", "<p>" + "x " * 200_000)]
     got = maintext.extract_pages(spark.createDataFrame([(*r, 5) for r in rows], "page_id long, url string, html string, text int")).collect()
