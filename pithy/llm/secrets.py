@@ -5,6 +5,7 @@ DataFrame operations only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +23,8 @@ KINDS = (
 ORDER = ("assign", "access", "hex", "live", "example")
 LIVE, EXAMPLE = "live", "example"
 PLACEHOLDER = "[SECRET]"
+#: Words of values that stand for a credential.
+STANDS_FOR = "example|sample|placeholder|change_?-?me|your[-_.]|dummy|redacted|xxxx"
 
 
 def matches(text: Column, kind: str, pattern: str, group: int) -> Column:
@@ -77,6 +80,30 @@ def looks_random(value: Column) -> Column:
     return (F.char_length(value) >= 16) & (different >= 8) & F.rlike(value, F.lit("[0-9]"))
 
 
+def owner_verdict(value: Column, kind: Column, owners: Column, repositories: Column, example_owners: int) -> Column:
+    """By owners alone, the rule of the query's SQL; null for values between the two."""
+    return F.when(owners >= example_owners, EXAMPLE).when((owners == 1) & looks_random(value), LIVE)
+
+
+def full_verdict(
+    value: Column, kind: Column, owners: Column, repositories: Column, example_owners: int, example_repositories: int = 20,
+) -> Column:
+    """By owners and repositories; null only for what does not look like a credential and is not widely copied.
+
+    Many owners make any value an example. Below that, access keys and random-looking
+    values are live in however many repositories; so is any other assigned value of
+    four different characters, unless many repositories hold it. A value that names
+    itself a placeholder does not count as random.
+    """
+    stands_for = F.rlike(F.lower(value), F.lit(STANDS_FOR))
+    strong = looks_random(value) & ~stands_for | F.rlike(value, F.lit("^AKIA[A-Z0-9]{16,}$"))
+    assigned = (kind == KINDS[0][0]) & (F.size(F.array_distinct(F.split(value, ""))) >= 4)
+    return (
+        F.when(owners >= example_owners, EXAMPLE).when(strong, LIVE)
+        .when(repositories >= example_repositories, EXAMPLE).when(assigned, LIVE)
+    )
+
+
 def joined_spans(kinds: Column) -> Column:
     """kind:start:end of the sorted structs, comma-joined."""
     return F.array_join(F.transform(kinds, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -84,6 +111,7 @@ def joined_spans(kinds: Column) -> Column:
 
 def judged_spans(
     docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str, example_owners: int,
+    rule: Callable[..., Column],
 ) -> tuple[DataFrame, DataFrame]:
     """The rows (doc, tkey, one per row of docs) and all spans (doc, tkey, kind, start, end)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -98,9 +126,8 @@ def judged_spans(
     base = written(base_spans(distinct).withColumn("digest", F.sha2("value", 256)), "base-spans")
     held = rows.where(F.size("found") > 0).select(F.col("doc").alias("d"), F.col("tkey").alias("t"), "owner", "repository").distinct()
     of = base.select("doc", "tkey", "digest").distinct().join(held, F.col("doc").eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("t")))
-    verdict = F.when(F.col("owners") >= example_owners, EXAMPLE).when(F.col("owners") == 1, LIVE)
-    known = ownership(of).withColumn("verdict", verdict).where("verdict is not null").select("digest", "verdict")
-    added = base.join(known, "digest").where((F.col("verdict") == EXAMPLE) | looks_random(F.col("value"))).select(
+    verdict = rule(F.col("value"), F.col("kind"), F.col("owners"), F.col("repositories"), example_owners)
+    added = base.join(ownership(of), "digest").withColumn("verdict", verdict).where("verdict is not null").select(
         "doc", "tkey", F.col("verdict").alias("kind"), F.col("from").alias("start"), (F.col("from") + F.char_length("value")).alias("end")
     ).distinct()
     return rows, base.select("doc", "tkey", "kind", "start", "end").unionByName(added)
@@ -108,15 +135,14 @@ def judged_spans(
 
 def scan_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id",
-    example_owners: int = 3,
+    example_owners: int = 3, rule: Callable[..., Column] = full_verdict,
 ) -> DataFrame:
     """Base spans per document, and spans that the corpus-wide frequency adds.
 
     Columns: id_col, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example.
     Every base match stays. Its value is hashed and counted by distinct owners and
-    repositories over the corpus: a value that `example_owners` or more hold is a
-    widely copied example and adds a span `example`; one that a single owner holds
-    and that looks random adds `live`; the rest add nothing. An added span covers
+    repositories over the corpus, from which `rule` decides whether it is a widely
+    copied `example`, a `live` credential, or neither. An added span covers
     the value alone; spans are in code points, end exclusive, sorted by start, then
     kind as in ORDER, then end.
 
@@ -125,7 +151,7 @@ def scan_secrets(
     are told apart by the text's hash. Empty tables give empty results; other
     columns are ignored. Texts are scanned once, in place; matches alone are shuffled.
     """
-    rows, spans = judged_spans(docs, id_col, text_col, owner_col, repo_col, example_owners)
+    rows, spans = judged_spans(docs, id_col, text_col, owner_col, repo_col, example_owners, rule)
     rank = F.array_position(F.array(*[F.lit(k) for k in ORDER]), F.col("kind"))
     per_doc = spans.groupBy("doc", "tkey").agg(
         F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind"))).alias("s")
@@ -153,7 +179,7 @@ def redact_live(
 
     Overlapping live spans become one. Null texts stay null.
     """
-    _, spans = judged_spans(docs, id_col, text_col, owner_col, repo_col, example_owners)
+    _, spans = judged_spans(docs, id_col, text_col, owner_col, repo_col, example_owners, full_verdict)
     before = Window.partitionBy("doc", "tkey").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     order = Window.partitionBy("doc", "tkey").orderBy("start", "end")
     runs = (
