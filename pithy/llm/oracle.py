@@ -104,9 +104,58 @@ FROM compared WHERE common / (2 * m - common) >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
 """
 
+TOP_K = """
+WITH usable AS (
+    SELECT vec_id, row_number() OVER () AS row, [CAST(floor(64 * x::DOUBLE) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, q.row, c.vec_id, CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.row <> c.row AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+#: Documents count by the set of filters they fail; every order and step then looks at each set.
+FILTER_AUDIT = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), sets AS (
+    SELECT part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic, count(*) AS n,
+        concat(CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+            CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' END,
+            CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > first THEN 'E' END) AS fails
+    FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM words) d
+    LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) l USING (doc_id)
+    GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+    SELECT filter_order, step, filter_order[step] AS f, filter_order[:step - 1] AS before FROM orders, unnest(range(1, 6)) r(step)
+), judged AS (
+    SELECT *, contains(fails, f) AS failing, length(translate(before, fails, '')) < length(before) AS gone FROM sets, steps
+), counted AS (
+    SELECT part, filter_order, step, f, sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed, sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+        sum(CASE WHEN failing AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost
+    FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+    CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
 ORACLES = {
     "op2_secret_scans": SECRETS,
     "op6_embedding_near_dedup": EMBEDDINGS,
     "op8_decontamination": DECONTAMINATION,
     "op9_chat_formatting": CHAT,
+    "op11_exact_top_k": TOP_K,
+    "op13_filter_audit": FILTER_AUDIT,
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pithy.llm.audit import audit_filters
 from pithy.llm.chat import conversation_digests, format_conversations
 from pithy.llm.decontam import contaminated
 from pithy.llm.langid import identify_languages
@@ -15,6 +17,8 @@ from pithy.llm.passages import remove_repeats, repeat_digests
 from pithy.llm.secrets import owner_verdict, scan_secrets
 from pithy.llm.simhash import simhash_components
 from pithy.llm.tokencount import count_tokens
+from pithy.llm.topk import top_k
+from pithy.llm.whitening import whiten
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -67,9 +71,22 @@ def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_components(read(spark, sf, "documents"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k(read(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(read(spark, sf, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit_filters(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_secret_scans, op3_token_counts, op4_html_extraction, op5_language_id,
     op6_embedding_near_dedup, op7_packing, op8_decontamination, op9_chat_formatting, op10_simhash_near_dedup,
+    op11_exact_top_k, op12_embedding_whitening, op13_filter_audit,
 )}

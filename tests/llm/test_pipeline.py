@@ -67,7 +67,7 @@ def test_stages_of_empty_tables(spark, corpus):
 
 
 def test_a_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op4_html_extraction", "op6_embedding_near_dedup", "op9_chat_formatting", "op2_secret_scans"])
