@@ -25,6 +25,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(BATCH_ROWS, rows)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores added until no column of `df` has it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written_by(df: DataFrame, column: str, buckets: int) -> DataFrame:
     """Write a table bucketed by a column to the shared folder; joins on that column then do not shuffle it."""
     name = f"pithy_{uuid.uuid4().hex}"

@@ -58,12 +58,21 @@ SECRETS = f"""
 WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 base AS ({_matches('assign', _ASSIGN, 2, 6, 1)} UNION ALL {_matches('access', 'AKIA[A-Z0-9]+', 0, 20, 2)}
     UNION ALL {_matches('hex', '[0-9a-f]+', 0, 24, 3)}),
-owners AS (SELECT value, count(DISTINCT source) AS n FROM base JOIN texts USING (doc_id) GROUP BY value),
-added AS (
-    SELECT DISTINCT doc_id, CASE WHEN n = 1 THEN 'live' ELSE 'example' END AS kind, CASE WHEN n = 1 THEN 4 ELSE 5 END AS rank,
-        finish - length(value) AS start, finish
-    FROM base JOIN owners USING (value)
-    WHERE n >= 3 OR n = 1 AND length(value) >= 16 AND len(list_distinct(string_split(value, ''))) >= 8 AND regexp_matches(value, '[0-9]')
+held AS (
+    SELECT value, count(DISTINCT coalesce(source, '')) AS owners, count(DISTINCT coalesce(source, '') || ' ' || doc_id) AS repositories
+    FROM base JOIN texts USING (doc_id) GROUP BY value
+), looks AS (
+    SELECT base.*, owners, repositories, len(list_distinct(string_split(value, ''))) AS different,
+        length(value) >= 16 AND different >= 8 AND regexp_matches(value, '[0-9]')
+            AND NOT regexp_matches(lower(value), 'example|sample|placeholder|change_?-?me|your[-_.]|dummy|redacted|xxxx')
+            OR regexp_full_match(value, 'AKIA[A-Z0-9]{{16,}}') AS strong
+    FROM base JOIN held USING (value)
+), judged AS (
+    SELECT *, CASE WHEN owners >= 3 THEN 'example' WHEN strong THEN 'live' WHEN repositories >= 20 THEN 'example'
+        WHEN kind = 'assign' AND different >= 4 THEN 'live' END AS verdict FROM looks
+), added AS (
+    SELECT DISTINCT doc_id, verdict AS kind, CASE verdict WHEN 'live' THEN 4 ELSE 5 END AS rank, finish - length(value) AS start, finish
+    FROM judged WHERE verdict IS NOT NULL
 ),
 all_ AS (SELECT doc_id, kind, rank, start, finish FROM base UNION ALL SELECT doc_id, kind, rank, start, finish FROM added),
 spans AS (

@@ -14,7 +14,7 @@ from pithy.llm.neardup import embedding_components
 from pithy.llm.oracle import ORACLES
 from pithy.llm.packing import pack
 from pithy.llm.passages import remove_repeats, repeat_digests
-from pithy.llm.secrets import owner_verdict, scan_secrets
+from pithy.llm.secrets import scan_secrets
 from pithy.llm.simhash import simhash_components
 from pithy.llm.tokencount import count_tokens
 from pithy.llm.topk import top_k
@@ -30,8 +30,8 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
-    """By the rule of its SQL, which counts owners alone; the pipeline redacts by `full_verdict`."""
-    return scan_secrets(read(spark, sf, "documents"), rule=owner_verdict)
+    """Owners are sources, repositories documents; the pipeline redacts by the same rule."""
+    return scan_secrets(read(spark, sf, "documents"))
 
 
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:

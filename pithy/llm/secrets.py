@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pithy.llm.common import free_name
 from pithy.session import written
 
 #: Kind, pattern, group that holds the secret, least length of that group.
@@ -80,11 +81,6 @@ def looks_random(value: Column) -> Column:
     return (F.char_length(value) >= 16) & (different >= 8) & F.rlike(value, F.lit("[0-9]"))
 
 
-def owner_verdict(value: Column, kind: Column, owners: Column, repositories: Column, example_owners: int) -> Column:
-    """By owners alone, the rule of the query's SQL; null for values between the two."""
-    return F.when(owners >= example_owners, EXAMPLE).when((owners == 1) & looks_random(value), LIVE)
-
-
 def full_verdict(
     value: Column, kind: Column, owners: Column, repositories: Column, example_owners: int, example_repositories: int = 20,
 ) -> Column:
@@ -177,7 +173,8 @@ def redact_live(
 ) -> DataFrame:
     """`docs` with every live credential replaced by the placeholder; all rows and columns stay.
 
-    Overlapping live spans become one. Null texts stay null.
+    Overlapping live spans become one. Null texts stay null, rows of one id and text are treated
+    alike, and columns may have any names. An empty table stays empty.
     """
     _, spans = judged_spans(docs, id_col, text_col, owner_col, repo_col, example_owners, full_verdict)
     before = Window.partitionBy("doc", "tkey").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
@@ -188,19 +185,20 @@ def redact_live(
         .withColumn("run", F.sum("fresh").over(order))
         .groupBy("doc", "tkey", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     )
+    doc, tkey, cut = (free_name(docs, c) for c in ("_doc", "_tkey", "_cuts"))
     cuts = written(
-        runs.groupBy("doc", "tkey").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
-        .select(F.col("doc").alias("_doc"), F.col("tkey").alias("_tkey"), "_cuts"),
+        runs.groupBy("doc", "tkey").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cut))
+        .select(F.col("doc").alias(doc), F.col("tkey").alias(tkey), cut),
         "redactions",
     )
     text = F.col(text_col).cast("string")
     key = F.xxhash64(F.coalesce(text, F.lit("")))
-    marked = docs.join(cuts, F.col(id_col).eqNullSafe(F.col("_doc")) & (key == F.col("_tkey")), "left")
-    last = F.size("_cuts")
-    pieces = F.transform("_cuts", lambda c, i: F.substring(
-        text, F.when(i == 0, 1).otherwise(F.get("_cuts", i - 1)["end"].cast("int") + 1),
-        (c["start"] - F.when(i == 0, 0).otherwise(F.get("_cuts", i - 1)["end"])).cast("int"),
+    marked = docs.join(cuts, F.col(id_col).eqNullSafe(F.col(doc)) & (key == F.col(tkey)), "left")
+    last = F.size(cut)
+    pieces = F.transform(cut, lambda c, i: F.substring(
+        text, F.when(i == 0, 1).otherwise(F.get(cut, i - 1)["end"].cast("int") + 1),
+        (c["start"] - F.when(i == 0, 0).otherwise(F.get(cut, i - 1)["end"])).cast("int"),
     ))
-    rest = F.substring(text, F.get("_cuts", last - 1)["end"].cast("int") + 1, F.char_length(text))
+    rest = F.substring(text, F.get(cut, last - 1)["end"].cast("int") + 1, F.char_length(text))
     clean = F.concat(F.array_join(pieces, placeholder), F.lit(placeholder), rest)
-    return marked.withColumn(text_col, F.when(F.col("_cuts").isNotNull(), clean).otherwise(F.col(text_col))).select(*docs.columns)
+    return marked.withColumn(text_col, F.when(F.col(cut).isNotNull(), clean).otherwise(F.col(text_col))).select(*docs.columns)
