@@ -93,11 +93,10 @@ def candidate_windows(rows: DataFrame, items: DataFrame, similarity: float) -> D
         return rows.select("doc", "tkey", *[F.lit(0).alias(c) for c in ("words", "start", "n")]).where(F.lit(False))
     # Counted before the rows multiply, so that none of them carries the text's words.
     words = rows.select("doc", "tkey", words_of(F.col("text")).alias("w")).withColumn("n", F.size("w"))
-    hits = reduce(DataFrame.unionByName, [
-        words.select("doc", "tkey", "n", F.posexplode(shingles(F.col("w"), k)).alias("at", "h"))
-        .join(known.where(F.col("k") == k).select("h", "sizes"), "h")
-        for k in lengths
-    ])
+    every = F.flatten(F.array(*[
+        F.transform(shingles(F.col("w"), k), lambda h, i: F.struct(F.lit(k).alias("k"), i.alias("at"), h.alias("h"))) for k in lengths
+    ]))
+    hits = words.select("doc", "tkey", "n", F.explode(every).alias("x")).select("doc", "tkey", "n", "x.*").join(known, ["k", "h"])
     hits = hits.select("doc", "tkey", "n", "at", F.explode("sizes").alias("words")).distinct()
     m = F.col("words") - F.least("words", F.lit(SHINGLE)) + 1
     own = F.least("n", "words") - F.least("words", F.lit(SHINGLE)) + 1
