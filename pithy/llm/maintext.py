@@ -31,8 +31,8 @@ OWN_KIND = {
 }
 HOLDERS = frozenset("ul ol dl table select div article section main body".split())
 
-#: Elements that are never part of an article, and class, id and role names (whole ones) that mark such elements
-#: unless they are, or hold, a marked article. Markup of formulas is text but for its second form in <annotation>.
+#: Elements that are never part of an article, and class, id and role names (whole ones) that lower an element's
+#: standing. Markup of formulas is text but for its second form in <annotation>.
 DROPPED = frozenset(
     "nav header footer aside form script style noscript template textarea title iframe svg annotation annotation-xml canvas audio video object "
     "button select option datalist dialog menu head xmp noembed noframes".split()
@@ -41,7 +41,7 @@ DROPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsense sponsor sponsored promo promotion menu menubar nav navbar "
     "navigation breadcrumb breadcrumbs header masthead footer sidebar aside complementary cookie cookies consent notice notices "
     "gdpr banner popup modal dialog overlay newsletter subscribe subscription signup login search comment comments commentlist "
-    "disqus reply replies respond discussion related recommended share sharing social pagination pager toolbar widget contentinfo "
+    "disqus reply replies respond responses discussion related recommended share sharing social pagination pager toolbar widget contentinfo "
     "alert hidden "
     "ad-banner ad-block ad-box ad-container ad-slot ad-unit ad-wrapper banner-ad google-ad side-ad top-ad sponsored-content "
     "sponsored-links promo-box menu-bar main-menu mobile-menu nav-menu side-menu site-menu top-menu nav-bar main-nav site-nav "
@@ -59,12 +59,16 @@ TAG = re.compile(
 NAMED = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?""", re.I)
 
 
-def read_attributes(attributes: str) -> tuple[bool, bool, bool]:
-    """Whether an element's attributes hide it, whether they name it a side element, and whether the main content.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+KINDS = frozenset(OWN_KIND).union(*OWN_KIND.values())
+
+
+def read_attributes(attributes: str) -> tuple[bool, str, bool]:
+    """Whether an element's attributes hide it, which one names it a side element ("", "id", "class"), and whether it is the main content.
 
     Names are compared whole, never words inside them; `topMenu` and `top_menu` are `top-menu`.
     """
-    hides = aside = main = False
+    hides, aside, main = False, "", False
     for name, value in NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
@@ -74,7 +78,7 @@ def read_attributes(attributes: str) -> tuple[bool, bool, bool]:
         elif name == "role" and value.lower() == "main" or name == "itemprop" and value.lower() == "articlebody":
             main = True
         elif name in ("class", "id", "role") and not DROPPED_NAMES.isdisjoint(HUMP.sub("-", value).lower().split()):
-            aside = True
+            aside = "id" if name == "id" and not aside else "class"
     return hides, aside, main
 
 
@@ -83,27 +87,20 @@ class Page:
 
     def __init__(self, source: str):
         self.names, self.parents, self.main = ["body"], [-1], [False]
-        self.hidden, self.aside = [False], [False]  # by element or hiding attribute, with all below; by a name of its own
+        self.hidden, self.aside = [False], [""]  # by element or hiding attribute, with all below; by a name of its own
         self.pieces: list[tuple[int, str]] = []  # (element, text), or (element, " ") where a block or line ends
         self.stack, self.open = [0], Counter({"body": 1})
+        self.items: list[dict[str, list[int]]] = [{}]  # per open holder: depths of the open list items, cells and the like in it
         self._read(source)
-        self.dropped = self._dropped()
-
-    def _dropped(self) -> list[bool]:
-        """Hidden elements, and those named as side elements that neither are nor hold a marked article; with all below."""
-        holds = [main and not hidden for main, hidden in zip(self.main, self.hidden)]
-        for at in range(len(holds) - 1, 0, -1):
-            if holds[at]:
-                holds[self.parents[at]] = True
-        out = [False]
-        for at in range(1, len(holds)):
-            out.append(out[self.parents[at]] or self.hidden[at] or self.aside[at] and not holds[at])
-        return out
 
     def _close(self, depth: int) -> None:
         while len(self.stack) > depth:
             at = self.stack.pop()
             self.open[self.names[at]] -= 1
+            if self.names[at] in HOLDERS:
+                self.items.pop()
+            elif self.names[at] in KINDS:
+                self.items[-1][self.names[at]].pop()
             if self.names[at] not in INLINE:
                 self.pieces.append((self.stack[-1], " "))
 
@@ -121,28 +118,25 @@ class Page:
                     depth -= 1
                 if self.names[self.stack[depth]] == "p":
                     self._close(depth)
-            kinds = OWN_KIND.get(name)
-            if kinds and any(self.open[k] for k in kinds):
-                depth = len(self.stack) - 1
-                end = None
-                while self.names[self.stack[depth]] not in HOLDERS:
-                    if self.names[self.stack[depth]] in kinds:
-                        end = depth
-                    depth -= 1
-                if end is not None:
-                    self._close(end)
+            begun = [at[0] for at in (self.items[-1].get(k) for k in OWN_KIND.get(name, ())) if at]
+            if begun:
+                self._close(min(begun))
             self.pieces.append((self.stack[-1], " "))
         elif name in SPACED:
             self.pieces.append((self.stack[-1], " "))
         if name in VOID:
             return
-        hides, aside, main = read_attributes(attributes) if attributes else (False, False, False)
+        hides, aside, main = read_attributes(attributes) if attributes else (False, "", False)
         parent = self.stack[-1]
         self.names.append(name)
         self.parents.append(parent)
         self.hidden.append(self.hidden[parent] or hides or name in DROPPED)
         self.aside.append(aside)
         self.main.append(main or name in ("article", "main"))
+        if name in HOLDERS:
+            self.items.append({})
+        elif name in KINDS:
+            self.items[-1].setdefault(name, []).append(len(self.stack))
         self.stack.append(len(self.names) - 1)
         self.open[name] += 1
 
@@ -198,78 +192,160 @@ class Page:
                 at = end.start()
 
 
-def densities(page: Page, chars, tags, link_chars, link_tags) -> list[float]:
-    """Composite text density of every element: characters per tag, the less the more of them are links.
+class Measure:
+    """Densities of a page's elements, without the dropped ones and all below them.
 
-    Follows the published formula; counts of zero in a divisor stand for one.
+    `density` is the composite text density: characters per tag, the less the more of
+    them are links, by the published formula; counts of zero in a divisor stand for
+    one. `total` is the sum over the children of a block; its own text and the
+    elements inside its lines count like a child. `best_in` is the element of the greatest sum in every
+    subtree, the first of equals.
     """
-    body_share = link_chars[0] / max(chars[0], 1)
-    out = []
-    for c, t, lc, lt in zip(chars, tags, link_chars, link_tags):
-        if not c:
-            out.append(0.0)
-            continue
-        t, links, lt = max(t, 1), max(lc, 1), max(lt, 1)
-        base = math.log(c / max(c - lc, 1) * links + body_share * c + math.e)
-        out.append(c / t * math.log(c / links * t / lt) / math.log(base))
-    return out
+
+    def __init__(self, page: Page, gone: set[int]):
+        count = len(page.names)
+        self.dropped = [False] * count
+        for at in range(count):
+            self.dropped[at] = page.hidden[at] or at in gone or at > 0 and self.dropped[page.parents[at]]
+        own, self.tags, self.link_chars, self.links = [0] * count, [0] * count, [0] * count, [0] * count
+        for at, text in page.pieces:
+            if not self.dropped[at]:
+                own[at] += len(" ".join(text.split()))
+        self.chars = own[:]
+        for at in range(count - 1, 0, -1):
+            if self.dropped[at]:
+                continue
+            up, link = page.parents[at], page.names[at] == "a"
+            self.chars[up] += self.chars[at]
+            self.tags[up] += self.tags[at] + 1
+            self.link_chars[up] += self.chars[at] if link else self.link_chars[at]
+            self.links[up] += 1 if link else self.links[at]
+            if link:
+                self.link_chars[at], self.links[at] = self.chars[at], 1
+        self.density = self._densities()
+        # block: the block an element's lines belong to; line_*: text and links in a block's own lines.
+        self.block, self.total = list(range(count)), [float(own[0])] + [-1.0] * (count - 1)
+        self.line_chars, self.line_link_chars, self.line_links = own[:], [0] * count, [0] * count
+        for at in range(1, count):
+            if self.dropped[at]:
+                continue
+            up = self.block[page.parents[at]]
+            if page.names[at] in INLINE:
+                self.block[at] = up
+                self.total[up] += own[at]
+                self.line_chars[up] += own[at]
+                if page.names[at] == "a":
+                    self.line_link_chars[up] += self.chars[at]
+                    self.line_links[up] += 1
+            else:
+                self.total[at] = float(own[at])
+                self.total[up] += self.density[at]
+        self.best_in = list(range(count))
+        for at in range(count - 1, 0, -1):
+            up, best = page.parents[at], self.best_in[at]
+            if not self.dropped[at] and (self.total[best], -best) > (self.total[self.best_in[up]], -self.best_in[up]):
+                self.best_in[up] = best
+
+    def _densities(self) -> list[float]:
+        body_share = self.link_chars[0] / max(self.chars[0], 1)
+        out = []
+        for c, t, lc, lt in zip(self.chars, self.tags, self.link_chars, self.links):
+            if not c:
+                out.append(0.0)
+                continue
+            t, links, lt = max(t, 1), max(lc, 1), max(lt, 1)
+            base = math.log(c / max(c - lc, 1) * links + body_share * c + math.e)
+            out.append(c / t * math.log(c / links * t / lt) / math.log(base))
+        return out
 
 
-def content_roots(page: Page) -> list[int]:
-    """The elements whose text is the article's: the subtree of the greatest sum of child densities.
+def marks(page: Page) -> tuple[list[bool], list[int]]:
+    """Whether an element is, or holds, a marked article; and the innermost marked element around it or itself, or -1."""
+    holds = [main and not hidden for main, hidden in zip(page.main, page.hidden)]
+    for at in range(len(holds) - 1, 0, -1):
+        if holds[at]:
+            holds[page.parents[at]] = True
+    within = [-1] * len(holds)
+    for at in range(len(holds)):
+        within[at] = at if page.main[at] and not page.hidden[at] else within[page.parents[at]] if at else -1
+    return holds, within
 
-    Its least density on the way to the body is the threshold; other elements of
-    that density add the best subtree they hold. Inside a marked article or main
-    element that whole element counts.
+
+def measured(page: Page, holds: list[bool], within: list[int]) -> Measure:
+    """The page without the side elements that their names and densities tell.
+
+    A name never drops a heading, nor what is or holds a marked article. Inside a marked
+    article an id drops nothing, and a class or role only what is less dense than the
+    article. Elsewhere a named element goes, unless its best subtree has more than
+    twice the sum of the best one without it: then the names around that subtree count for nothing.
     """
-    count = len(page.names)
-    own, tags, link_chars, link_tags = [0] * count, [0] * count, [0] * count, [0] * count
-    for at, text in page.pieces:
-        if not page.dropped[at]:
-            own[at] += len(" ".join(text.split()))
-    chars = own[:]
-    for at in range(count - 1, 0, -1):
-        if page.dropped[at]:
-            continue
-        up = page.parents[at]
-        link = page.names[at] == "a"
-        chars[up] += chars[at]
-        tags[up] += tags[at] + 1
-        link_chars[up] += chars[at] if link else link_chars[at]
-        link_tags[up] += 1 if link else link_tags[at]
-        if link:
-            link_chars[at], link_tags[at] = chars[at], 1
-    if not chars[0]:
-        return []
-    density = densities(page, chars, tags, link_chars, link_tags)
-    # Text of its own counts like a child; elements inside a line belong to their block.
-    block, total = list(range(count)), [float(own[0])] + [-1.0] * (count - 1)
-    for at in range(1, count):
-        if page.dropped[at]:
+    loose = Measure(page, set())
+    side = set()
+    for at, name in enumerate(page.aside):
+        if not name or holds[at] or page.names[at] in HEADINGS:
             continue
-        up = block[page.parents[at]]
-        if page.names[at] in INLINE:
-            block[at] = up
-            total[up] += own[at]
-        else:
-            total[at] = float(own[at])
-            total[up] += density[at]
-    best_in = list(range(count))  # the element of the greatest sum in every subtree, the first of equals
-    for at in range(count - 1, 0, -1):
-        up = page.parents[at]
-        if not page.dropped[at] and (total[best_in[at]], -best_in[at]) > (total[best_in[up]], -best_in[up]):
-            best_in[up] = best_in[at]
-    best = best_in[0]
-    threshold, scope, at = density[best], None, best
+        if within[at] < 0 or name == "class" and loose.density[at] < loose.density[within[at]]:
+            side.add(at)
+    if not side:
+        return loose
+    strict = Measure(page, side)
+    best = loose.best_in[0]
+    if 2 * strict.total[strict.best_in[0]] >= loose.total[best]:
+        return strict
+    while best >= 0:
+        side.discard(best)
+        best = page.parents[best]
+    return Measure(page, side)
+
+
+def content_roots(page: Page) -> tuple[list[int], list[bool]]:
+    """The elements whose text is the article's, and which elements below them are left out.
+
+    The subtree of the greatest sum of child densities is found. Its least density on
+    the way to the body is the threshold; other elements of that density add the best
+    subtree they hold. A marked article bounds the search: of the marked elements the
+    one of the greatest sum counts alone, if that is at least half the page's. Inside
+    a root, lists of links below the threshold go.
+    """
+    holds, within = marks(page)
+    m = measured(page, holds, within)
+    if not m.chars[0]:
+        return [], m.dropped
+    best = m.best_in[0]
+    scope = within[best]
+    if scope < 0 and holds[best]:
+        scope = max((at for at in range(len(within)) if within[at] == at and not m.dropped[at]), key=lambda at: m.total[m.best_in[at]], default=-1)
+        if scope >= 0 and 2 * m.total[m.best_in[scope]] < m.total[best]:
+            scope = -1
+    threshold, at = m.density[best], scope if scope >= 0 else best
     while at >= 0:
-        threshold = min(threshold, density[at])
-        if scope is None and page.main[at]:
-            scope = at
+        threshold = min(threshold, m.density[at])
         at = page.parents[at]
-    if scope is not None:
-        return [scope]
-    blocks = (i for i in range(count) if total[i] >= 0 and chars[i])
-    return sorted({best} | {best_in[i] for i in blocks if density[i] >= threshold})
+    if scope >= 0:
+        roots = [scope]
+    else:
+        blocks = (i for i in range(len(within)) if m.total[i] >= 0 and m.chars[i])
+        roots = sorted({best} | {m.best_in[i] for i in blocks if m.density[i] >= threshold})
+    return roots, without_link_lists(page, m, set(roots), threshold)
+
+
+def without_link_lists(page: Page, m: Measure, roots: set[int], threshold: float) -> list[bool]:
+    """What is left out: blocks of three links or more that are mostly links and below the threshold, and such links between blocks."""
+    has_blocks = [False] * len(page.names)
+    for at in range(1, len(page.names)):
+        if not m.dropped[at] and page.names[at] not in INLINE:
+            has_blocks[m.block[page.parents[at]]] = True
+    out = [False] * len(page.names)
+    for at in range(len(page.names)):
+        out[at] = m.dropped[at] or at > 0 and out[page.parents[at]]
+        if out[at] or at in roots:
+            continue
+        if page.names[at] == "a":
+            up = m.block[at]
+            out[at] = has_blocks[up] and m.line_links[up] >= 3 and 2 * m.line_link_chars[up] > m.line_chars[up]
+        elif page.names[at] not in INLINE:
+            out[at] = m.links[at] >= 3 and 2 * m.link_chars[at] > m.chars[at] and m.density[at] < threshold
+    return out
 
 
 def main_text(source: str | None) -> str:
@@ -277,10 +353,11 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = Page(source)
-    chosen = set(content_roots(page))
+    roots, out = content_roots(page)
+    chosen = set(roots)
     inside = [False] * len(page.names)
     for at in range(len(page.names)):
-        inside[at] = not page.dropped[at] and (at in chosen or at > 0 and inside[page.parents[at]])
+        inside[at] = not out[at] and (at in chosen or at > 0 and inside[page.parents[at]])
     # Blanks between blocks belong to the text whichever element they are noted under.
     return " ".join("".join(text if text == " " or inside[at] else "" for at, text in page.pieces).split())
 
