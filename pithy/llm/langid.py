@@ -161,7 +161,9 @@ def fit(
     return LanguageFilters(languages, table, probes)
 
 
-def predict(docs: DataFrame, model: LanguageFilters, text: str = "text") -> DataFrame:
+def predict(
+    docs: DataFrame, model: LanguageFilters, text: str = "text", lang_col: str = "lang_pred", score_col: str = "score",
+) -> DataFrame:
     """`docs` with lang_pred and score (replacing columns of these names); map-only, whole texts.
 
     lang_pred is `und` and score 0 if the text is null or has no letter, or if no
@@ -172,16 +174,16 @@ def predict(docs: DataFrame, model: LanguageFilters, text: str = "text") -> Data
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in (lang_col, score_col)]
     at = kept.index(text)
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    schema = docs.select(*kept).schema.add(lang_col, "string").add(score_col, "double")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shared.value.predict(t.as_py()) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                [*kept, "lang_pred", "score"],
+                [*kept, lang_col, score_col],
             )
 
     return docs.select(*kept).mapInArrow(step, schema)

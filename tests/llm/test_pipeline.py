@@ -52,6 +52,25 @@ def test_stages(spark, corpus):
     assert pieces.select("doc_id").distinct().count() == redacted.select("doc_id").distinct().count()
 
 
+def test_stages_keep_columns_of_any_name(spark, corpus):
+    """Columns that have the names of the stages' own."""
+    folder, rows = corpus
+    names = ["_id", "_seen", "score", "lang_pred", "_doc", "_tkey", "_cuts", "fingerprint", "component_id", "key", "row", "words", "n", "d"]
+    long_ = " ".join(f"word{i % 977}x{i}" for i in range(60_000))
+    docs = spark.createDataFrame([(*r, *[f"{n}{i}" for n in names]) for i, r in enumerate([*rows, (500, long_, "en", "s", 1), (501, "", None, None, 0)])],
+                                 f"{SCHEMA}, {', '.join(f'{n} string' for n in names)}")
+    before = {r["_id"]: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, folder)
+        assert found.columns == docs.columns, name
+        for r in found.collect():
+            was = before[r["_id"]]
+            assert tuple(r[n] for n in names) == tuple(was[n] for n in names), name
+            assert r.text == was.text or "[SECRET]" in r.text and name == "secrets"
+        docs = found
+    assert corpus_pipeline.packing(spark, docs, folder).where("doc_id = 500").agg({"length": "sum"}).first()[0] > 60_000
+
+
 def test_run_applies_all_stages(spark, corpus):
     folder, _ = corpus
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None

@@ -1,8 +1,10 @@
 """Text operators against brute force, the tokenizers themselves and held-out rows."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -314,6 +316,88 @@ def test_only_whole_names_drop_an_element(page):
     assert maintext.main_text(page.format(ARTICLE)) == ARTICLE_TEXT
 
 
+LINKS = "".join(f"<a href=/{i}>Story number {i}</a>" for i in range(20))
+PARAGRAPH = "<p>" + "Plain words of a long paragraph that tells the story at length. " * 4 + "</p>"
+PARAGRAPH_TEXT = PARAGRAPH[3:-4].strip()
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<article><h1>T</h1>{PARAGRAPH}<h2 id="discussion">Discussion</h2>{PARAGRAPH}</article>', f"T {PARAGRAPH_TEXT} Discussion {PARAGRAPH_TEXT}"),
+    (f'<article>{PARAGRAPH}<section id="related"><h2>Related work</h2>{PARAGRAPH}</section></article>', f"{PARAGRAPH_TEXT} Related work {PARAGRAPH_TEXT}"),
+    (f'<article>{PARAGRAPH}<p class="search">' + PARAGRAPH[3:] + "<ul><li>One<li>Two</ul></article>", f"{PARAGRAPH_TEXT} {PARAGRAPH_TEXT} One Two"),
+    (f'<div>{LINKS}</div><div class="content overlay"><h1>T</h1>{PARAGRAPH}{PARAGRAPH}</div>', f"T {PARAGRAPH_TEXT} {PARAGRAPH_TEXT}"),
+    (f'<main>{LINKS}<h1>T</h1>{PARAGRAPH}<p>Short.</p>{PARAGRAPH}<ul><li>{"</li><li>".join(LINKS.split("</a>"))}</ul></main>',
+     f"T {PARAGRAPH_TEXT} Short. {PARAGRAPH_TEXT}"),
+    (f'<main><h1>T</h1>{PARAGRAPH}{PARAGRAPH}<div class="responses"><b>Al</b><p>Nice!</p><b>Bo</b><p>First.</p></div></main>', f"T {PARAGRAPH_TEXT} {PARAGRAPH_TEXT}"),
+    (f'<article><h2>Teaser</h2><p>Read this.</p></article><article><h1>T</h1>{PARAGRAPH}{PARAGRAPH}</article>', f"T {PARAGRAPH_TEXT} {PARAGRAPH_TEXT}"),
+    (f'<article><h1>T</h1>{PARAGRAPH}{PARAGRAPH}<div class="ad">Buy now, it is cheap.</div><div class="comment-list"><p>So true.</p></div></article>',
+     f"T {PARAGRAPH_TEXT} {PARAGRAPH_TEXT}"),
+])
+def test_densities_decide_within_and_around_articles(page, text):
+    assert maintext.main_text(f"<body><nav>{LINKS}</nav>{page}</body>") == text
+
+
+def plain_density(node, body):
+    """Composite text density by its formula, from nested (name, children) with strings as text."""
+    def walk(n):
+        chars = tags = link_chars = links = 0
+        for c in n[1]:
+            if isinstance(c, str):
+                chars += len(" ".join(c.split()))
+            else:
+                a, b, d, e = walk(c)
+                chars, tags = chars + a, tags + b + 1
+                link_chars, links = link_chars + (a if c[0] == "a" else d), links + (1 if c[0] == "a" else e)
+        return chars, tags, link_chars, links
+
+    c, t, lc, lt = walk(node)
+    if not c:
+        return 0.0
+    bc, _, blc, _ = walk(body)
+    t, one, lt = max(t, 1), max(lc, 1), max(lt, 1)
+    return c / t * math.log(c / one * t / lt) / math.log(math.log(c / max(c - lc, 1) * one + blc / bc * c + math.e))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_the_densest_subtree_equals_brute_force(seed):
+    random.seed(seed)
+
+    def tree(depth):
+        children = []
+        for _ in range(random.randint(1, 4)):
+            kind = random.random()
+            if depth and kind < 0.6:
+                children.append((random.choice(["div", "section"]), tree(depth - 1)))
+            else:
+                words = " ".join("word" for _ in range(random.randint(1, 60)))
+                children.append(("p", [words] if kind < 0.8 else [("a", [words]), words] if kind < 0.9 else [("a", [words]), ("a", ["more"])]))
+        return children
+
+    body = ("body", tree(4))
+    markup = lambda n: n if isinstance(n, str) else f"<{n[0]}>{''.join(map(markup, n[1]))}</{n[0]}>"
+    page = maintext.Page(markup(body))
+    m = maintext.Measure(page, set())
+    nodes, stack = [], [body]
+    while stack:  # in page order, as elements are numbered
+        n = stack.pop()
+        nodes.append(n)
+        stack.extend(reversed([c for c in n[1] if not isinstance(c, str)]))
+    want = [plain_density(n, body) if n[0] != "a" else None for n in nodes]
+    assert [d for d, w in zip(m.density, want) if w is not None] == pytest.approx([w for w in want if w is not None])
+    sums = [-1 if n[0] == "a" else sum(len(c) if isinstance(c, str) else len(c[1][0]) if c[0] == "a" else plain_density(c, body) for c in n[1]) for n in nodes]
+    assert m.total[m.best_in[0]] == pytest.approx(max(sums))
+
+
+@pytest.mark.parametrize("page", [
+    "<ul><li><ul>" + "<b>" * 16_000 + "<li>x" * 16_000, "<table><tr><td>" * 8_000 + "<b>" * 8_000 + "<td>x" * 8_000,
+    "<div class=ad><div class=comments>" * 20_000 + "x", "<p>" + "<b>" * 20_000 + "<div>x" * 20_000, "<a href=x>" * 20_000 + "y" + "<li>" * 20_000,
+])
+def test_hostile_pages_take_linear_time(page):
+    start = time.perf_counter()
+    maintext.main_text(page)
+    assert time.perf_counter() - start < 2
+
+
 def test_formulas_stay():
     page = ("<p>Let <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math> hold, "
             "<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr></mtable></math>.</p>")
