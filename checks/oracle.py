@@ -461,6 +461,13 @@ def build() -> dict[str, str]:
       UNION ALL SELECT md5('conversations' || chr(1) || text || chr(1) || role), 'conversations', md5(text), role, 'test'
       FROM conversations"""
     sql["page_articles"] = with_(PAGES) + "SELECT page_id, url, title, article, domain, status FROM parsed"
+    remark = "'<article><p>A nested remark of more than eight words in all, on page ' || page_id || '</p>'"
+    plain = f"flat AS MATERIALIZED (SELECT page_id, url, replace(html, '<article>', {remark}) AS html FROM pages)"
+    sql["nested_articles"] = with_(plain, PAGES.replace("FROM pages", "FROM flat")) + (
+        "SELECT page_id, url, title, article, domain, status FROM parsed")
+    sql["old_entities"] = f"""
+      SELECT page_id, concat('café © 2030 AT&T &uml é &x ¬it; ', {visible("regexp_extract(html, '<title>([^<]*)</title>', 1)")},
+        ' R&D½Ü') AS text FROM pages"""
     sql["page_domain"] = with_(PAGES) + "SELECT domain, count(*) AS pages FROM parsed GROUP BY domain"
     sql["page_digest"] = with_(PAGES) + f"""
       SELECT page_id, url, title, article, domain, status, 'lead_3' AS method, {lead('s')} AS summary,

@@ -368,6 +368,23 @@ def page_articles(spark, sf):
     return pages.parse_pages(table(spark, sf, "pages"))
 
 
+def nested_articles(spark, sf):
+    """Pages whose article holds another one, and side elements that hold more of their own kind."""
+    remark = F.concat(F.lit("<p>A nested remark of more than eight words in all, on page "), F.col("page_id"), F.lit("</p>"))
+    side = "".join(f"<{e}><div><{e}>x</{e}></div>{{}}</{e}>" for e in ("aside", "nav", "header", "form")).replace("{}", "<p>" + "leaked " * 9 + "</p>")
+    inside = F.concat(F.lit(f"<article>{side}<section><article>"), remark, F.lit(f"</article></section>{side}"))
+    df = table(spark, sf, "pages")
+    return pages.parse_pages(df.withColumn("html", F.replace("html", F.lit("<article>"), inside)))
+
+
+def old_entities(spark, sf):
+    """Titles between entities that end without a semicolon."""
+    title = F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1))
+    df = table(spark, sf, "pages").select("page_id", F.concat(
+        F.lit("<p>caf&eacute <b>&copy 2030</b> AT&T &amp;uml &#233 &ampx &notit; "), title, F.lit(" R&D&frac12&Uuml</p>")).alias("html"))
+    return df.select("page_id", text.strip_html(F.col("html")).alias("text"))
+
+
 def page_domain(spark, sf):
     df = table(spark, sf, "pages").select(text.domain(F.col("url")).alias("domain"))
     return df.groupBy("domain").agg(F.count("*").alias("pages"))
@@ -408,7 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         length_describe, score_distribution, method_paired, best_worst, length_histogram,
         rouge_pivot, rouge_matrix, score_curve, quality_by_source, quality_by_label,
         compression_by_method,
-        harmonised_union, page_articles, page_domain, page_pairs_scored, page_digest, stream_digest,
+        harmonised_union, page_articles, nested_articles, old_entities, page_domain, page_pairs_scored, page_digest, stream_digest,
     )
 } | {
     "rouge1": _rouge("rouge1"), "rouge2": _rouge("rouge2"), "rouge_l": _rouge("rougeL"),

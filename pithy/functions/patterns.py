@@ -51,12 +51,13 @@ CHROME_OPENING = rf"^(by{WS}|copyright|©)"
 MIN_PARAGRAPH_WORDS = 8
 MIN_ARTICLE_WORDS = 30
 
-# Elements that are dropped with their content.
-PAGE_DROPPED = (
-    "script", "style", "noscript", "iframe", "aside", "footer", "header", "nav", "form",
-    "template",
-)
+# Elements that are dropped with their content. The first hold no markup and
+# end at their first end tag, the others may hold one another and themselves.
 TEXT_DROPPED = ("script", "style", "noscript", "iframe", "template")
+PAGE_RAW = ("script", "style", "noscript", "iframe")
+PAGE_NESTED = ("aside", "footer", "header", "nav", "form", "template")
+# Parts that a fold over a page's tags collects at once.
+FOLD_BLOCK = 256
 
 # What a tag may hold up to its end: quotes count after "=" only. Java alone: possessive
 # groups neither backtrack nor recurse, however long the tag.

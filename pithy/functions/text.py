@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pithy.functions import arrow_udfs
 from pithy.functions import patterns as P
+from pithy.functions.arrays import bind
 
 
 def strip(text: Column) -> Column:
@@ -56,16 +59,84 @@ def normalize_article(text: Column) -> Column:
     return collapse_spaces(drop_boilerplate(F.regexp_replace(text, P.CONTROL, " ")))
 
 
+def tag_of(names: str) -> str:
+    """Where a start or end tag of the names begins."""
+    return rf"</?(?:{names})(?=[\s/>])"
+
+
 def drop_elements(markup: Column, names: tuple[str, ...]) -> Column:
     """Remove comments and the named elements with their content.
 
     One alternation, so whichever opens first wins; an unclosed element runs to
-    the end. Elements nested in one of the same name are not balanced.
+    the end. Every element ends at its first end tag, which suits those that
+    cannot nest; for the others see `drop_nested`.
     """
     elements = "|".join(rf"<{name}\b{P.TAG_REST}.*?(?:</{name}\s*+>|\z)" for name in names)
     return F.regexp_replace(markup, rf"(?is)<!--.*?(?:-->|\z)|{elements}", " ")
 
 
+def drop_nested(markup: Column, elements: tuple[str, ...]) -> Column:
+    """Remove the outermost of the named elements, each up to the end tag that balances it or the end.
+
+    `markup` should be a plain column: Spark cannot evaluate an Arrow UDF over these folds.
+    A fold over the parts that begin with such a tag counts the open elements of the
+    outermost one's name; other names inside it go with it. Stray end tags change
+    nothing. The parts go in blocks, as a fold that collects copies what it holds.
+    """
+    names = "|".join(elements)
+    part = F.transform(F.split(markup, f"(?i)(?={tag_of(names)})", -1), lambda p: F.struct(
+        p.alias("text"), F.lower(F.regexp_extract(p, f"(?i)^<({names})(?=[\\s/>])", 1)).alias("opens"),
+        F.lower(F.regexp_extract(p, f"(?i)^</({names})(?=[\\s/>])", 1)).alias("closes"),
+    ))
+
+    def step(state: Column, p: Column) -> Column:
+        depth, name = state["depth"], state["name"]
+        now = (
+            F.when((p["opens"] != "") & ((depth == 0) | (name == p["opens"])), depth + 1)
+            .when((depth > 0) & (name == p["closes"]), depth - 1).otherwise(depth)
+        )
+        return F.struct(
+            now.alias("depth"), F.when((p["opens"] != "") & (depth == 0), p["opens"]).otherwise(name).alias("name"),
+            F.concat(state["kept"], F.array(F.when(now == 0, p["text"]))).alias("kept"),
+        )
+
+    def block(states: Column, parts: Column) -> Column:
+        last = F.element_at(states, -1)
+        begin = F.struct(last["depth"].alias("depth"), last["name"].alias("name"), none.alias("kept"))
+        return F.concat(states, F.array(F.aggregate(parts, begin, step)))
+
+    none = F.array().cast("array<string>")
+    blocks = bind(part, lambda ps: F.transform(
+        F.sequence(F.lit(0), F.size(ps) - 1, F.lit(P.FOLD_BLOCK)), lambda at: F.slice(ps, at + 1, F.lit(P.FOLD_BLOCK))
+    ))
+    start = F.array(F.struct(F.lit(0).alias("depth"), F.lit("").alias("name"), none.alias("kept")))
+    states = F.aggregate(blocks, start, block)
+    rest = F.array_join(F.flatten(F.transform(states, lambda s: s["kept"])), "")
+    return F.when(markup.rlike(f"(?i){tag_of(names)}"), rest).otherwise(markup)
+
+
+def first_element(markup: Column, name: str) -> Column:
+    """Content of the first element of a name, up to the end tag that balances it or the end; '' if absent."""
+    opens, closes = rf"(?i)^<{name}(?=[\s/>])", rf"(?i)^</{name}(?=[\s/>])"
+
+    def step(s: Column, p: Column) -> Column:
+        starts, ends = p.rlike(opens), p.rlike(closes)
+        over = s["end"] >= 0
+        return F.struct(
+            (s["at"] + 1).alias("at"), F.when(starts & (s["begin"] < 0), s["at"]).otherwise(s["begin"]).alias("begin"),
+            F.when(~over & ends & (s["depth"] == 1), s["at"]).otherwise(s["end"]).alias("end"),
+            F.when(over, s["depth"]).when(starts, s["depth"] + 1).when(ends & (s["depth"] > 0), s["depth"] - 1).otherwise(s["depth"]).alias("depth"),
+        )
+
+    def content(parts: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.lit(-1).alias("begin"), F.lit(-1).alias("end"), F.lit(0).alias("depth"))
+        return bind(F.aggregate(parts, start, step), lambda s: F.when(s["begin"] < 0, "").otherwise(F.array_join(
+            F.slice(parts, s["begin"] + 1, F.when(s["end"] < 0, s["at"]).otherwise(s["end"]) - s["begin"]), "")))
+
+    found = bind(F.split(markup, f"(?i)(?={tag_of(name)})", -1), content)
+    return F.regexp_replace(found, rf"(?i)^<{name}(?=[\s/>]){P.TAG_REST}", "")
+
+
 def tags_to_text(markup: Column) -> Column:
     """Each text node stripped, nodes joined by one space, entities decoded.
 
@@ -76,9 +147,13 @@ def tags_to_text(markup: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Decode entities: the usual ones in the JVM, texts with others in an Arrow UDF."""
+    """Decode entities: the usual ones in the JVM, texts with others in an Arrow UDF.
+
+    The old Latin-1 names need no `;`: the longest one that fits counts.
+    """
     known = "|".join(name[1:-1] for name, _ in P.ENTITIES)
-    rare = F.when(text.rlike(rf"&(?!(?:{known});)#?\w+;"), text)
+    bare = "|".join(sorted(name for name in html5 if not name.endswith(";")))
+    rare = bind(text, lambda t: F.when(t.rlike(rf"&(?!(?:{known});)(?:#[0-9xX]|\w+;|{bare})"), t))
     usual = text
     for name, value in P.ENTITIES:
         usual = F.replace(usual, F.lit(name), F.lit(value))

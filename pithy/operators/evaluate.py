@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,24 +16,16 @@ from pithy.operators.summarize import Method, add_summaries, choose_methods
 ALL_VARIANTS = tuple(VARIANTS)
 
 
-def _per_method(values: Mapping[str, float] | None, missing: float = 0.0) -> Column:
-    """A value looked up by the row's method."""
-    found = F.lit(missing)
-    for name, value in (values or {}).items():
-        found = F.when(F.col("method") == name, F.lit(float(value))).otherwise(found)
-    return found
-
-
 def score_methods(
     pairs: DataFrame, methods: Sequence[str | Method] | None = None, n: int = 3,
     variants: Sequence[str] = ALL_VARIANTS, stem: bool = True, max_examples: int | None = None,
-    cols: Columns = DEFAULT, seconds: Mapping[str, float] | None = None,
+    cols: Columns = DEFAULT, timed: bool = False,
 ) -> DataFrame:
     """One row per article and method: summary, lengths, ROUGE scores, id and source.
 
     `pairs` holds prepared text. Sentences and reference tokens are computed once
-    per article and shared by all methods; the plan has no shuffle. `seconds`
-    gives the measured time per article of each method (see `time_methods`).
+    per article and shared by all methods; the plan has no shuffle. With `timed`,
+    elapsed_seconds is the time this run takes for the row's summary, else zero.
     """
     chosen = choose_methods(methods)
     check_variants(variants)
@@ -48,18 +39,22 @@ def score_methods(
     )
     df = prepare_tokens(df, "reference_summary", "_reference", variants, stem)
     df = df.withColumn("article_length", text.word_count(F.col("article")))
-    df = add_summaries(df, chosen, n)
-    wide = [c for c in df.columns if c.startswith("summary_") or c == "sentences"]
+    df = add_summaries(df, chosen, n, timed=timed)
+    wide = [c for c in df.columns if c.startswith(("summary_", "seconds_")) or c == "sentences"]
     one = F.explode(F.array(*[
-        F.struct(F.lit(m.name).alias("method"), F.col(f"summary_{m.name}").alias("summary"))
+        F.struct(
+            F.lit(m.name).alias("method"), F.col(f"summary_{m.name}").alias("summary"),
+            (F.col(f"seconds_{m.name}") if timed else F.lit(0.0)).alias("seconds"),
+        )
         for m in chosen
     ]))
     df = (
         df.withColumn("_one", one)
-        .withColumns({"method": F.col("_one.method"), "generated_summary": F.col("_one.summary")})
+        .withColumns({
+            "method": F.col("_one.method"), "generated_summary": F.col("_one.summary"), "elapsed_seconds": F.col("_one.seconds"),
+        })
         .drop("_one", *wide)
         .withColumn("summary_length", text.word_count(F.col("generated_summary")))
-        .withColumn("elapsed_seconds", _per_method(seconds))
     )
     scored = add_rouge(
         df, "reference_summary", "generated_summary", variants, stem, tokens_of_reference="_reference"
@@ -104,18 +99,3 @@ def rounded_summary(summary: DataFrame) -> DataFrame:
         c if c in ("method", "n_examples") else F.round(c, places.get(c, 4)).alias(c)
         for c in summary.columns
     ])
-
-
-def time_methods(
-    pairs: DataFrame, methods: Sequence[str | Method] | None = None, n: int = 3,
-    cols: Columns = DEFAULT,
-) -> dict[str, float]:
-    """Wall-clock seconds per article of each method, by running it over `pairs`."""
-    rows = max(1, pairs.count())
-    seconds = {}
-    for method in choose_methods(methods):
-        summaries = add_summaries(pairs, [method], n, cols.article).select(f"summary_{method.name}")
-        start = time.perf_counter()
-        summaries.write.format("noop").mode("overwrite").save()
-        seconds[method.name] = (time.perf_counter() - start) / rows
-    return seconds

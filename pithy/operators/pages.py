@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pithy.functions import patterns as P
 from pithy.functions import text
-from pithy.functions.arrays import compute_once
+from pithy.functions.arrays import bind, compute_once
 
 
 def _region(markup: Column, name: str) -> Column:
@@ -54,19 +54,26 @@ def extract_title(markup: Column) -> Column:
     return text.tags_to_text(raw)
 
 
-def extract_body(markup: Column) -> Column:
-    """Paragraphs of the first <article>, else of <main>, else of the body.
+def content_region(markup: Column) -> Column:
+    """The first <article> if it has paragraphs, else the first <main>, else the body.
 
-    Only paragraphs of eight words or more that are no page furniture count.
-    Paragraph texts are cleaned together: U+0001 keeps them apart meanwhile.
+    Articles inside an article belong to it.
     """
     fallback = (
-        F.when(_has(markup, "main"), _region(markup, "main"))
+        F.when(_has(markup, "main"), text.first_element(markup, "main"))
         .when(_has(markup, "body"), _region(markup, "body"))
         .otherwise(markup)
     )
-    in_article = _region(markup, "article")
-    region = F.when(in_article.rlike(r"(?i)<p[\s>/]"), in_article).otherwise(fallback)
+    return bind(
+        text.first_element(markup, "article"), lambda found: F.when(found.rlike(r"(?i)<p[\s>/]"), found).otherwise(fallback)
+    )
+
+
+def extract_body(region: Column) -> Column:
+    """Paragraphs of eight words or more that are no page furniture.
+
+    Paragraph texts are cleaned together: U+0001 keeps them apart meanwhile.
+    """
     joined = text.tags_to_text(F.array_join(_paragraphs(region), " <p>\x01</p> "))
     paragraphs = F.transform(F.split(joined, "\x01"), text.strip)
     kept = F.filter(
@@ -80,13 +87,12 @@ def parse_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     """Add `title`, `article`, `domain` and `status` ('ok' or 'too_short'); drop the markup."""
     markup = F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), "\x01", " ")
     short = text.word_count(F.col("article")) < P.MIN_ARTICLE_WORDS
-    pages = compute_once(
-        pages.withColumn("_raw", markup).drop(html_col),
-        {"_markup": text.drop_elements(F.col("_raw"), P.PAGE_DROPPED)},
-    ).drop("_raw")
+    pages = compute_once(pages, {"_raw": text.drop_elements(markup, P.PAGE_RAW)}).drop(html_col)
+    pages = compute_once(pages, {"_markup": text.drop_nested(F.col("_raw"), P.PAGE_NESTED)}).drop("_raw")
+    pages = compute_once(pages, {"_region": content_region(F.col("_markup"))})
     pages = compute_once(pages, {
-        "title": extract_title(F.col("_markup")), "_body": extract_body(F.col("_markup")),
-    }).drop("_markup")
+        "title": extract_title(F.col("_markup")), "_body": extract_body(F.col("_region")),
+    }).drop("_markup", "_region")
     pages = compute_once(pages, {"article": text.normalize_article(F.col("_body"))}).drop("_body")
     return pages.withColumns({
         "domain": text.domain(F.col(url_col)),

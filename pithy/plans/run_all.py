@@ -26,13 +26,12 @@ def run_all(
     spark: SparkSession, in_path: str, out_dir: str, methods: Sequence[str | Method] | None = None,
     n: int = 3, variants: Sequence[str] = E.ALL_VARIANTS, max_examples: int | None = None,
     seed: int = 42, fmt: str | None = None, cols: Q.Columns = Q.DEFAULT, on_bad_rows: str = "raise",
-    timing_rows: int = 1000,
 ) -> dict[str, str]:
     """Write every result of a corpus under `out_dir`; return the paths by name.
 
     `on_bad_rows` is 'raise' (stop at the first failed check) or 'quarantine'
     (set bad rows aside and go on). All test rows are scored unless the caller names
-    `max_examples`. Seconds per article are measured on `timing_rows` of them.
+    `max_examples`. The seconds of every summary are those of the scoring run itself.
     """
     raw = read_pairs(spark, in_path, fmt, label_corrupt=True)
     Q.check_columns(raw, cols)
@@ -60,11 +59,7 @@ def run_all(
     prepared = spark.read.parquet(paths["prepared"])
     test = cap_rows(prepared.where(F.col("split") == "test"), max_examples, cols.id, seed)
 
-    seconds = E.time_methods(cap_rows(test, timing_rows, cols.id, seed), methods, n, cols)
-    write_rows(
-        E.score_methods(test, methods, n, variants, cols=cols, seconds=seconds),
-        paths["qualitative_review"],
-    )
+    write_rows(E.score_methods(test, methods, n, variants, cols=cols, timed=True), paths["qualitative_review"])
     scores = read_rows(spark, paths["qualitative_review"])
     summary = E.method_summary(scores, variants)
     write_summary(summary, paths["method_summary"])

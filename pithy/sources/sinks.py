@@ -12,7 +12,9 @@ def write_rows(scores: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Scored rows, one file per task; csv keeps line breaks and quotes readable."""
     writer = scores.write.mode("overwrite")
     if fmt == "csv":
-        writer.options(header=True, quote='"', escape='"').csv(path)
+        writer.options(
+            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ).csv(path)
     else:
         writer.format(fmt).save(path)
 

@@ -1,6 +1,7 @@
 """Readers, writers, stream and the whole job."""
 
 import json
+import shutil
 import warnings
 
 import pytest
@@ -10,7 +11,7 @@ from pithy.operators import quality
 from pithy.plans.run_all import run_all
 from pithy.session import checkpoint_root, spread
 from pithy.sources import readers, sinks
-from pithy.sources.harmonise import SPECS, CorpusSpec, harmonise, union_corpora
+from pithy.sources.harmonise import SPECS, CorpusSpec, harmonise, read_with_row_keys, union_corpora
 from pithy.streaming.digest import digest_pages, start_page_digest
 
 
@@ -49,6 +50,34 @@ def test_articles_from_a_folder_and_row_cap(spark, tmp_path):
     assert readers.limit_rows(df, 2).count() == 2 and readers.limit_rows(df, 0).count() == 3
 
 
+def test_limit_without_a_single_partition(spark):
+    df = spark.range(1000).repartition(13).withColumn("_place", F.lit("own"))
+    for n in (1, 7, 76, 500, 999, 1000, 5000):
+        got = readers.limit_rows(df, n)
+        assert got.columns == df.columns and got.select("id").distinct().count() == got.count() == min(n, 1000)
+        assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(got.collect()) == sorted(got.collect())
+    assert readers.limit_rows(df.where("false"), 5).count() == 0
+
+
+def test_row_keys_tell_identical_rows_apart(spark, tmp_path):
+    rows = [("same text", "same summary")] * 30 + [("other", "x")] * 3
+    df = spark.createDataFrame(rows, "article string, highlights string")
+    df.repartition(4).write.parquet(str(tmp_path / "data"))
+    keyed = read_with_row_keys(spark, str(tmp_path / "data"))
+    ids = lambda d: sorted(r["id"] for r in harmonise(d, SPECS["cnn_dailymail"]).collect())
+    first = ids(keyed)
+    assert len(set(first)) == 33 and all(i.startswith("cnn_dailymail-") for i in first)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        assert ids(read_with_row_keys(spark, str(tmp_path / "data")).repartition(7)) == first
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert ids(read_with_row_keys(spark, str(tmp_path / "data" / "*.parquet"))) == first
+    shutil.copytree(tmp_path / "data", tmp_path / "elsewhere" / "data")
+    assert ids(read_with_row_keys(spark, str(tmp_path / "elsewhere" / "data"))) == first
+
+
 def test_harmonise(spark):
     a = spark.createDataFrame([("7", "text", None)], "id string, document string, summary string")
     b = spark.createDataFrame([("body", "sum"), (None, "s")], "article string, highlights string")
@@ -99,6 +128,21 @@ def test_jsonl_keeps_every_key_and_labels_bad_lines(spark, tmp_path):
     assert spark.read.parquet(paths["prepared"]).count() == 8
 
 
+def test_jsonl_texts_are_read_once(spark, tmp_path):
+    """Reading by keys that differ from line to line: one scan of the file; the table scan for keys reads no values."""
+    lines = [{"a": i, "b": "x\ny", "only": None} if i % 2 else {"b": 1.5, "deep": {"k": [1, "z"]}, "a b.c": True} for i in range(40)]
+    (tmp_path / "d.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n\n[1]\n{\"b\": \n")
+    df = readers.read_pairs(spark, str(tmp_path / "d.jsonl"), label_corrupt=True)
+    assert df.columns == ["a", "a b.c", "b", "deep", "only", "_corrupt_record"]
+    rows = df.collect()
+    assert sorted(r["_corrupt_record"] for r in rows if r["_corrupt_record"]) == ["[1]", '{"b": ']
+    assert sorted((r["a"] or "", r["a b.c"] or "", r["b"] or "", r["deep"] or "") for r in rows if not r["_corrupt_record"]) == sorted(
+        (str(x["a"]), "", "x\ny", "") if "a" in x else ("", "true", "1.5", '{"k":[1,"z"]}') for x in lines)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "d.jsonl" not in plan and plan.count("FileScan") == 1
+    assert readers.read_pairs(spark, str(tmp_path / "d.jsonl")).columns == ["a", "a b.c", "b", "deep", "only"]
+
+
 def test_csv_lines_of_another_width_are_labelled(spark, tmp_path):
     file = tmp_path / "data.csv"
     file.write_text("article,highlights\na b,c\na b,c,d,e\n")

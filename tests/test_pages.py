@@ -1,3 +1,5 @@
+import random
+import re
 import time
 
 import pytest
@@ -84,3 +86,66 @@ def test_long_runs_of_markup_are_linear(spark):
 def test_visible_text(spark, markup, visible):
     df = spark.createDataFrame([(markup,)], "html string")
     assert df.select(text.strip_html(F.col("html"))).first()[0] == visible
+
+
+# --- nested elements and old entities ---
+
+INNER = " ".join(f"inner{i}" for i in range(16)) + "."
+
+
+@pytest.mark.parametrize("page, article", [
+    (f"<article><p>{LONG}</p><article><p>{INNER}</p></article><p>{LONG}</p></article><p>after {LONG}</p>", f"{LONG} {INNER} {LONG}"),
+    (f"<aside><aside><p>{INNER}</p></aside><p>leak {INNER}</p></aside><p>{LONG}</p><p>{LONG}</p>", f"{LONG} {LONG}"),
+    (f"<nav><form><nav>x</nav><p>{INNER}</p></form><p>{INNER}</p></NAV><p>{LONG}</p></aside></nav><p>{LONG}</p>", f"{LONG} {LONG}"),
+    (f"<main><div><main><p>{LONG}</p></main></div><p>{INNER}</p></main><p>{INNER} out</p>", f"{LONG} {INNER}"),
+    (f"<header><script>var a = '<header>';</script><p>{INNER}</p></header><p>{LONG}</p><p>{LONG}", f"{LONG} {LONG}"),
+    (f"<navy><p>{LONG}</p></navy><p>{LONG}</p><nav ><p>{INNER}</p>", f"{LONG} {LONG}"),
+    (f"<article/><p>{LONG}</p><p>{LONG}</p></article>{INNER}", f"{LONG} {LONG}"),
+])
+def test_nested_elements_end_at_their_own_tag(spark, page, article):
+    (row,) = parse(spark, page)
+    assert row["article"] == article
+
+
+def plain_drop(tokens, names):
+    """Brute force over (tag or text) tokens: what is outside of the outermost dropped elements."""
+    out, open_ = [], []
+    for token in tokens:
+        name = token.strip("</>")
+        if token.startswith("</") and name in names:
+            if open_ and open_[0] == name:
+                open_.pop()
+        elif token.startswith("<") and name in names:
+            if not open_ or open_[0] == name:
+                open_.append(name)
+        elif not open_ and not token.startswith("<"):
+            out.append(token)
+    return out
+
+
+def test_dropped_elements_equal_a_counting_loop(spark):
+    random.seed(3)
+    pool = ["<nav>", "</nav>", "<aside>", "</aside>", "<b>", "</b>"]
+    pages = [[random.choice(pool) if random.random() < 0.6 else f"t{i}" for i in range(random.choice([3, 30, 700]))] for _ in range(60)]
+    df = spark.createDataFrame([(i, "".join(p)) for i, p in enumerate(pages)], "id long, html string")
+    got = {r.id: r.t for r in df.select("id", text.drop_nested(F.col("html"), ("aside", "nav")).alias("t")).collect()}
+    for i, p in enumerate(pages):
+        assert re.sub("<[^>]*>", "", got[i]) == "".join(plain_drop(p, {"nav", "aside"}))
+
+
+def test_nested_elements_are_linear(spark):
+    for opening, closing in (("<aside>", "</aside>"), ("<article>", "</article>"), ("<nav>x</nav>", "")):
+        df = spark.range(1).selectExpr(
+            f"concat(repeat('{opening}', 50000 + cast(id as int)), 'in', repeat('{closing}', 50000), '<p>end</p>') as html", "'u' as url")
+        begin = time.perf_counter()
+        parse_pages(df).collect()
+        assert time.perf_counter() - begin < 15
+
+
+@pytest.mark.parametrize("markup, visible", [
+    ("caf&eacute<br>&copy 2030", "café © 2030"), ("&notit; &not; &amplt; AT&T R&D &copyx", "¬it; ¬ &lt; AT&T R&D ©x"), ("&#233 &#xe9; &#x", "é é &#x"),
+    ("&amp;eacute &amp &lt", "&eacute & <"), ("&unknown; &eacute;&Eacute", "&unknown; éÉ"),
+])
+def test_entities_without_semicolon(spark, markup, visible):
+    df = spark.createDataFrame([(f"<p>{markup}</p>",)], "html string")
+    assert df.select(text.strip_html(F.col("html"))).first()[0] == visible

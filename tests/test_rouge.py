@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from pithy.functions.arrays import compute_once, multiset_overlap, ngrams, numbered
 from pithy.operators import evaluate as ev
 from pithy.operators.rouge import VARIANTS, add_rouge
+from pithy.operators.summarize import model_method
 
 
 def frame(spark, rows):
@@ -85,12 +87,24 @@ def test_blank_articles_count_except_in_compression(spark):
     assert row["mean_compression_ratio"] == pytest.approx(3 / 7)
 
 
-def test_timing_is_per_method(spark, corpus):
-    seconds = ev.time_methods(corpus)
-    assert set(seconds) == {"lead_3", "textrank"} and all(s > 0 for s in seconds.values())
-    row = ev.score_methods(corpus, ["lead_3"], seconds=seconds).first()
-    assert row["elapsed_seconds"] == pytest.approx(seconds["lead_3"])
-
+def test_seconds_are_those_of_the_run(spark, corpus):
+    """Every row and method has a time of its own; the summaries are the untimed ones."""
+    def slow(model, texts):
+        time.sleep(0.05 * len(texts))
+        return ["model " + t[:9] for t in texts]
+
+    methods = ["lead_3", "textrank", model_method("slow", lambda: None, slow, 2)]
+    corpus = corpus.unionByName(corpus.limit(1).withColumn("article", F.lit(" ")))
+    timed = ev.score_methods(corpus, methods, timed=True).collect()
+    plain = ev.score_methods(corpus, methods).collect()
+    key = lambda r: (r["method"], r["id"], r["article"])
+    assert sorted((*key(r), r["generated_summary"], r["rouge1_f1"]) for r in timed) == sorted((*key(r), r["generated_summary"], r["rouge1_f1"]) for r in plain)
+    assert all(r["elapsed_seconds"] == 0 for r in plain)
+    assert all(0 < r["elapsed_seconds"] < 5 for r in timed if r["method"] != "slow")
+    slow_ones = [r["elapsed_seconds"] for r in timed if r["method"] == "slow"]
+    assert sum(s == 0 for s in slow_ones) == 1 and all(s >= 0.05 for s in slow_ones if s)
+    means = {r["method"]: r["mean_inference_seconds"] for r in ev.method_summary(ev.score_methods(corpus, methods, timed=True)).collect()}
+    assert means["slow"] > 0.04 > means["lead_3"] > 0
 
 def test_compute_once_survives_the_optimizer(spark, corpus):
     """Sentences are split once in the plan, however often they are used."""
