@@ -59,3 +59,9 @@ ENTITIES = (
     ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
     ("&euro;", "€"), ("&pound;", "£"), ("&amp;", "&"),
 )
+
+# What a delimited file may write for a missing value.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)

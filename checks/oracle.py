@@ -453,6 +453,34 @@ def build() -> dict[str, str]:
       SELECT method, round(coalesce(avg(ratio), 0), 6) AS mean_compression_ratio,
              round(avg(summary_length), 6) AS mean_summary_length FROM made GROUP BY method"""
 
+    # sources, sinks and checks
+    missing = ", ".join(f"'{m}'" for m in P.MISSING)
+    cell = lambda c: f"CASE WHEN {c} NOT IN ({missing}) THEN {c} END"
+    sql["csv_records"] = f"""
+      SELECT CAST(doc_id AS VARCHAR) AS id, {cell('source')} AS source, md5({cell('"text"')}) AS article, {cell('lang')} AS highlights FROM documents"""
+    sql["tsv_records"] = """
+      SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, "role", md5("text" || chr(9) || '"' || chr(10) || "role") AS text
+      FROM conversations"""
+    sql["jsonl_records"] = """
+      SELECT CAST(page_id AS VARCHAR) AS page_id, CASE WHEN page_id % 2 = 0 THEN url END AS even_url, md5(html) AS html FROM pages"""
+    sql["limited_rows"] = """
+      SELECT '77' AS "limit", least(77, count(*)) AS rows, least(77, count(*)) AS ids FROM documents
+      UNION ALL SELECT 'all', count(*), count(*) FROM documents"""
+    sql["row_keys"] = """
+      SELECT string_split(coalesce("text", ''), ' ')[1] AS article, coalesce(lang, '') AS highlights, count(*) AS rows, count(*) AS ids
+      FROM documents GROUP BY ALL"""
+    sql["written_scores"] = with_(SUMMARIES, R1) + """
+      SELECT id, method, generated_summary, summary_length, round(f1, 6) AS rouge1_f1 FROM made JOIN r1 USING (id, method)"""
+    sql["written_metrics"] = with_(SUMMARIES, R1) + """
+      SELECT method, count(*) AS n_examples, round(avg(r1.f1), 6) AS rouge1, round(avg(summary_length), 6) AS mean_summary_length,
+             round(coalesce(avg(ratio), 0), 6) AS mean_compression_ratio
+      FROM made JOIN r1 USING (id, method) GROUP BY method"""
+    sql["timed_scores"] = with_(SUMMARIES) + """
+      SELECT method, count(*) AS rows, count(*) AS timed, CAST(0 AS BIGINT) AS too_long FROM made GROUP BY method"""
+    sql["failed_checks"] = """
+      SELECT * FROM (VALUES ('fine', 'passed'), ('no column', 'columns'), ('no rows', 'rows'), ('no articles', 'articles'),
+        ('no summaries', 'summaries'), ('both', 'articles'), ('swapped', 'order'), ('swapped and blank', 'summaries')) v("table", stopped_by)"""
+
     # corpora and pages
     sql["harmonised_union"] = """
       SELECT CAST(doc_id AS VARCHAR) AS id, 'documents' AS source, md5(text) AS article, lang AS highlights, 'test' AS split

@@ -8,6 +8,7 @@ first sentence is held out as the reference, the rest is the article; and from
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,9 @@ from pithy.functions import text
 from pithy.functions.arrays import compute_once
 from pithy.operators import dedup, pages, quality, reports, split, summarize, tfidf
 from pithy.operators import evaluate as ev
-from pithy.session import checkpoint_root, spread
-from pithy.sources.harmonise import CorpusSpec, harmonise, union_corpora
+from pithy.session import checkpoint_root, spread, written
+from pithy.sources import readers, sinks
+from pithy.sources.harmonise import CorpusSpec, harmonise, read_with_row_keys, union_corpora
 from pithy.streaming.digest import digest_pages, start_page_digest
 
 EXACT = {"stem": False}  # what SQL can check; the default scoring stems
@@ -352,6 +354,101 @@ def compression_by_method(spark, sf):
     return rounded(df, "mean_compression_ratio", "mean_summary_length")
 
 
+# --- sources, sinks and checks ---
+
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_root(spark)}/{name}_{uuid.uuid4().hex}"
+
+
+def csv_records(spark, sf):
+    """Documents as CSV, line breaks and quotes in their texts, read back in many tasks."""
+    path = _folder(spark, "csv_records")
+    docs = table(spark, sf, "documents")
+    sinks.write_rows(docs.select(F.col("doc_id").alias("id"), "source", F.col("text").alias("article"), F.col("lang").alias("highlights")), path, "csv")
+    back = readers.read_pairs(spark, path, "csv")
+    return back.select("id", "source", F.md5("article").alias("article"), "highlights")
+
+
+def tsv_records(spark, sf):
+    """Conversations as tab-separated text, tabs put into theirs."""
+    path = _folder(spark, "tsv_records")
+    turns = table(spark, sf, "conversations").withColumn("text", F.concat("text", F.lit('\t"\n'), "role"))
+    turns.write.options(header=True, sep="\t", quote='"', escape='"').csv(path)
+    return readers.read_pairs(spark, path, "tsv").select("conv_id", "turn", "role", F.md5("text").alias("text"))
+
+
+def jsonl_records(spark, sf):
+    """Pages as JSON lines, one key of them only where the id is even."""
+    path = _folder(spark, "jsonl_records")
+    even = F.when(F.col("page_id") % 2 == 0, F.col("url"))
+    table(spark, sf, "pages").select("page_id", even.alias("even_url"), "html").write.json(path)
+    return readers.read_pairs(spark, path, "jsonl").select("page_id", "even_url", F.md5("html").alias("html"))
+
+
+def limited_rows(spark, sf):
+    """How many rows a limit leaves, and how many of them are rows of the table."""
+    docs = table(spark, sf, "documents").select("doc_id")
+    few, many = (readers.limit_rows(docs, n).join(docs, "doc_id", "left_semi") for n in (77, 10**9))
+    count = lambda df, name: df.agg(F.count("*").alias("rows"), F.countDistinct("doc_id").alias("ids")).select(F.lit(name).alias("limit"), "*")
+    return count(few, "77").unionByName(count(many, "all"))
+
+
+def row_keys(spark, sf):
+    """Documents without their id, the text cut to one word: identical rows still have ids of their own."""
+    docs = read_with_row_keys(spark, f"{sf}/documents.parquet").select("row_key", F.substring_index("text", " ", 1).alias("text"), "lang")
+    keyed = harmonise(docs, CorpusSpec("documents", "text", "lang"))
+    return keyed.groupBy("article", "highlights").agg(F.count("*").alias("rows"), F.countDistinct("id").alias("ids"))
+
+
+def written_scores(spark, sf):
+    """Scored rows through their sink and back, as CSV."""
+    path = _folder(spark, "written_scores")
+    sinks.write_rows(scores(spark, sf), path, "csv")
+    return rounded(sinks.read_rows(spark, path, "csv").select(
+        F.col("id").cast("long").alias("id"), "method", "generated_summary", "summary_length", "rouge1_f1"), "rouge1_f1")
+
+
+def written_metrics(spark, sf):
+    """Metrics through their sink and back."""
+    path = _folder(spark, "written_metrics")
+    sinks.write_metrics(ev.method_summary(scores(spark, sf), ("rouge1",)), path)
+    df = sinks.read_metrics(spark, path).drop("mean_inference_seconds")
+    return rounded(df, "rouge1", "mean_summary_length", "mean_compression_ratio")
+
+
+def timed_scores(spark, sf):
+    """How many rows the scoring run timed, none at zero, and whether it took hours for one."""
+    timed = ev.score_methods(pairs(spark, sf), variants=("rouge1",), timed=True, **EXACT)
+    return timed.groupBy("method").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("elapsed_seconds") > 0).alias("timed"),
+        F.count_if(F.col("elapsed_seconds") > 3600).alias("too_long"),
+    )
+
+
+def failed_checks(spark, sf):
+    """Which check stops a table first: columns, no rows, articles, summaries, swapped columns - in this order."""
+    raw = written(pairs(spark, sf), "fine-pairs")
+    blank = lambda df, c: df.withColumn(c, F.when(F.col("id") % 3 == 0, F.lit(" ")).otherwise(F.col(c)))
+    swapped = raw.select("id", "source", F.col("highlights").alias("article"), F.col("article").alias("highlights"))
+    cases = {
+        "fine": raw, "no column": raw.drop("highlights"), "no rows": raw.where("false"), "no articles": blank(raw, "article"),
+        "no summaries": blank(raw, "highlights"), "both": blank(blank(raw, "highlights"), "article"), "swapped": swapped,
+        "swapped and blank": blank(swapped, "highlights"),
+    }
+    signs = {"No column": "columns", "no rows": "rows", "article column": "articles", "summary column": "summaries", "swapped": "order"}
+    found = []
+    for name, df in cases.items():
+        status = "passed"
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore", UserWarning)
+                quality.validate(df)
+        except quality.DataValidationError as error:
+            status = next(s for sign, s in signs.items() if sign in str(error))
+        found.append((name, status))
+    return spark.createDataFrame(found, "table string, stopped_by string")
+
+
 # --- corpora and pages ---
 
 def harmonised_union(spark, sf):
@@ -425,6 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         length_describe, score_distribution, method_paired, best_worst, length_histogram,
         rouge_pivot, rouge_matrix, score_curve, quality_by_source, quality_by_label,
         compression_by_method,
+        csv_records, tsv_records, jsonl_records, limited_rows, row_keys, written_scores, written_metrics, timed_scores, failed_checks,
         harmonised_union, page_articles, nested_articles, old_entities, page_domain, page_pairs_scored, page_digest, stream_digest,
     )
 } | {

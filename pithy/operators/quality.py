@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pithy.functions import text
 from pithy.functions.arrays import compute_once
+from pithy.session import written
 
 
 class DataValidationError(ValueError):
@@ -87,21 +88,15 @@ def pair_digest(*columns: Column) -> Column:
     return F.unhex(F.sha2(F.concat(*framed), 256))
 
 
-def _copies(df: DataFrame, cols: Columns) -> DataFrame:
-    """One row per distinct (article, summary), with its number of copies.
+def _copies(df: DataFrame, cols: Columns, *also: Column) -> DataFrame:
+    """One row per distinct (article, summary) and what else is named, with its number of copies.
 
     The text is reduced to a digest before the shuffle and counted on the map
     side, so a pair that fills a third of the table costs one row per task.
     """
-    return (
-        add_checks(df, cols)
-        .select(
-            pair_digest(F.col(cols.article).cast("string"), F.col(cols.summary).cast("string")).alias("d"),
-            "article_words", "summary_words", "reject_reason",
-        )
-        .groupBy("d", "article_words", "summary_words", "reject_reason")
-        .agg(F.count("*").alias("n"))
-    )
+    digest = pair_digest(F.col(cols.article).cast("string"), F.col(cols.summary).cast("string"))
+    keyed = add_checks(df, cols).select(digest.alias("d"), "article_words", "summary_words", "reject_reason", *also)
+    return keyed.groupBy(*keyed.columns).agg(F.count("*").alias("n"))
 
 
 def _lengths(words: str) -> Column:
@@ -119,16 +114,17 @@ def profile(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """One row: rows, columns, sources, word counts, duplicates, rejected rows by reason.
 
     `sources` is the number of distinct sources; `distinct_sources` lists them.
-    The texts are read once: copies are counted per digest, then digests per word
-    counts, and everything but the sources follows from that small table.
+    The texts are read once: copies are counted per digest and source and written; digests per word
+    counts and the sources follow from that small table.
     """
     check_columns(df, cols)
-    n_sources = F.lit(0).cast("long")
-    if cols.source and cols.source in df.columns:
-        named = df.select(cols.source).where(F.col(cols.source).isNotNull()).distinct()
-        n_sources = named.agg(F.count("*")).scalar()
+    named = cols.source and cols.source in df.columns
+    source = F.col(cols.source).cast("string") if named else F.lit(None).cast("string")
+    copies = written(_copies(df, cols, source.alias("_source")), "copies")
+    n_sources = copies.select("_source").where("_source is not null").distinct().agg(F.count("*")).scalar()
     reason = F.col("reject_reason")
-    lengths = _copies(df, cols).groupBy("article_words", "summary_words", "reject_reason").agg(
+    checked = ["article_words", "summary_words", "reject_reason"]
+    lengths = copies.groupBy("d", *checked).agg(F.sum("n").alias("n")).groupBy(*checked).agg(
         F.sum("n").alias("n"), F.count("*").alias("pairs")
     )
     columns = [c for c in df.columns if c not in ("article_words", "summary_words", "reject_reason", CORRUPT)]

@@ -15,11 +15,14 @@ def split_hash(df: DataFrame, id_col: str, seed: int) -> Column:
     """Uniform, engine-independent order of the rows: md5 of id and seed.
 
     A row without an id goes by a digest of its other columns, so that equal rows
-    stay together and the others spread.
+    stay together and the others spread. Whether there are such rows is looked up first,
+    in the id column alone, so that otherwise no other column is read.
     """
-    content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in (id_col, "split")])), 256) \
-        if set(df.columns) - {id_col, "split"} else F.lit("")
-    key = F.when(F.col(id_col).isNull(), F.concat(F.lit("\x00"), content)).otherwise(F.col(id_col).cast("string"))
+    key = F.col(id_col).cast("string")
+    others = [F.col(c) for c in df.columns if c not in (id_col, "split")]
+    if df.schema[id_col].nullable and not df.select(id_col).where(F.col(id_col).isNull()).isEmpty():
+        content = F.sha2(F.to_json(F.struct(*others)), 256) if others else F.lit("")
+        key = F.when(F.col(id_col).isNull(), F.concat(F.lit("\x00"), content)).otherwise(key)
     return F.md5(F.concat_ws(":", key, F.lit(str(seed))))
 
 

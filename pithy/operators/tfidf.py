@@ -21,14 +21,17 @@ def sentence_weights(
     df: DataFrame, id_col: str = "id", sentences_col: str = "sentences",
     stop_words: Sequence[str] = ENGLISH,
 ) -> DataFrame:
-    """L2-normalised TF-IDF: (id, si, token, tf, df, n_sentences, weight)."""
-    repeated = df.groupBy(id_col).count().where((F.col("count") > 1) | F.col(id_col).isNull()).limit(1).collect()
-    if repeated:
-        raise ValueError(f"Not a unique id: {repeated[0][0]}")
-    key = F.col(id_col)
+    """L2-normalised TF-IDF: (id, si, token, tf, df, n_sentences, weight).
+
+    The run fails at the second row of an id and at a null one, in the same pass.
+    """
+    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(id_col))
+    refused = F.raise_error(F.concat(F.lit("Not a unique id: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     words = (
-        df.select(key, F.col(sentences_col).alias("_s"))
+        df.select(id_col, F.col(sentences_col).alias("_all"))
         .repartition(id_col)
+        .withColumn("_nth", nth)
+        .withColumn("_s", F.when((F.col("_nth") > 1) | F.col(id_col).isNull(), refused.cast("array<string>")).otherwise(F.col("_all")))
         .select(id_col, F.size("_s").alias("n_sentences"), F.posexplode("_s").alias("si", "_sent"))
         .select(
             id_col, "n_sentences", "si",

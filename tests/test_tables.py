@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pithy.operators import dedup, quality, reports, split
+from pithy.operators import dedup, quality, reports, split, tfidf
 from pithy.operators import evaluate as ev
 
 
@@ -231,3 +231,45 @@ def test_describe_and_skew(spark, corpus):
     assert got["article_words"]["median"] == statistics.median(words) and got["sentence_count"]["min"] == 3
     skew = {r["split"]: r["rows"] for r in reports.split_skew(split.random_split(corpus)).collect()}
     assert skew == {"test": 2, "train": 6}
+
+
+# --- plans ---
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def wide_documents(spark, tmp_path, corpus):
+    corpus.write.parquet(str(tmp_path / "documents"))
+    return spark.read.parquet(str(tmp_path / "documents"))
+
+
+def test_a_split_reads_ids_alone(spark, wide_documents):
+    cleaned = quality.prepare(wide_documents)
+    plan = plan_of(split.random_split(cleaned).select("id", "split"))
+    assert "ArrowEval" not in plan and "article" not in plan and "highlights" not in plan
+    assert "sha2" not in plan_of(split.cap_rows(cleaned, 3))
+    nulls = wide_documents.withColumn("id", F.when(F.col("id") > 4, F.col("id")))
+    assert "sha2" in plan_of(split.random_split(nulls))
+
+
+def test_weights_start_no_job_and_refuse_shared_ids(spark):
+    df = spark.createDataFrame([(1, ["Some words here."]), (2, ["Other words."])], "id long, sentences array<string>")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("weights", "plan only")
+    try:
+        weights = tfidf.sentence_weights(df)
+        assert list(tracker.getJobIdsForGroup("weights")) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert weights.count() == 2
+    for extra in (1, None):
+        with pytest.raises(Exception, match="Not a unique id"):
+            tfidf.sentence_weights(df.unionByName(df.limit(1).withColumn("id", F.lit(extra).cast("long")))).count()
+
+
+def test_a_profile_reads_the_texts_once(spark, wide_documents):
+    report = quality.profile(wide_documents)
+    plan = plan_of(report)
+    assert "documents" not in plan.replace("Location: InMemoryFileIndex", "") and report.first()["sources"] == 2
