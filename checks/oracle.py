@@ -481,6 +481,14 @@ def build() -> dict[str, str]:
       SELECT * FROM (VALUES ('fine', 'passed'), ('no column', 'columns'), ('no rows', 'rows'), ('no articles', 'articles'),
         ('no summaries', 'summaries'), ('both', 'articles'), ('swapped', 'order'), ('swapped and blank', 'summaries')) v("table", stopped_by)"""
 
+    sql["run_all_tables"] = with_(PAIRS, random_split("pairs")) + """
+      SELECT 'prepared test' AS result, count(*) AS rows FROM parted WHERE part = 'test'
+      UNION ALL SELECT 'prepared train', count(*) FROM parted WHERE part = 'train'
+      UNION ALL SELECT 'rejected', (SELECT count(*) FROM documents) - count(*) FROM parted
+      UNION ALL SELECT 'scores', 2 * count(*) FROM parted WHERE part = 'test'
+      UNION ALL SELECT 'metrics', 2 UNION ALL SELECT 'summary', 2
+      UNION ALL SELECT 'sources', count(DISTINCT source) FROM parted"""
+
     # corpora and pages
     sql["harmonised_union"] = """
       SELECT CAST(doc_id AS VARCHAR) AS id, 'documents' AS source, md5(text) AS article, lang AS highlights, 'test' AS split

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 import warnings
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pithy.functions import text
 from pithy.functions.arrays import compute_once
 from pithy.operators import dedup, pages, quality, reports, split, summarize, tfidf
 from pithy.operators import evaluate as ev
+from pithy.plans.run_all import run_all
 from pithy.session import checkpoint_root, spread, written
 from pithy.sources import readers, sinks
 from pithy.sources.harmonise import CorpusSpec, harmonise, read_with_row_keys, union_corpora
@@ -449,6 +451,23 @@ def failed_checks(spark, sf):
     return spark.createDataFrame(found, "table string, stopped_by string")
 
 
+def run_all_tables(spark, sf):
+    """Rows of the tables that the whole job leaves in its folder."""
+    folder = _folder(spark, "run_all")
+    raw_pairs(spark, sf).write.parquet(f"{folder}/in")
+    run_all(spark, f"{folder}/in", f"{folder}/out", variants=("rouge1",), fmt="parquet", on_bad_rows="quarantine")
+    run = sinks.current_run(spark, f"{folder}/out")
+    count = lambda df, name: df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("result"), "rows")
+    prepared = spark.read.parquet(f"{run}/prepared")
+    tables = {
+        "prepared test": prepared.where("split = 'test'"), "prepared train": prepared.where("split = 'train'"),
+        "rejected": spark.read.parquet(f"{run}/rejected"), "scores": sinks.read_rows(spark, f"{run}/qualitative_review"),
+        "metrics": sinks.read_metrics(spark, f"{run}/rouge_metrics"), "summary": spark.read.csv(f"{run}/method_summary", header=True),
+        "sources": spark.read.json(f"{run}/reports/sources"),
+    }
+    return reduce(DataFrame.unionByName, [count(df, name) for name, df in tables.items()])
+
+
 # --- corpora and pages ---
 
 def harmonised_union(spark, sf):
@@ -522,7 +541,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         length_describe, score_distribution, method_paired, best_worst, length_histogram,
         rouge_pivot, rouge_matrix, score_curve, quality_by_source, quality_by_label,
         compression_by_method,
-        csv_records, tsv_records, jsonl_records, limited_rows, row_keys, written_scores, written_metrics, timed_scores, failed_checks,
+        csv_records, tsv_records, jsonl_records, limited_rows, row_keys, written_scores, written_metrics, timed_scores, failed_checks, run_all_tables,
         harmonised_union, page_articles, nested_articles, old_entities, page_domain, page_pairs_scored, page_digest, stream_digest,
     )
 } | {

@@ -19,7 +19,7 @@ from pithy.operators.split import cap_rows, split_dataset
 from pithy.operators.summarize import Method, choose_methods
 from pithy.session import written
 from pithy.sources.readers import read_pairs
-from pithy.sources.sinks import read_rows, write_metrics, write_rows, write_summary
+from pithy.sources.sinks import commit_run, new_run, read_rows, write_metrics, write_rows, write_summary
 
 
 def run_all(
@@ -29,6 +29,9 @@ def run_all(
 ) -> dict[str, str]:
     """Write every result of a corpus under `out_dir`; return the paths by name.
 
+    The tables go to a folder of this run, which becomes the current one when all of them are there
+    (`sinks.current_run` finds it); a run that fails or is killed leaves the earlier results as they are.
+
     `on_bad_rows` is 'raise' (stop at the first failed check) or 'quarantine'
     (set bad rows aside and go on). All test rows are scored unless the caller names
     `max_examples`. The seconds of every summary are those of the scoring run itself.
@@ -38,7 +41,8 @@ def run_all(
     if not cols.id or cols.id not in raw.columns:
         cols = Q.Columns(cols.article, cols.summary, "id", cols.source)
         raw = raw.withColumn("id", F.md5(F.concat_ws("\x01", cols.article, cols.summary)))
-    paths = {name: f"{out_dir}/{name}" for name in (
+    run = new_run(out_dir)
+    paths = {name: f"{run}/{name}" for name in (
         "profile", "rejected", "prepared", "qualitative_review", "method_summary", "rouge_metrics",
     )}
 
@@ -66,10 +70,11 @@ def run_all(
     write_metrics(summary, paths["rouge_metrics"])
     names = [m.name for m in choose_methods(methods)]
     for name, table in report_tables(prepared, scores, summary, variants, cols, names).items():
-        paths[name] = f"{out_dir}/reports/{name}"
+        paths[name] = f"{run}/reports/{name}"
         # Tables by source grow with the sources; the others have a fixed bound.
         table = table if name in ("quality", "sources") else table.coalesce(1)
         table.write.mode("overwrite").json(paths[name])
+    commit_run(spark, run)
     return paths
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +55,35 @@ def read_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return df.withColumns(
         {c: F.col(c).cast("double") for c in number} | {c: F.col(c).cast("int") for c in whole}
     )
+
+
+COMMIT = "committed_at long, run string"
+
+
+def new_run(out_dir: str) -> str:
+    """A folder of its own for a run's tables; nobody reads it before `commit_run`."""
+    return f"{out_dir.rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
+def commit_run(spark: SparkSession, run: str) -> None:
+    """Make a run's tables the current ones of their folder, all at once.
+
+    One small file names the run; Spark's own commit makes it appear whole or not at
+    all. A run that ends before leaves the tables of the one before current.
+    """
+    out_dir, name = run.rsplit("/", 1)
+    row = spark.createDataFrame([(time.time_ns(), name)], COMMIT)
+    row.coalesce(1).write.json(f"{out_dir}/commits/{name}")
+
+
+def current_run(spark: SparkSession, out_dir: str) -> str | None:
+    """The folder of the last committed run; None if there is none."""
+    out_dir = out_dir.rstrip("/")
+    try:
+        commits = spark.read.schema(COMMIT).json(f"{out_dir}/commits/*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = commits.agg(F.max_by("run", "committed_at")).first()[0]
+    return last and f"{out_dir}/{last}"

@@ -199,6 +199,29 @@ def test_run_all(spark, tmp_path, corpus):
     assert {r["split"]: r["count"] for r in prepared.groupBy("split").count().collect()} == {"test": 2, "train": 6}
 
 
+def test_a_killed_run_leaves_the_results_before_it(spark, tmp_path, corpus, monkeypatch):
+    from pithy.plans import run_all as job
+    corpus.write.parquet(str(tmp_path / "in.parquet"))
+    out = str(tmp_path / "out")
+    assert sinks.current_run(spark, out) is None
+    options = {"methods": ["lead_3"], "variants": ("rouge1",)}
+    first = run_all(spark, str(tmp_path / "in.parquet"), out, **options)
+    assert first["method_summary"].startswith(sinks.current_run(spark, out))
+    before = sorted(sinks.read_rows(spark, first["qualitative_review"]).collect())
+
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        broken.setattr(job, "write_metrics", killed)
+        with pytest.raises(KeyboardInterrupt):
+            run_all(spark, str(tmp_path / "in.parquet"), out, n=1, **options)
+    now = sinks.current_run(spark, out)
+    assert first["method_summary"].startswith(now) and sorted(sinks.read_rows(spark, f"{now}/qualitative_review").collect()) == before
+    again = run_all(spark, str(tmp_path / "in.parquet"), out, n=1, **options)
+    assert again["method_summary"].startswith(sinks.current_run(spark, out)) and again != first
+
+
 def test_run_all_quarantines_or_raises(spark, tmp_path, corpus):
     bad = corpus.union(spark.createDataFrame([(99, "wire", " ", "x")], corpus.schema)).drop("id")
     bad.write.json(str(tmp_path / "in.jsonl"))
