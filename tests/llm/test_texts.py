@@ -263,6 +263,41 @@ def test_texts_shorter_than_the_item(spark):
     assert got == want and len(want) >= 9 and any(value[0] == pytest.approx(45 / 55) or value[2] < 55 for value in want.values())
 
 
+# --- language filters ---
+
+def test_filters_of_over_64_languages_equal_sets(spark):
+    """Every learned n-gram is a member, others only by chance, and the share is corrected by that chance."""
+    random.seed(21)
+    alphabet = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    names = [f"l{i:02d}" for i in range(70)]
+    letters = {n: random.sample(alphabet, 7) for n in names}
+    text = lambda n, k: " ".join("".join(random.choices(letters[n], k=random.randint(3, 8))) for _ in range(k))
+    rows = [(i, text(n, 150), n) for i, n in enumerate(names * 2)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), size=1 << 16, probes=3)
+    assert model.languages == names and model.table.shape == (1 << 16, 2)
+
+    learned = {n: set() for n in names}
+    for _, t, n in rows:
+        learned[n].update(int(h) for part in langid.grams(t) for h in part)
+
+    def member(h, i):
+        at = [int(a[0]) for a in langid.slots(np.array([h], np.uint64), 3, 1 << 16)]
+        return all(int(model.table[x, i // 64]) >> (i % 64) & 1 for x in at)
+
+    for i in (0, 3, 63, 64, 69):
+        assert all(member(h, i) for h in list(learned[names[i]])[:300])
+        strange = np.random.default_rng(i).integers(0, 1 << 63, 4000, np.uint64)
+        share = np.mean([member(int(h), i) for h in strange])
+        assert abs(share - model.false_share[i]) < 0.02
+    for n in names[::9]:
+        sample = text(n, 60)
+        hashes = [int(h) for part in langid.grams(sample) for h in part]
+        hits = np.array([sum(member(h, i) for h in hashes) for i in range(70)]) / len(hashes)
+        want = np.clip((hits - model.false_share) / (1 - model.false_share), 0, 1)
+        assert model.predict(sample) == (names[int(want.argmax())], pytest.approx(want.max())) and names[int(want.argmax())] == n
+    assert model.predict("12 !?") == model.predict(None) == ("und", 0.0)
+
+
 # --- chats ---
 
 def test_chats_come_back(spark):
