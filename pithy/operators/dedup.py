@@ -17,8 +17,9 @@ def deduplicate(df: DataFrame, article_col: str = "article", id_col: str = "id")
     so that Spark knows whether it can be broadcast and the texts stay in place.
     """
     key = F.lower(text.strip(F.coalesce(F.col(article_col), F.lit(""))))
-    rows = df.where(key != "").withColumn("_digest", F.unhex(F.sha2(key, 256)))
-    slim = rows.select("_digest", F.col(id_col).alias("_id")).groupBy("_digest", "_id").agg(F.count("*").alias("_n"))
+    digest = F.unhex(F.sha2(key, 256))
+    rows = df.where(key != "")
+    slim = rows.select(digest.alias("_digest"), F.col(id_col).alias("_id")).groupBy("_digest", "_id").agg(F.count("*").alias("_n"))
     repeated = slim.groupBy("_digest").agg(
         F.sum("_n").alias("_all"), F.min("_id").alias("_least"), F.bool_or(F.col("_id").isNull()).alias("_null")
     ).where("_all > 1")
@@ -27,8 +28,12 @@ def deduplicate(df: DataFrame, article_col: str = "article", id_col: str = "id")
     marked = written(slim.join(repeated, "_digest").withColumn("_first", lowest).where("not _first or _n > 1").select(
         F.col("_digest").alias("_d"), "_id", "_first"
     ), "repeated-articles")
-    same = (F.col("_digest") == F.col("_d")) & F.col(id_col).eqNullSafe(F.col("_id"))
-    once = rows.join(marked, same, "left_anti")
+    # Joined by id; as a range, the digest is no key and is taken only of the rows whose id is marked.
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (digest >= F.col("_d")) & (digest <= F.col("_d"))
+    once = rows.join(marked, same, "left_anti").select(*df.columns)
+    shared = marked.where("_first")
+    if shared.isEmpty():
+        return once
     order = Window.partitionBy("_digest").orderBy(F.col(id_col), *[F.col(c) for c in df.columns if c != id_col])
-    again = rows.join(marked.where("_first"), same, "left_semi").withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
-    return once.unionByName(again.drop("_rank")).select(*df.columns)
+    again = rows.withColumn("_digest", digest).join(shared, same, "left_semi").withColumn("_rank", F.row_number().over(order))
+    return once.unionByName(again.where("_rank = 1").select(*df.columns))
