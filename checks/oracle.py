@@ -393,6 +393,9 @@ def build() -> dict[str, str]:
     sql["model_hook_stub"] = with_(DOCS) + """
       SELECT id, 'longest' AS method, list_reduce(string_split(article, '. '),
              lambda a, b: CASE WHEN length(b) > length(a) THEN b ELSE a END) AS summary FROM docs"""
+    sql["model_token_budget"] = with_(DOCS) + """
+      SELECT id, 'stub' AS method, CASE WHEN article = '' THEN ''
+             ELSE least(40, len(string_split(article, ' '))) || ' ' || array_to_string(string_split(article, ' ')[1:11], ' ') END AS summary FROM docs"""
     sql["rounded_report"] = with_(SUMMARIES, R1, R2, SUMMARY) + """
       SELECT method, n_examples, round(rouge1, 4) AS rouge1, round(mean_summary_length, 2) AS mean_summary_length,
              round(mean_compression_ratio, 4) AS mean_compression_ratio FROM summary"""

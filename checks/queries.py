@@ -246,6 +246,22 @@ def model_hook_stub(spark, sf):
     return summarize.summarize(documents(spark, sf), method).select("id", "method", "summary")
 
 
+def model_token_budget(spark, sf):
+    """A stub model that repeats its input and counts its words, under budgets of 40 and 12 tokens."""
+    def words():
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        tokenizer = Tokenizer(models.WordLevel({"[UNK]": 0}, unk_token="[UNK]"))
+        tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        return tokenizer
+
+    def predict(model, articles):
+        return [f"{len(a.split())} {a}" for a in articles]
+
+    method = summarize.model_method("stub", lambda: None, predict, tokenizer=words, max_input_tokens=40, max_summary_tokens=12)
+    return summarize.summarize(documents(spark, sf), method).select("id", "method", "summary")
+
+
 # --- scores ---
 
 def _rouge(variant: str, stem: bool = False) -> Callable[[SparkSession, str], DataFrame]:
@@ -536,7 +552,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         snapshot_counts, distinct_sources, prepared_pairs, dedup_first,
         hash_split, bucket_split, explicit_split, split_fallback, split_skew, capped_rows,
         lead_n, tfidf_weights, sentence_strength, lead_similarity, pagerank_scores,
-        textrank_summary, all_methods, model_hook_stub,
+        textrank_summary, all_methods, model_hook_stub, model_token_budget,
         qualitative_rows, method_summary, blank_rows_summary, rounded_report, method_summary_stemmed, precision_recall,
         length_describe, score_distribution, method_paired, best_worst, length_histogram,
         rouge_pivot, rouge_matrix, score_curve, quality_by_source, quality_by_label,

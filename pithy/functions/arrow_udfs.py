@@ -148,6 +148,14 @@ def _batch_scores(batch: pa.Array, damping: float, tol: float, max_iter: int) ->
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(scores, pa.float64()))
 
 
+def within_tokens(texts: list[str], tokenizer, most: int | None) -> list[str]:
+    """The texts, each cut where its last allowed token ends; `tokenizer` is one of the `tokenizers` package."""
+    if tokenizer is None or most is None:
+        return texts
+    found = tokenizer.encode_batch(texts, add_special_tokens=False)
+    return [t if len(e.ids) <= most else t[: e.offsets[most - 1][1] if most else 0] for t, e in zip(texts, found)]
+
+
 def _rank_batch(sizes, sent, word, n_words, damping, tol, max_iter):
     """Power iteration over many documents at once, one block per document.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pithy.functions import arrow_udfs, text
 from pithy.functions.arrays import compute_once, stopwatch, top_in_order
+from pithy.functions.arrow_udfs import within_tokens
 from pithy.functions.stopwords import ENGLISH
 
 DAMPING, TOLERANCE, MAX_ITERATIONS = 0.85, 1e-4, 200
@@ -79,24 +80,27 @@ def best_sentences(sentences: Column, scores: Column, n: int) -> Column:
 def model_summary(
     article: Column, load: Callable[[], object],
     predict: Callable[[object, list[str]], list[str]], batch_size: int = 16,
+    tokenizer: Callable[[], object] | None = None, max_input_tokens: int | None = None, max_summary_tokens: int | None = None,
 ) -> Column:
     """(summary, seconds) from a model the user brings, loaded once per task.
 
-    `load` returns the model; `predict` maps a list of articles to summaries and
-    owns truncation and length limits. Blank articles are never sent. The seconds
-    are each article's share of its call, loading left out.
+    `load` returns the model; `predict` maps a list of articles to summaries. Blank
+    articles are never sent. `tokenizer` is a function too, called once per task; with it articles and
+    summaries keep within their token budgets, without it `predict` owns them. The
+    seconds are each article's share of its call, cutting included, loading left out.
     """
 
     @F.pandas_udf("summary string, seconds double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = load()
+        model, tokens = load(), tokenizer() if tokenizer else None
         for articles in batches:
             wanted = articles[articles.notna()]
             out = pd.DataFrame({"summary": "", "seconds": 0.0}, index=articles.index)
             for at in range(0, len(wanted), batch_size):
                 part = wanted.iloc[at : at + batch_size]
                 begin = time.perf_counter()
-                made = predict(model, part.tolist())
+                made = predict(model, within_tokens(part.tolist(), tokens, max_input_tokens))
+                made = within_tokens(made, tokens, max_summary_tokens)
                 out.loc[part.index, "seconds"] = (time.perf_counter() - begin) / len(part)
                 out.loc[part.index, "summary"] = pd.Series(made, part.index, dtype=object)
             yield out
@@ -127,15 +131,15 @@ METHODS = {
 }
 
 
-def model_method(name: str, load, predict, batch_size: int = 16) -> Method:
-    """A method backed by a user-supplied model, for use next to the built-in ones."""
+def model_method(name: str, load, predict, batch_size: int = 16, **budget) -> Method:
+    """A method backed by a user-supplied model, for use next to the built-in ones; `budget` as in `model_summary`."""
 
     def timed(df: DataFrame, article: Column, n: int, summary: str, seconds: str) -> DataFrame:
-        df = compute_once(df, {"_model": model_summary(article, load, predict, batch_size)})
+        df = compute_once(df, {"_model": model_summary(article, load, predict, batch_size, **budget)})
         return df.withColumns({summary: F.col("_model.summary"), seconds: F.col("_model.seconds")}).drop("_model")
 
     return Method(
-        name, lambda article, sentences, n: model_summary(article, load, predict, batch_size)["summary"], False, timed
+        name, lambda article, sentences, n: model_summary(article, load, predict, batch_size, **budget)["summary"], False, timed
     )
 
 

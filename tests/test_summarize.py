@@ -114,3 +114,22 @@ def test_default_stop_words_are_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
     known = StopWordsRemover.loadDefaultStopWords("english")
     assert set(S.ENGLISH) == {w for w in known if "'" not in w}
+
+
+def test_token_budgets_cut_at_token_ends(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+
+    def words():
+        tokenizer = tokenizers.Tokenizer(tokenizers.models.WordLevel({"[UNK]": 0}, unk_token="[UNK]"))
+        tokenizer.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
+        return tokenizer
+
+    texts = ["  one  two three ", "é" * 50 + " b c d", "one", "", None, "x " * 200_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, article string")
+    for most, summary in ((2, 5), (3, 1), (0, 4), (None, None)):
+        method = S.model_method("echo", lambda: None, lambda m, a: [f"a b c {x}" for x in a], 2,
+                                        tokenizer=words, max_input_tokens=most, max_summary_tokens=summary)
+        got = {r["id"]: r["summary"].split() for r in S.summarize(df, method).collect()}
+        for i, t in enumerate(texts):
+            whole = (t or "").split()
+            assert got[i] == (["a", "b", "c", *whole[:most]][:summary] if whole else [])
