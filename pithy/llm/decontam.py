@@ -139,10 +139,10 @@ def contaminated(
     all their words. Documents that share id and text give one row; a null id is an
     id of its own. Either table may be empty; other columns are ignored.
 
-    The bulk path scans texts once, without shuffle while the benchmark's shingles
+    The bulk path scans texts twice (for windows, and for texts shorter than an item), without shuffle while the benchmark's shingles
     are small enough to broadcast (Spark checks the written table's size; beyond
     that it joins by shuffle). Windows are made only where enough of their shingles
-    occur in the benchmark, which no match can fail. Texts are read a second time for
+    occur in the benchmark, which no match can fail. Texts are read once more for
     the documents that have such windows.
     """
     text = F.col(text_col).cast("string")
