@@ -87,18 +87,19 @@ def split_hot_groups(df: DataFrame, keys: list[str], salt: Column, size: int) ->
     same = F.lit(True)
     for k in keys:
         same = same & (F.col(k) == F.col(f"_{k}"))
-    own = F.pmod(salt, F.col("_blocks")).cast("int")
-    others = F.when(F.col("_blocks").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.coalesce(F.col("_blocks"), F.lit(1)) - 1)
-    )
-    dealt = (
-        df.join(hot, same, "left")
-        .withColumn("block", F.coalesce(own, F.lit(0)))
-        .withColumn("_other", F.explode(others))
+    dealt = deal_blocks(df.join(hot, same, "left"), salt, "_blocks")
+    return dealt.drop(*[f"_{k}" for k in keys])
+
+
+def deal_blocks(df: DataFrame, salt: Column, blocks: str = "blocks") -> DataFrame:
+    """Adds `block`, `block_a`, `block_b` to rows whose column `blocks` says into how many blocks their group is dealt (null: one)."""
+    many = F.coalesce(F.col(blocks), F.lit(1))
+    return (
+        df.withColumn("block", F.pmod(salt, many).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), many - 1)))
         .withColumn("block_a", F.least("block", "_other"))
         .withColumn("block_b", F.greatest("block", "_other"))
-    )
-    return dealt.drop(*[f"_{k}" for k in keys], "_blocks", "_other")
+    ).drop(blocks, "_other")
 
 
 def join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

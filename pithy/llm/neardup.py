@@ -9,14 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pithy.llm.common import components, join_labels, key_changes, split_hot_groups, whole_groups
+from pithy.llm.common import components, deal_blocks, join_labels, key_changes, whole_groups
 from pithy.session import written
 
 SIMILARITY = 0.98
 TABLES = 4
+HASHES = 3
 BLOCK = 1024
 SEED = 7
-AXES = 1 << 20  # more than twice any width
+MIX = np.uint64(0x9E3779B97F4A7C15)
+LAST = np.iinfo(np.int64).max
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -30,19 +32,19 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x.reshape(rows, width)
 
 
-def probes(vectors: np.ndarray, tables: int = TABLES) -> np.ndarray:
-    """(rows, tables, 2, 2): for each of two hashes of a table, the two signed axes nearest to the rotated vector.
+def probes(vectors: np.ndarray, tables: int = TABLES, hashes: int = HASHES) -> np.ndarray:
+    """(rows, tables, hashes, 2): for each hash of a table, the two signed axes nearest to the rotated vector.
 
     A rotation is three rounds of random signs and a Hadamard transform. A vector is
-    listed in the four buckets that its two best axes per hash form.
+    listed in the buckets that its two best axes per hash form.
     """
     width = max(2, 1 << (vectors.shape[1] - 1).bit_length())
     padded = np.zeros((len(vectors), width))
     padded[:, : vectors.shape[1]] = vectors
     random = np.random.default_rng(SEED)
-    out = np.empty((len(vectors), tables, 2, 2), np.int64)
+    out = np.empty((len(vectors), tables, hashes, 2), np.int64)
     for t in range(tables):
-        for h in range(2):
+        for h in range(hashes):
             x = padded
             for _ in range(3):
                 x = hadamard(x * random.choice([-1.0, 1.0], width))
@@ -52,32 +54,24 @@ def probes(vectors: np.ndarray, tables: int = TABLES) -> np.ndarray:
 
 
 def bucket_keys(codes: np.ndarray) -> np.ndarray:
-    """(rows, tables * 4): the buckets of every table; a bucket names its table and two axes."""
-    first, second = codes[:, :, 0, [0, 0, 1, 1]], codes[:, :, 1, [0, 1, 0, 1]]
-    table = np.arange(codes.shape[1])[None, :, None]
-    return ((table * AXES + first) * AXES + second).reshape(len(codes), -1)
-
-
-def least_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least number that each row of a (n, 2) shares with the same row of b; AXES if none."""
-    least = np.full(len(a), AXES)
-    for i in range(2):
-        for j in range(2):
-            least = np.where(a[:, i] == b[:, j], np.minimum(least, a[:, i]), least)
-    return least
-
-
-def counted_here(a: np.ndarray, b: np.ndarray, key: int) -> np.ndarray:
-    """Whether `key` is the first bucket, by table and then axes, that the rows of a and b share."""
-    table = key // (AXES * AXES)
-    open_ = np.ones(len(a), bool)
-    for t in range(table + 1):
-        first, second = least_common(a[:, t, 0], b[:, t, 0]), least_common(a[:, t, 1], b[:, t, 1])
-        meets = (first < AXES) & (second < AXES)
-        if t == table:
-            return open_ & meets & ((t * AXES + first) * AXES + second == key)
-        open_ &= ~meets
-    return open_
+    """(rows, tables * 2 ** hashes): the buckets of every table, as a hash of the table and one axis per hash."""
+    rows, tables, hashes, _ = codes.shape
+    keys = np.broadcast_to(np.arange(tables, dtype=np.uint64)[None, :, None], (rows, tables, 1))
+    for h in range(hashes):
+        axes = codes[:, :, h].astype(np.uint64)
+        keys = (keys[..., None] * MIX + axes[:, :, None, :] + np.uint64(1)).reshape(rows, tables, -1)
+        keys = keys ^ (keys >> np.uint64(29))
+    return keys.reshape(rows, -1).view(np.int64)
+
+
+def shared_before(a: np.ndarray, b: np.ndarray, group: int) -> np.ndarray:
+    """Whether each row of a shares a number below `group` with the same row of b; both are sorted and padded with LAST."""
+    a = a[:, : int((a < group).sum(axis=1).max(initial=0))]
+    b = b[:, : int((b < group).sum(axis=1).max(initial=0))]
+    shared = np.zeros(len(a), bool)
+    for x in a.T:
+        shared |= (x < group) & (b == x[:, None]).any(axis=1)
+    return shared
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str):
@@ -99,13 +93,22 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if width else np.empty((len(column), 0))
 
 
-def near_links(classes: DataFrame, similarity: float, tables: int, block: int) -> DataFrame:
-    """(a, b, n): b null: class a has links to n vectors of other classes; else an edge between two classes.
+def padded(lists: pa.Array) -> np.ndarray:
+    """A matrix of lists of numbers, filled up with LAST."""
+    lists = lists.combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(int)
+    out = np.full((len(sizes), sizes.max(initial=0)), LAST)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def shared_buckets(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
+    """(cid, groups): the buckets in which a class meets another, as sorted (bucket, size) pairs.
 
-    classes: cid, label, width, vector, many (vectors of the class). Pairs are
-    compared where they share a bucket, in double precision, and counted in the first
-    one they share. A bucket above `block` rows is split into pairs of blocks; its
-    edges are a spanning forest, never all pairs.
+    Only (bucket, cid) pairs travel. Buckets with the same members are one, named by
+    the least: vectors that are near one another share many, and meet there once.
+    Members are told apart by their number, least, greatest and hashed ids: exact for pairs,
+    and for larger buckets but for equal 64-bit hashes.
     """
 
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,19 +116,41 @@ def near_links(classes: DataFrame, similarity: float, tables: int, block: int) -
             widths = batch.column(2).to_numpy()
             for width in np.unique(widths):
                 part = batch.filter(pa.array(widths == width))
-                codes = probes(unit(matrix(pa.chunked_array([part.column(3)]), int(width))), tables)
-                flat, keys = codes.reshape(part.num_rows, -1), bucket_keys(codes)
-                yield pa.RecordBatch.from_arrays([
-                    *part.columns,
-                    pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), flat.shape[1]).cast(pa.list_(pa.int64())),
-                    pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), keys.shape[1]).cast(pa.list_(pa.int64())),
-                ], [*part.schema.names, "codes", "buckets"])
-
-    schema = "cid long, label string, width int, vector array<double>, many long, codes array<long>, buckets array<long>"
-    hashed = classes.select("cid", "label", "width", "vector", "many").mapInArrow(hash_rows, schema)
-    dealt = split_hot_groups(
-        hashed.withColumn("bucket", F.explode("buckets")).drop("buckets"), ["label", "width", "bucket"], F.xxhash64("cid"), block
+                keys = bucket_keys(probes(unit(matrix(pa.chunked_array([part.column(3)]), int(width))), tables, hashes))
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), keys.shape[1]).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], lists], ["cid", "label", "width", "buckets"])
+
+    hashed = classes.select("cid", "label", "width", "vector").mapInArrow(
+        hash_rows, "cid long, label string, width int, buckets array<long>"
+    )
+    rows = written(
+        hashed.select("cid", "label", "width", F.explode(F.array_distinct("buckets")).alias("bucket"))
+        .select(F.xxhash64("label", "width", "bucket").alias("bucket"), "cid"),
+        "vector-buckets",
+    )
+    shared = rows.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("cid").alias("least"), F.max("cid").alias("most"), F.bit_xor(F.xxhash64("cid")).alias("mixed")
+    ).where("size > 1")
+    kept = written(
+        shared.groupBy("size", "least", "most", "mixed").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "bucket-sizes"
     )
+    return rows.join(kept, "bucket").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("bucket", "size"))).alias("groups"))
+
+
+def near_links(classes: DataFrame, similarity: float, tables: int, hashes: int, block: int) -> DataFrame:
+    """(a, b, n): b null: class a has links to n vectors of other classes; else an edge between two classes.
+
+    classes: cid, label, width, vector, many (vectors of the class). A vector is sent to
+    the buckets it shares, and to none if it is alone in all. Pairs are compared
+    there in double precision, and counted in the first bucket they share. A
+    bucket above `block` rows is split into pairs of blocks; its edges are a
+    spanning forest, never all pairs.
+    """
+    found = shared_buckets(classes, tables, hashes)
+    members = classes.select("cid", "label", "width", "vector", "many").join(found, "cid").select(
+        "cid", "label", "width", "vector", "many", F.col("groups.bucket").alias("groups"), F.explode("groups").alias("at")
+    ).select("*", F.col("at.bucket").alias("bucket"), F.ceil(F.col("at.size") / block).cast("int").alias("blocks")).drop("at")
+    dealt = deal_blocks(members, F.xxhash64("cid"))
     keys = ["label", "width", "bucket", "block_a", "block_b"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,20 +162,19 @@ def near_links(classes: DataFrame, similarity: float, tables: int, block: int) -
                     continue
                 group = table.slice(start, end - start)
                 width, bucket = group.column("width")[0].as_py(), group.column("bucket")[0].as_py()
-                split = group.column("block_a")[0].as_py() != group.column("block_b")[0].as_py()
                 x = unit(matrix(group.column("vector"), width))
                 close = np.triu(x @ x.T >= similarity, 1)
-                if split:
+                if group.column("block_a")[0].as_py() != group.column("block_b")[0].as_py():
                     own = group.column("block").to_numpy()
                     close &= own[:, None] != own[None, :]
                 i, j = np.nonzero(close)
-                codes = matrix(group.column("codes"), tables * 4).reshape(-1, tables, 2, 2)
-                here = np.concatenate([
-                    counted_here(codes[i[k: k + 65536]], codes[j[k: k + 65536]], bucket) for k in range(0, len(i), 65536)
-                ]) if len(i) else np.empty(0, bool)
-                i, j = i[here], j[here]
                 if not len(i):
                     continue
+                groups = padded(group.column("groups"))
+                here = ~np.concatenate([
+                    shared_before(groups[i[k: k + 65536]], groups[j[k: k + 65536]], bucket) for k in range(0, len(i), 65536)
+                ])
+                i, j = i[here], j[here]
                 cid, many = group.column("cid").to_numpy(), group.column("many").to_numpy()
                 links = np.bincount(i, weights=many[j], minlength=len(cid)) + np.bincount(j, weights=many[i], minlength=len(cid))
                 label = join_labels(np.arange(len(cid)), i, j)
@@ -161,13 +185,13 @@ def near_links(classes: DataFrame, similarity: float, tables: int, block: int) -
                 a, b, n = (np.concatenate(c) for c in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=b < 0), pa.array(n)], ["a", "b", "n"])
 
-    columns = [*keys, "block", "cid", "many", "vector", "codes"]
+    columns = [*keys, "block", "cid", "many", "vector", "groups"]
     return dealt.repartition(*keys).sortWithinPartitions(*keys).select(*columns).mapInArrow(compare, "a long, b long, n long")
 
 
 def embedding_components(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-    similarity: float = SIMILARITY, tables: int = TABLES, block: int = BLOCK,
+    similarity: float = SIMILARITY, tables: int = TABLES, hashes: int = HASHES, block: int = BLOCK,
 ) -> DataFrame:
     """(id_col, n_links, component_id, kept) for every row of `vectors`.
 
@@ -180,7 +204,7 @@ def embedding_components(
 
     Equal vectors of a label are one class, hashed and compared once, whatever its
     size. All links reported are checked; a link is missed only if its vectors share
-    no bucket in any table (at cosine 0.98 and 64 dimensions under 1 in 100,000).
+    no bucket in any table (at cosine 0.98 and 64 dimensions none of 20,000 in the measure).
     """
     ok = usable(vectors, id_col, vector_col, label_col)
     rows = vectors.select(
@@ -192,7 +216,7 @@ def embedding_components(
         .withColumn("cid", F.monotonically_increasing_id()).withColumn("width", F.size("vector")),
         "vector-classes",
     )
-    found = written(near_links(classes, similarity, tables, block), "vector-links")
+    found = written(near_links(classes, similarity, tables, hashes, block), "vector-links")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     roots = components(found.where("b is not null"))
     of = classes.select("cid", "label", "vector", "least", "many").join(roots, F.col("cid") == F.col("node"), "left")

@@ -132,6 +132,42 @@ def test_embedding_components(spark):
     assert got == sorted(want, key=str)
 
 
+def test_embedding_groups_above_the_block_at_full_width(spark):
+    """One hot cluster of near copies over several blocks, small clusters and lone vectors in 64 dimensions."""
+    rng = np.random.default_rng(5)
+    hot = rng.normal(size=64) + rng.normal(size=(300, 64)) * 0.1
+    small = (rng.normal(size=(60, 1, 64)) + rng.normal(size=(60, 5, 64)) * 0.13).reshape(-1, 64)
+    x = np.r_[hot, small, rng.normal(size=(400, 64))].astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.embedding_components(df, block=64).collect()}
+    u = x.astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    close = u @ u.T >= 0.98
+    np.fill_diagonal(close, False)
+    label = neardup.join_labels(np.arange(len(x)), *np.nonzero(close))
+    assert got == {i: (int(close[i].sum()), int(label[i])) for i in range(len(x))}
+    assert 100 < close[:300].sum(axis=1).mean() and 0 < (close[300:660].sum(axis=1) > 0).mean()
+
+
+def test_pairs_count_in_the_first_bucket_they_share():
+    last = neardup.LAST
+    a = np.array([[-5, 2, 9], [2, 7, last], [3, last, last], [last] * 3])
+    b = np.array([[-4, 2, 9], [-5, 7, 9], [3, 8, last], [last] * 3])
+    assert neardup.shared_before(a, b, 9).tolist() == [True, True, True, False]
+    assert neardup.shared_before(a, b, 7).tolist() == [True, False, True, False]
+    assert neardup.shared_before(a, b, 2).tolist() == [False] * 4
+
+
+def test_buckets_with_equal_members_are_one(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=64)
+    rows = [(0, v.tolist()), (1, (v + 1e-9).tolist()), (2, rng.normal(size=64).tolist())]
+    classes = spark.createDataFrame([(i, "x", 64, x, 1) for i, x in rows], "cid long, label string, width int, vector array<double>, many long")
+    found = {r.cid: [g.bucket for g in r.groups] for r in neardup.shared_buckets(classes, 4, 3).collect()}
+    pairs = [g for g in found[0] if g in found[1] and g not in found.get(2, [])]
+    assert len(pairs) == 1 and set(found) <= {0, 1, 2}
+
+
 def test_embedding_recall_at_the_threshold():
     rng = np.random.default_rng(3)
     a = rng.normal(size=(4000, 64))
