@@ -90,7 +90,8 @@ def unit(values: np.ndarray) -> np.ndarray:
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if width else np.empty((len(column), 0))
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64).reshape(-1, width) if width else np.empty((len(column), 0))
 
 
 def padded(lists: pa.Array) -> np.ndarray:
@@ -207,9 +208,10 @@ def embedding_components(
     no bucket in any table (at cosine 0.98 and 64 dimensions none of 20,000 in the measure).
     """
     ok = usable(vectors, id_col, vector_col, label_col)
+    number = "float" if "array<float>" == vectors.select(vector_col).dtypes[0][1] else "double"  # no wider than given
     rows = vectors.select(
         F.col(id_col).alias("id"), F.when(ok, F.col(label_col).cast("string")).alias("label"),
-        F.when(ok, F.transform(F.col(vector_col).cast("array<double>"), lambda x: x + F.lit(0.0))).alias("vector"),
+        F.when(ok, F.transform(F.col(vector_col).cast(f"array<{number}>"), lambda x: x + F.lit(0.0).cast(number))).alias("vector"),
     )
     classes = written(
         rows.where(F.col("vector").isNotNull()).groupBy("label", "vector").agg(F.min("id").alias("least"), F.count("*").alias("many"))
