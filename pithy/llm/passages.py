@@ -37,6 +37,8 @@ LONG_MARK = 65535
 PART = 1 << 16
 SORT_BYTES = 8 << 20
 HELD_BYTES = 24 << 20
+BUCKETS_A_TASK = 8
+BUCKET_BYTES = 16 << 20  # text whose hashes a bucket holds
 NO_ID = np.iinfo(np.int64).max  # a null id comes after all others
 
 
@@ -372,7 +374,8 @@ def records(names: list[str], *columns) -> pa.RecordBatch:
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
-    block_bytes: int = 4 << 20, buckets: int | None = None, sorted_contents: int = SORTED, many: int = MANY,
+    block_bytes: int = 4 << 20, buckets: int | None = None, bucket_bytes: int = BUCKET_BYTES,
+    sorted_contents: int = SORTED, many: int = MANY,
 ) -> DataFrame:
     """(id_col, n_bytes, spans, kept) for every row: what each text's UTF-8 bytes keep.
 
@@ -383,17 +386,19 @@ def remove_repeats(
     other's text; a null id counts as greater than all others. Other columns are
     ignored; an empty table gives an empty result.
 
-    buckets: how finely hashes are dealt, by default eight per shuffle partition; a
-    bucket is held by one task at a time. On large clusters raise `block_bytes` with
-    it, so that a block still sends many hashes to each bucket. sorted_contents and
-    many: see SORTED and MANY; they move work, not results.
+    buckets: how finely hashes are dealt, by default one per `bucket_bytes` of text,
+    eight per shuffle partition at least; a task holds one bucket at a time, of a
+    size that does not grow with the input, and sees some eight. On large clusters raise
+    `block_bytes`, so that a block still sends many hashes to each bucket. sorted_contents
+    and many: see SORTED and MANY; all of these move work, not results.
     """
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
     spark = docs.sparkSession
-    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = written_by(
-        blocks_of(docs, id_col, text_col, block_bytes), "block", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = written_by(blocks_of(docs, id_col, text_col, block_bytes), "block", parts)
+    buckets = buckets or max(BUCKETS_A_TASK * parts, blocks.count() * block_bytes // bucket_bytes)
+    tasks = max(parts, buckets // BUCKETS_A_TASK)
     sent = ["bucket", "block", "blob"]
 
     def list_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,7 +471,7 @@ def remove_repeats(
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()),
                 ], [id_col, "n_bytes", "spans", "kept"])
 
-    by_bucket = lambda df: df.repartition("bucket").sortWithinPartitions("bucket")
+    by_bucket = lambda df: df.repartition(*([tasks] if tasks > parts else []), "bucket").sortWithinPartitions("bucket")
     flags = by_bucket(blocks.mapInArrow(list_hashes, "bucket long, block long, blob binary")).mapInArrow(
         judge, "bucket long, block long, blob binary")
     flags = written(flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "blob")).alias("flags")), "flags")
