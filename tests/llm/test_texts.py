@@ -53,7 +53,7 @@ def plain_removal(rows, length=50):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("options", [{}, {"sorted_contents": 3}, {"sorted_contents": 3, "many": 9}])
+@pytest.mark.parametrize("options", [{}, {"sorted_contents": 3}, {"sorted_contents": 3, "many": 9}, {"bucket_bytes": 500}])
 def test_remove_repeats(spark, options):
     random.seed(len(options))
     base = "".join(random.choices("abcdé ", k=1500))
