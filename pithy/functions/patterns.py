@@ -41,6 +41,8 @@ ABBREVIATIONS = (
 # What may open the next sentence, and the literal that reads as a dot.
 SENTENCE_OPENER = r"""[A-Z"'(]"""
 DOT_LITERAL = "<<DOT>>"
+# Stands between sentences while a text is split; texts that hold it go another way.
+MARK = "\x00"
 
 # Phrases and openings that mark a paragraph as page furniture.
 CHROME_PHRASES = (

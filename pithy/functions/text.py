@@ -174,11 +174,21 @@ def split_sentences(text: Column) -> Column:
     terminator closes an abbreviation.
     """
     abbreviation = "|".join(a[:-1].replace(".", r"\.") for a in P.ABBREVIATIONS)
-    boundary = rf"(?<=[.!?])(?<!(?:{abbreviation})\.){P.WS}+(?={P.SENTENCE_OPENER})"
-    parts = F.filter(F.split(text, boundary), lambda part: strip(part) != "")
-    return F.transform(
-        parts, lambda part: strip(F.replace(part, F.lit(P.DOT_LITERAL), F.lit(".")))
-    )
+    opener = f"{P.WS}++(?={P.SENTENCE_OPENER})"
+    boundary = rf"(?<=[.!?])(?<!(?:{abbreviation})\.){opener}"
+    # Terminators are found faster when they are matched than when they are looked back at from every character.
+    marked = rf"([.!?])(?<!(?:{abbreviation})\.){opener}"
+
+    def split(t: Column) -> Column:
+        quick = F.split(F.regexp_replace(t, marked, f"$1{P.MARK}"), P.MARK)
+        return bind(F.array_remove(F.when(t.contains(P.MARK), F.split(t, boundary)).otherwise(quick), ""), dots)
+
+    def dots(parts: Column) -> Column:
+        has = F.exists(parts, lambda part: part.contains(P.DOT_LITERAL))
+        return F.when(has, F.transform(parts, lambda part: F.replace(part, F.lit(P.DOT_LITERAL), F.lit(".")))).otherwise(parts)
+
+    # Sentences begin with an opener and end with a terminator: only the text's own ends need stripping.
+    return bind(strip(text), split)
 
 
 def join_sentences(sentences: Column) -> Column:

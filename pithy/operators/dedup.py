@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pithy.functions import patterns as P
 from pithy.functions import text
 from pithy.session import written
 
@@ -18,7 +19,8 @@ def deduplicate(df: DataFrame, article_col: str = "article", id_col: str = "id")
     """
     key = F.lower(text.strip(F.coalesce(F.col(article_col), F.lit(""))))
     digest = F.unhex(F.sha2(key, 256))
-    rows = df.where(key != "")
+    # As a search for one visible character, so that a blank text is told without stripping a copy of it.
+    rows = df.where(F.col(article_col).rlike(f"[^{P.WS_RANGES}]"))
     slim = rows.select(digest.alias("_digest"), F.col(id_col).alias("_id")).groupBy("_digest", "_id").agg(F.count("*").alias("_n"))
     repeated = slim.groupBy("_digest").agg(
         F.sum("_n").alias("_all"), F.min("_id").alias("_least"), F.bool_or(F.col("_id").isNull()).alias("_null")

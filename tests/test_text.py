@@ -76,7 +76,7 @@ def test_split_sentences(spark):
 
 def test_sentences_counts_and_cleaning_on_random_text(spark):
     rng = random.Random(11)
-    pieces = [*"ab AZ.!?\n\t\"'(\x1c\u00a0é", "<<DOT>>", "Mr.", "U.S.", "etc. ", ". A", "read more", "click here to "]
+    pieces = [*"ab AZ.!?\x00\n\t\"'(\x1c\u00a0é", "<<DOT>>", "Mr.", "U.S.", "etc. ", ". A", "read more", "click here to "]
     values = ["".join(rng.choices(pieces, k=rng.randint(0, 40))) for _ in range(4000)]
     assert run(spark, text.split_sentences, values) == [scanned_sentences(v) for v in values]
     assert run(spark, text.word_count, values) == [len(v.split()) for v in values]
