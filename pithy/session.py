@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,13 +40,55 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/pithy-checkpoint"
 
 
+JOB = "pithy.job"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def table_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: the running job's folder under `checkpoint_root`, or that itself outside any job."""
+    job = spark.conf.get(JOB, None)
+    return f"{checkpoint_root(spark)}/{job}" if job else checkpoint_root(spark)
+
+
+def table_name(spark: SparkSession) -> str:
+    """A new name for an intermediate table of the catalog, which begins with the running job's."""
+    return f"{spark.conf.get(JOB, None) or 'pithy'}_{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """A block whose intermediate tables go to a folder of their own, which is removed at its end, failed or not.
+
+    For jobs that write their results inside the block: a result not yet written still
+    reads the tables. A block inside another is part of it. The Arrow batch size, which
+    operators on whole texts lower, is set back as well. A driver that is killed leaves its folder.
+    The job belongs to the session: jobs that run at the same time need sessions of their own (`spark.newSession()`).
+    """
+    if spark.conf.get(JOB, None):
+        yield
+        return
+    name = f"pithy_job_{uuid.uuid4().hex}"
+    batch_rows = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(JOB, name)
+    folder = table_folder(spark)
+    try:
+        yield
+    finally:
+        spark.conf.unset(JOB)
+        spark.conf.set(BATCH_ROWS, batch_rows)
+        for table in spark.catalog.listTables(pattern=f"{name}_*"):
+            spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives the optimizer the
     table's true size for its choice of joins.
     """
-    path = f"{checkpoint_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{table_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

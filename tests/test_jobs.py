@@ -3,13 +3,15 @@
 import json
 import shutil
 import warnings
+from contextlib import nullcontext
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from pithy.operators import quality
 from pithy.plans.run_all import run_all
-from pithy.session import checkpoint_root, spread
+from pithy.session import BATCH_ROWS, checkpoint_root, job, spread, table_folder, table_name, written
 from pithy.sources import readers, sinks
 from pithy.sources.harmonise import SPECS, CorpusSpec, harmonise, read_with_row_keys, union_corpora
 from pithy.streaming.digest import digest_pages, start_page_digest
@@ -222,6 +224,34 @@ def test_a_killed_run_leaves_the_results_before_it(spark, tmp_path, corpus, monk
     assert again["method_summary"].startswith(sinks.current_run(spark, out)) and again != first
 
 
+def test_a_job_removes_its_intermediate_tables(spark):
+    root = checkpoint_root(spark)
+    left, rows = written(spark.range(3), "outside"), spark.conf.get(BATCH_ROWS)
+    for fails in (False, True):
+        with pytest.raises(ZeroDivisionError) if fails else nullcontext(), job(spark):
+            folder = table_folder(spark)
+            assert folder != root and written(spark.range(5), "inside").count() == 5
+            with job(spark):
+                spark.conf.set(BATCH_ROWS, 7)
+                assert table_folder(spark) == folder
+            assert Path(folder.removeprefix("file:")).exists()
+            name = table_name(spark)
+            spark.range(2).write.option("path", f"{folder}/{name}").saveAsTable(name)
+            if fails:
+                1 / 0
+        assert not Path(folder.removeprefix("file:")).exists() and table_folder(spark) == root and not spark.catalog.tableExists(name)
+        assert spark.conf.get(BATCH_ROWS) == rows
+    assert left.count() == 3
+
+
+def test_run_all_leaves_no_intermediate_tables(spark, tmp_path, corpus):
+    corpus.write.parquet(str(tmp_path / "in.parquet"))
+    written(corpus, "before")
+    before = sorted(p.name for p in Path(checkpoint_root(spark).removeprefix("file:")).iterdir())
+    run_all(spark, str(tmp_path / "in.parquet"), str(tmp_path / "out"), ["lead_3"], variants=("rouge1",))
+    assert sorted(p.name for p in Path(checkpoint_root(spark).removeprefix("file:")).iterdir()) == before
+
+
 def test_run_all_quarantines_or_raises(spark, tmp_path, corpus):
     bad = corpus.union(spark.createDataFrame([(99, "wire", " ", "x")], corpus.schema)).drop("id")
     bad.write.json(str(tmp_path / "in.jsonl"))
