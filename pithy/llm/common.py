@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,16 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pithy.session import checkpoint_root, written
-
-
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+from pithy.session import BATCH_ROWS, table_folder, table_name, written
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Sends whole texts to Python in batches of at most `rows`, unless the session already has smaller ones.
 
-    Spark's 10,000 suit short rows; of texts they fill tens of megabytes on both sides.
+    Spark's 10,000 suit short rows; of texts they fill tens of megabytes on both sides. The setting
+    stays, since results run later; the end of a `session.job` sets it back.
     """
     if int(spark.conf.get(BATCH_ROWS)) > rows:
         spark.conf.set(BATCH_ROWS, rows)
@@ -35,8 +32,8 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def written_by(df: DataFrame, column: str, buckets: int) -> DataFrame:
     """Write a table bucketed by a column to the shared folder; joins on that column then do not shuffle it."""
-    name = f"pithy_{uuid.uuid4().hex}"
-    path = f"{checkpoint_root(df.sparkSession)}/{name}"
+    name = table_name(df.sparkSession)
+    path = f"{table_folder(df.sparkSession)}/{name}"
     df.write.bucketBy(buckets, column).option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
 
