@@ -68,8 +68,8 @@ def scores(spark: SparkSession, sf: str, variants=("rouge1",)) -> DataFrame:
     return ev.score_methods(pairs(spark, sf), variants=variants, **EXACT)
 
 
-def weights(spark: SparkSession, sf: str) -> DataFrame:
-    return tfidf.sentence_weights(sentences(spark, sf))
+def weights(spark: SparkSession, sf: str, packed: bool = False) -> DataFrame:
+    return tfidf.sentence_weights(sentences(spark, sf), packed=packed)
 
 
 # --- text ---
@@ -212,11 +212,11 @@ def tfidf_weights(spark, sf):
 
 
 def sentence_strength(spark, sf):
-    return rounded(tfidf.sentence_strength(weights(spark, sf)), "strength")
+    return rounded(tfidf.sentence_strength(weights(spark, sf, packed=True)), "strength")
 
 
 def lead_similarity(spark, sf):
-    return rounded(tfidf.similarity_to(weights(spark, sf), 0), "similarity")
+    return rounded(tfidf.similarity_to(weights(spark, sf, packed=True), 0), "similarity")
 
 
 def pagerank_scores(spark, sf):

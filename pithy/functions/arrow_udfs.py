@@ -62,7 +62,7 @@ def stem_tokens(tokens: Column) -> Column:
         def stem_one(token: str) -> str:
             found = known.get(token)
             if found is None:
-                if len(known) >= 200_000:  # bound the memory, not the result
+                if len(known) >= 50_000:  # bound the memory, not the result
                     known.clear()
                 found = known[token] = porter_stem(token) if len(token) > 3 else token
             return found
@@ -132,20 +132,113 @@ def timed_sentence_ranks(tokens: Column, damping: float, tol: float, max_iter: i
     return score(tokens)
 
 
-def _batch_scores(batch: pa.Array, damping: float, tol: float, max_iter: int) -> pa.Array:
+# Tokens that numpy handles at a time, in whole texts: bounds the scratch memory, not the result.
+PIECE_TOKENS = 100_000
+
+
+def _pieces(batch: pa.Array) -> Iterator[pa.Array]:
+    """Runs of whole rows of an array<array<string>> batch, each of about PIECE_TOKENS tokens or one row."""
+    upto = batch.values.offsets.to_numpy()[batch.offsets.to_numpy()]  # tokens before each row, and before the end
+    at = 0
+    while at < len(batch):
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + PIECE_TOKENS, "right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _coded(batch: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """(sentences per row, sentence of each token, code of each token, the distinct tokens)."""
     sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
     sentences = batch.flatten()
     per_sentence = pc.list_value_length(sentences).to_numpy(zero_copy_only=False)
     words = sentences.flatten().dictionary_encode()
-    scores = _rank_batch(
-        sizes,
-        np.repeat(np.arange(len(per_sentence)), per_sentence),
-        words.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-        max(1, len(words.dictionary)),
-        damping, tol, max_iter,
+    sent = np.repeat(np.arange(len(per_sentence)), per_sentence)
+    return sizes, sent, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
+
+
+def _lists(lengths: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), values)
+
+
+def _batch_scores(batch: pa.Array, damping: float, tol: float, max_iter: int) -> pa.Array:
+    done = [pa.array([], pa.list_(pa.float64()))]
+    for piece in _pieces(batch):
+        sizes, sent, word, known = _coded(piece)
+        scores = _rank_batch(sizes, sent, word, max(1, len(known)), damping, tol, max_iter)
+        done.append(_lists(sizes, pa.array(scores, pa.float64())))
+    return pa.concat_arrays(done)
+
+
+CELLS = "array<struct<si: int, token: string, tf: bigint, df: bigint, weight: double>>"
+
+
+def weight_cells(tokens: Column) -> Column:
+    """The TF-IDF cells of every text, from its sentences' weight tokens: one per sentence and distinct token."""
+
+    @F.arrow_udf(CELLS)
+    def cells(batch: pa.Array) -> pa.Array:
+        return pa.concat_arrays([_piece_cells(piece) for piece in _pieces(batch)] or [_piece_cells(batch)])
+
+    return cells(tokens)
+
+
+def _piece_cells(batch: pa.Array) -> pa.Array:
+    sizes, sent, word, known = _coded(batch)
+    doc, cell_sent, cell_word, tf, df, _, weight = _weigh(sizes, sent, word, max(1, len(known)))
+    first = np.cumsum(sizes) - sizes  # sentences before those of a text
+    cells = pa.StructArray.from_arrays([
+        pa.array(cell_sent - first[doc[cell_sent]], pa.int32()), known.take(pa.array(cell_word)),
+        pa.array(tf, pa.int64()), pa.array(df, pa.int64()), pa.array(weight, pa.float64()),
+    ], ["si", "token", "tf", "df", "weight"])
+    return _lists(np.bincount(doc[cell_sent], minlength=len(sizes)), cells)
+
+
+def strength_of_sentences(cells: Column) -> Column:
+    """Per text the sentences with a word that another one has, with their similarity to all others."""
+
+    @F.arrow_udf("array<struct<si: int, value: double>>")
+    def strength(batch: pa.Array) -> pa.Array:
+        doc, si, term, df, weight = _cells(batch)
+        shared = df > 1
+        total = np.bincount(term, weight)
+        return _by_sentence(len(batch), doc[shared], si[shared], (weight * (total[term] - weight))[shared])
+
+    return strength(cells)
+
+
+def similarity_of_sentences(cells: Column, anchor: int) -> Column:
+    """Per text the sentences that share a word with its sentence `anchor`, with their similarity to that."""
+
+    @F.arrow_udf("array<struct<si: int, value: double>>")
+    def similarity(batch: pa.Array) -> pa.Array:
+        doc, si, term, _, weight = _cells(batch)
+        at = si == anchor
+        of_anchor = np.full(int(term.max(initial=-1)) + 1, np.nan)
+        of_anchor[term[at]] = weight[at]
+        linked = ~at & ~np.isnan(of_anchor[term])
+        return _by_sentence(len(batch), doc[linked], si[linked], (weight * of_anchor[term])[linked])
+
+    return similarity(cells)
+
+
+def _cells(batch: pa.Array) -> tuple[np.ndarray, ...]:
+    """(row, sentence, number of the (row, token) pair, sentences with it, weight) of the cells of a batch."""
+    sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+    si, token, df, weight = (batch.flatten().field(name) for name in ("si", "token", "df", "weight"))
+    words = token.dictionary_encode()
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    term = np.unique(doc * max(1, len(words.dictionary)) + words.indices.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    return doc, si.to_numpy(zero_copy_only=False), term, df.to_numpy(zero_copy_only=False), weight.to_numpy(zero_copy_only=False)
+
+
+def _by_sentence(rows: int, doc: np.ndarray, si: np.ndarray, share: np.ndarray) -> pa.Array:
+    """The shares summed by row and sentence, as a list per row."""
+    width = int(si.max(initial=0)) + 1
+    keys, at = np.unique(doc * width + si, return_inverse=True)
+    sums = pa.StructArray.from_arrays(
+        [pa.array(keys % width, pa.int32()), pa.array(np.bincount(at, share, len(keys)), pa.float64())], ["si", "value"]
     )
-    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(scores, pa.float64()))
+    return _lists(np.bincount(keys // width, minlength=rows), sums)
 
 
 def within_tokens(texts: list[str], tokenizer, most: int | None) -> list[str]:
@@ -156,6 +249,23 @@ def within_tokens(texts: list[str], tokenizer, most: int | None) -> list[str]:
     return [t if len(e.ids) <= most else t[: e.offsets[most - 1][1] if most else 0] for t, e in zip(texts, found)]
 
 
+def _weigh(sizes, sent, word, n_words):
+    """(document of a sentence; sentence, word, tf, df, number of the (document, word) pair and weight of a cell).
+
+    sizes: sentences per document; sent, word: one entry per token. Cells are distinct
+    (sentence, word); their weights are TF-IDF, L2-normalised by sentence.
+    """
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    n = sizes[doc].astype(float)
+    cells, tf = np.unique(sent * n_words + word, return_counts=True)
+    cell_sent, cell_word = cells // n_words, cells % n_words
+    _, term, df = np.unique(doc[cell_sent] * n_words + cell_word, return_inverse=True, return_counts=True)
+    df = df[term]
+    weight = tf * (np.log((1 + n[cell_sent]) / (1 + df)) + 1)
+    weight /= np.sqrt(np.bincount(cell_sent, weight**2, len(doc)))[cell_sent]
+    return doc, cell_sent, cell_word, tf, df, term, weight
+
+
 def _rank_batch(sizes, sent, word, n_words, damping, tol, max_iter):
     """Power iteration over many documents at once, one block per document.
 
@@ -164,20 +274,11 @@ def _rank_batch(sizes, sent, word, n_words, damping, tol, max_iter):
     product is never formed, so time and memory follow the tokens, not the pairs.
     """
     n_sent = int(sizes.sum())
-    doc = np.repeat(np.arange(len(sizes)), sizes)  # document of a sentence
+    doc, cell_sent, _, _, df, term, weight = _weigh(sizes, sent, word, n_words)
     n = sizes[doc].astype(float)
 
-    # Count: cells are distinct (sentence, word), terms distinct (document, word).
-    cells, tf = np.unique(sent * n_words + word, return_counts=True)
-    cell_sent = cells // n_words
-    _, term, df = np.unique(
-        doc[cell_sent] * n_words + cells % n_words, return_inverse=True, return_counts=True
-    )
-    weight = tf * (np.log((1 + n[cell_sent]) / (1 + df[term])) + 1)
-    weight /= np.sqrt(np.bincount(cell_sent, weight**2, n_sent))[cell_sent]
-
     # A word of one sentence links nothing: dropping it leaves exact zeros.
-    shared = df[term] > 1
+    shared = df > 1
     cell_sent, term, weight = cell_sent[shared], term[shared], weight[shared]
 
     def neighbours(x):

@@ -9,17 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pithy.session import BATCH_ROWS, table_folder, table_name, written
-
-
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Sends whole texts to Python in batches of at most `rows`, unless the session already has smaller ones.
-
-    Spark's 10,000 suit short rows; of texts they fill tens of megabytes on both sides. The setting
-    stays, since results run later; the end of a `session.job` sets it back.
-    """
-    if int(spark.conf.get(BATCH_ROWS)) > rows:
-        spark.conf.set(BATCH_ROWS, rows)
+from pithy.session import small_batches as small_batches  # the operators take it from here
+from pithy.session import table_folder, table_name, written
 
 
 def free_name(df: DataFrame, name: str) -> str:

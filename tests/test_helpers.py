@@ -123,3 +123,22 @@ def test_large_document_stays_linear():
     """20,000 sentences that all share a word: their pairs would be 400 million."""
     scores = rank([[["common", f"w{i % 5000}"] for i in range(20_000)]])
     assert len(scores) == 20_000 and math.isclose(scores.sum(), 1, abs_tol=1e-6)
+
+
+def test_ranks_and_cells_do_not_depend_on_the_pieces(monkeypatch):
+    from pithy.functions import arrow_udfs
+    rows = [[["a", "b"], ["b", "c"], []], None, [], [["a", "a", "d"], ["d"]], [["b"], ["b"], ["c", "b"]]] * 3
+    batch = pa.array(rows, pa.list_(pa.list_(pa.string())))
+    made = []
+    for tokens in (100_000, 3, 1):
+        monkeypatch.setattr(arrow_udfs, "PIECE_TOKENS", tokens)
+        pieces = list(arrow_udfs._pieces(batch.slice(2)))
+        assert sum(len(p) for p in pieces) == len(batch) - 2 and (tokens > 3 or len(pieces) > 3)
+        cells = pa.concat_arrays([arrow_udfs._piece_cells(p) for p in pieces]).to_pylist()
+        scores = arrow_udfs._batch_scores(batch.slice(2), 0.85, 1e-4, 200).to_pylist()
+        made.append((cells, scores))
+    assert len(made[0][0]) == len(batch) - 2
+    for cells, scores in made[1:]:
+        assert [[(c["si"], c["token"], c["tf"], c["df"], round(c["weight"], 9)) for c in row] for row in cells] == [
+            [(c["si"], c["token"], c["tf"], c["df"], round(c["weight"], 9)) for c in row] for row in made[0][0]]
+        assert [[round(s, 9) for s in row] for row in scores] == [[round(s, 9) for s in row] for row in made[0][1]]
