@@ -110,6 +110,38 @@ def test_similarity_tables_agree_with_pairs(spark):
             assert lead.get(key, 0) == pytest.approx(cosine(vector, vectors[(key[0], 0)]))
 
 
+def test_weights_are_computed_in_their_rows(spark):
+    """One shuffle and one sort, of texts and not of words; packed and long tables say the same."""
+    df = sentence_table(spark)
+    packed = tfidf.sentence_weights(df, packed=True)
+    weights = tfidf.sentence_weights(df)
+    for made in (weights, tfidf.sentence_strength(packed), tfidf.similarity_to(packed)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and "Aggregate" not in plan
+    long = weights.localCheckpoint()
+    for of in (tfidf.sentence_strength, tfidf.similarity_to):
+        one, two = ({(r[0], r[1]): r[2] for r in of(w).collect()} for w in (packed, long))
+        assert one and one == pytest.approx(two)
+    assert [(c, t) for c, t in weights.dtypes] == [
+        ("id", df.dtypes[0][1]), ("n_sentences", "int"), ("si", "int"), ("token", "string"), ("tf", "bigint"), ("df", "bigint"), ("weight", "double")]
+
+
+def test_null_and_empty_sentences_weigh_nothing(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, [None, "Alpha beta.", "Beta beta."]), (4, ["the of"])], "id long, sentences array<string>")
+    rows = {(r["id"], r["si"], r["token"]): (r["tf"], r["df"]) for r in tfidf.sentence_weights(df).collect()}
+    assert rows == {(3, 1, "alpha"): (1, 1), (3, 1, "beta"): (1, 2), (3, 2, "beta"): (2, 2)}
+
+
+def test_summaries_go_to_python_in_small_batches(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    try:
+        S.add_summaries(texts(spark, ARTICLE))
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_default_stop_words_are_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
     known = StopWordsRemover.loadDefaultStopWords("english")
