@@ -49,9 +49,10 @@ def ngrams(tokens: Column, n: int) -> Column:
 
 
 def numbered(items: Column) -> Column:
-    """Tell equal items apart by their occurrence number: a, b, a -> a#0, a#1, b#0.
+    """Tell equal items apart: the first of each as it is, further ones by their number. Items hold no NUL.
 
-    Sorts once and walks the runs of equal items, so the cost is n log n.
+    a, b, a, a -> a, b, a + NUL + 0, a + NUL + 1. Sorts once; only the further ones, few in a text,
+    are walked run by run, so the cost is n log n.
     """
 
     def number_runs(ordered: Column) -> Column:
@@ -65,7 +66,7 @@ def numbered(items: Column) -> Column:
                 at,
                 lambda p, j: F.transform(
                     F.sequence(F.lit(0), F.coalesce(F.get(at, j + 1), F.size(ordered)) - p - 1),
-                    lambda k: F.concat_ws("#", F.get(ordered, p), k),
+                    lambda k: F.concat_ws("\x00", F.get(ordered, p), k),
                 ),
             )
             return F.flatten(runs)
@@ -74,7 +75,11 @@ def numbered(items: Column) -> Column:
             F.array().cast("array<string>")
         )
 
-    return bind(F.sort_array(items), number_runs)
+    def tell_apart(ordered: Column) -> Column:
+        further = F.filter(ordered, lambda item, i: (i > 0) & (item == F.get(ordered, i - 1)))
+        return F.concat(F.array_distinct(ordered), bind(further, number_runs))
+
+    return bind(F.sort_array(items), tell_apart)
 
 
 def multiset_overlap(left: Column, right: Column) -> Column:

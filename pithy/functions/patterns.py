@@ -11,6 +11,9 @@ WS_RANGES = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WS = f"[{WS_RANGES}]"
+# The same characters as Java tells them apart fastest: most others fall outside three ranges.
+WS_NEAR = r"\x00-\x20\x{85}-\x{a0}\x{1680}-\x{3000}"
+WS_JAVA = f"[{WS_NEAR}&&{WS}]"
 WS_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -19,6 +22,7 @@ WS_CHARS = (
 
 # Control characters that cleaning turns into spaces.
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
+CONTROL_JAVA = rf"[\x00-\x1f\x7f&&{CONTROL}]"
 
 # Two or more line breaks with blanks only between them.
 BLANK_LINES = r"(?Ud)\n(?:[^\S\n]*+\n)++"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -24,7 +25,7 @@ def clean_cell(value: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words."""
-    return F.size(F.array_remove(F.split(text, f"{P.WS}+"), ""))
+    return F.size(F.array_remove(F.split(text, f"{P.WS_JAVA}+"), ""))
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -32,20 +33,23 @@ def collapse_spaces(text: Column) -> Column:
 
     Single plain spaces, the usual case, do not match and are not rewritten.
     """
-    other = P.WS.replace(r"\x1c-\x20", r"\x1c-\x1f")
-    return F.btrim(F.regexp_replace(text, f"{other}{P.WS}*| {P.WS}+", " "), F.lit(" "))
+    # One class first, which letters fail at once: a space is let through where another character follows.
+    return F.trim(F.regexp_replace(text, f"{P.WS_JAVA}(?:(?<! ){P.WS_JAVA}*+|{P.WS_JAVA}++)", " "))
 
 
 def nfkc(text: Column) -> Column:
     """Unicode NFKC; only texts that may change leave the JVM."""
-    # ASCII is told apart first: the wide class is slow to test on every character.
-    unstable = F.when(text.rlike(rf"[^\x00-\x7f](?<=[^{P.NFKC_STABLE}])"), text)
+    # ASCII is told apart first, by bytes and by character: the wide class is slow to test on every character.
+    wide = F.octet_length(text) > F.length(text)
+    unstable = F.when(wide & text.rlike(rf"[^\x00-\x7f](?<=[^{P.NFKC_STABLE}])"), text)
     return F.coalesce(arrow_udfs.nfkc(unstable), text)
 
 
 def drop_boilerplate(text: Column) -> Column:
     text = F.regexp_replace(text, P.BLANK_LINES, "\n\n")
     for java_flags, _, pattern in P.BOILERPLATE:
+        # The letter is matched before the word's begin is looked for: most characters fail at once.
+        pattern = re.sub(r"^\\bc", lambda _: r"(?-iu:[cC])(?<=\b.)", pattern)
         text = F.regexp_replace(text, f"(?{java_flags}){pattern}", "")
     return text
 
@@ -56,7 +60,7 @@ def normalize_article(text: Column) -> Column:
     Case and punctuation stay. Line starts still exist when boilerplate goes.
     """
     text = nfkc(F.coalesce(text.cast("string"), F.lit("")))
-    return collapse_spaces(drop_boilerplate(F.regexp_replace(text, P.CONTROL, " ")))
+    return collapse_spaces(drop_boilerplate(F.regexp_replace(text, P.CONTROL_JAVA, " ")))
 
 
 def tag_of(names: str) -> str:
@@ -174,18 +178,18 @@ def split_sentences(text: Column) -> Column:
     terminator closes an abbreviation.
     """
     abbreviation = "|".join(a[:-1].replace(".", r"\.") for a in P.ABBREVIATIONS)
-    opener = f"{P.WS}++(?={P.SENTENCE_OPENER})"
+    opener = f"{P.WS_JAVA}++(?={P.SENTENCE_OPENER})"
     boundary = rf"(?<=[.!?])(?<!(?:{abbreviation})\.){opener}"
     # Terminators are found faster when they are matched than when they are looked back at from every character.
     marked = rf"([.!?])(?<!(?:{abbreviation})\.){opener}"
 
     def split(t: Column) -> Column:
         quick = F.split(F.regexp_replace(t, marked, f"$1{P.MARK}"), P.MARK)
-        return bind(F.array_remove(F.when(t.contains(P.MARK), F.split(t, boundary)).otherwise(quick), ""), dots)
+        parts = F.array_remove(F.when(t.contains(P.MARK), F.split(t, boundary)).otherwise(quick), "")
+        return bind(parts, lambda p: F.when(t.contains(P.DOT_LITERAL), dots(p)).otherwise(p))
 
     def dots(parts: Column) -> Column:
-        has = F.exists(parts, lambda part: part.contains(P.DOT_LITERAL))
-        return F.when(has, F.transform(parts, lambda part: F.replace(part, F.lit(P.DOT_LITERAL), F.lit(".")))).otherwise(parts)
+        return F.transform(parts, lambda part: F.replace(part, F.lit(P.DOT_LITERAL), F.lit(".")))
 
     # Sentences begin with an opener and end with a terminator: only the text's own ends need stripping.
     return bind(strip(text), split)

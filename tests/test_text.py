@@ -134,3 +134,14 @@ def test_domain(spark):
 def test_tokens(spark):
     assert run(spark, text.score_tokens, ["It's 3.5% Élan-x!", ""]) == [["it", "s", "3", "5", "lan", "x"], []]
     assert run(spark, lambda c: text.weight_tokens(c, ("the",)), ["The a_b x Élan 42", "the"]) == [["a_b", "élan", "42"], []]
+
+
+def test_quick_classes_hold_the_same_characters(spark):
+    """The classes written for Java's matcher, over all of the basic plane, and no word begin looked for at every character."""
+    chars = spark.range(1, 0x10000).where("id < 55296 or id > 57343").selectExpr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') as c")
+    for quick, known in ((P.WS_JAVA, P.WS), (P.CONTROL_JAVA, P.CONTROL)):
+        assert chars.where(F.col("c").rlike(quick) != F.col("c").rlike(known)).count() == 0
+    df = spark.createDataFrame([("Click here to go. Stay",), ("Aclick here to go. Stay",), ("x COPYRIGHT © me. Stay",), ("éclick here to go. x",)], "t string")
+    made = df.select(text.drop_boilerplate(F.col("t")).alias("t"))
+    assert [r.t for r in made.collect()] == [" Stay", "Aclick here to go. Stay", "x  Stay", "éclick here to go. x"]
+    assert r"\bclick" not in made._jdf.queryExecution().executedPlan().toString()
