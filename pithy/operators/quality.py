@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pithy.functions import patterns as P
 from pithy.functions import text
 from pithy.functions.arrays import compute_once
 from pithy.session import written
@@ -73,9 +74,23 @@ def quarantine(df: DataFrame, cols: Columns = DEFAULT) -> tuple[DataFrame, DataF
     return good, checked.where("reject_reason is not null")
 
 
+def _blank(value: Column) -> Column:
+    """True for texts without a word, null included."""
+    return ~F.coalesce(value.cast("string"), F.lit("")).rlike(f"[^{P.WS_RANGES}]")
+
+
 def offenders(df: DataFrame, reason: str, cols: Columns = DEFAULT, n: int = 5) -> DataFrame:
-    """The first n rows (by id) rejected for a reason, as an error message lists them."""
-    bad = add_checks(df, cols).where(F.col("reject_reason") == reason)
+    """The first n rows (by id) rejected for a reason, as an error message lists them.
+
+    A blank text is told by its first visible character: only the other reasons need word counts.
+    """
+    check_columns(df, cols)
+    if "reject_reason" not in df.columns and reason in ("empty_article", "empty_summary"):
+        article, summary = (_blank(F.col(c)) for c in (cols.article, cols.summary))
+        bad = df.where(article if reason == "empty_article" else ~article & summary)
+        bad = bad.where(F.col(CORRUPT).isNull()) if CORRUPT in df.columns else bad
+    else:
+        bad = add_checks(df, cols).where(F.col("reject_reason") == reason)
     return bad.select(cols.id).orderBy(cols.id).limit(n)
 
 

@@ -273,3 +273,15 @@ def test_a_profile_reads_the_texts_once(spark, wide_documents):
     report = quality.profile(wide_documents)
     plan = plan_of(report)
     assert "documents" not in plan.replace("Location: InMemoryFileIndex", "") and report.first()["sources"] == 2
+
+
+def test_blank_offenders_are_found_without_counting_words(spark):
+    texts = [None, "", " \t\u00a0\u3000\n", "a", "a b c", "\u200b"]
+    rows = [(i, texts[i % 6], texts[i // 6 % 6], None if i % 5 else "x") for i in range(72)]
+    df = spark.createDataFrame(rows, "id long, article string, highlights string, _corrupt_record string")
+    for given in (df, df.drop("_corrupt_record")):
+        for reason in ("empty_article", "empty_summary"):
+            found = quality.offenders(given, reason, n=100)
+            assert [r.id for r in found.collect()] == [
+                r.id for r in quality.add_checks(given).where(F.col("reject_reason") == reason).orderBy("id").collect()]
+            assert "split(" not in plan_of(found)
