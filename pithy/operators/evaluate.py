@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pithy.functions import text
 from pithy.operators.quality import DEFAULT, Columns
-from pithy.operators.rouge import VARIANTS, add_rouge, check_variants, prepare_tokens
+from pithy.operators.rouge import VARIANTS, add_rouge, check_variants, prepare_tokens, token_columns
 from pithy.operators.split import cap_rows
 from pithy.operators.summarize import Method, add_summaries, choose_methods
 
@@ -23,8 +23,8 @@ def score_methods(
 ) -> DataFrame:
     """One row per article and method: summary, lengths, ROUGE scores, id and source.
 
-    `pairs` holds prepared text. Sentences and reference tokens are computed once
-    per article and shared by all methods; the plan has no shuffle. With `timed`,
+    `pairs` holds prepared text. Sentences and tokens are computed once per article
+    for all methods; the plan has no shuffle. With `timed`,
     elapsed_seconds is the time this run takes for the row's summary, else zero.
     """
     chosen = choose_methods(methods)
@@ -37,14 +37,17 @@ def score_methods(
         F.coalesce(F.col(cols.article).cast("string"), F.lit("")).alias("article"),
         F.coalesce(F.col(cols.summary).cast("string"), F.lit("")).alias("reference_summary"),
     )
-    df = prepare_tokens(df, "reference_summary", "_reference", variants, stem)
     df = df.withColumn("article_length", text.word_count(F.col("article")))
     df = add_summaries(df, chosen, n, timed=timed)
-    wide = [c for c in df.columns if c.startswith(("summary_", "seconds_")) or c == "sentences"]
+    texts = [("reference_summary", "_reference"), *{f"summary_{m.name}": f"_summary_{m.name}" for m in chosen}.items()]
+    df = prepare_tokens(df.drop("sentences"), texts, variants, stem)
+    wide = [c for c in df.columns if c.startswith(("summary_", "_summary_", "seconds_"))]
+    tokens = token_columns("_candidate", variants, stem)
     one = F.explode(F.array(*[
         F.struct(
             F.lit(m.name).alias("method"), F.col(f"summary_{m.name}").alias("summary"),
             (F.col(f"seconds_{m.name}") if timed else F.lit(0.0)).alias("seconds"),
+            *[F.col(own).alias(c) for own, c in zip(token_columns(f"_summary_{m.name}", variants, stem), tokens)],
         )
         for m in chosen
     ]))
@@ -52,12 +55,13 @@ def score_methods(
         df.withColumn("_one", one)
         .withColumns({
             "method": F.col("_one.method"), "generated_summary": F.col("_one.summary"), "elapsed_seconds": F.col("_one.seconds"),
+            **{c: F.col("_one")[c] for c in tokens},
         })
         .drop("_one", *wide)
         .withColumn("summary_length", text.word_count(F.col("generated_summary")))
     )
     scored = add_rouge(
-        df, "reference_summary", "generated_summary", variants, stem, tokens_of_reference="_reference"
+        df, "reference_summary", "generated_summary", variants, stem, "_reference", "_candidate"
     )
     head = ["method", "article", "reference_summary", "generated_summary", "summary_length",
             "elapsed_seconds"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pithy.functions.arrays import compute_once, multiset_overlap, ngrams, numbered
 from pithy.operators import evaluate as ev
-from pithy.operators.rouge import VARIANTS, add_rouge
+from pithy.operators.rouge import VARIANTS, add_rouge, prepare_tokens
 from pithy.operators.summarize import model_method
 
 
@@ -114,3 +114,24 @@ def test_compute_once_survives_the_optimizer(spark, corpus):
     assert "Exchange" not in plan and "Join" not in plan
     once = compute_once(spark.range(3), {"x": F.col("id") * 2})
     assert sorted(once.where("x > 0").collect()) == [(1, 2), (2, 4)]
+
+
+def test_texts_of_a_row_are_stemmed_in_one_python_step(spark, corpus):
+    """A task holds a Python worker per step: ranks, stems and subsequences, however many texts and variants."""
+    for variants, steps in ((("rouge2",), 2), (tuple(VARIANTS), 3)):
+        plan = ev.score_methods(corpus, variants=variants)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == steps
+
+
+def test_tokens_made_before_give_the_same_scores(spark):
+    rows = [("Cats sat.\nDogs ran ran.", "The cats sitting"), ("İt sat \x00 here", "sat\n\nİT here"), ("", "x\n"), (None, None), ("\n", "a")]
+    df = frame(spark, rows)
+    variants = tuple(VARIANTS)
+    for stem in (True, False):
+        made = prepare_tokens(df, [("ref", "_r"), ("cand", "_c")], variants, stem)
+        scored = add_rouge(made, "ref", "cand", variants, stem, "_r", "_c")
+        assert scored.columns == add_rouge(df, "ref", "cand", variants, stem).columns
+        alone = add_rouge(df, "ref", "cand", variants, stem).orderBy("id").collect()
+        assert scored.orderBy("id").collect() == alone
+        one = prepare_tokens(df, [("ref", "_r")], variants, stem)
+        assert add_rouge(one, "ref", "cand", variants, stem, "_r").orderBy("id").collect() == alone
