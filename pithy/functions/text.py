@@ -28,6 +28,12 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text, f"{P.WS_JAVA}+"), ""))
 
 
+def has_words(text: Column, n: Column) -> Column:
+    """Whether a text has at least n words; looks no further than those."""
+    # A blank begin is one part more, and the last part is what was not looked at.
+    return F.size(F.array_remove(F.split(text, f"{P.WS_JAVA}+", n + 2), "")) >= n
+
+
 def collapse_spaces(text: Column) -> Column:
     """Every run of white space becomes one space; the ends are stripped.
 
@@ -41,7 +47,7 @@ def nfkc(text: Column) -> Column:
     """Unicode NFKC; only texts that may change leave the JVM."""
     # ASCII is told apart first, by bytes and by character: the wide class is slow to test on every character.
     wide = F.octet_length(text) > F.length(text)
-    unstable = F.when(wide & text.rlike(rf"[^\x00-\x7f](?<=[^{P.NFKC_STABLE}])"), text)
+    unstable = F.when(wide & text.rlike(rf"[\x{{80}}-\x{{10ffff}}&&[^{P.NFKC_STABLE}]]"), text)
     return F.coalesce(arrow_udfs.nfkc(unstable), text)
 
 
@@ -49,11 +55,17 @@ def drop_boilerplate(text: Column) -> Column:
     text = F.regexp_replace(text, P.BLANK_LINES, "\n\n")
     for java_flags, _, pattern in P.BOILERPLATE:
         # The letter is matched before the word's begin is looked for: most characters fail at once.
-        pattern = re.sub(r"^\\bc", lambda _: r"(?-iu:[cC])(?<=\b.)", pattern)
-        text = F.regexp_replace(text, f"(?{java_flags}){pattern}", "")
+        java = f"(?{java_flags})" + re.sub(r"^\\bc", lambda _: r"(?-iu:[cC])(?<=\b.)", pattern)
+        # A sign that few texts hold is found by bytes.
+        text = _replace_where(text, "©", java) if "©" in pattern else F.regexp_replace(text, java, "")
     return text
 
 
+def _replace_where(text: Column, sign: str, pattern: str) -> Column:
+    """Drop what matches; texts without the sign, which every match holds, are not searched."""
+    return bind(text, lambda t: F.when(t.contains(sign), F.regexp_replace(t, pattern, "")).otherwise(t))
+
+
 def normalize_article(text: Column) -> Column:
     """NFKC, control characters, boilerplate, white space - in this order.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pithy.functions import patterns as P
 from pithy.functions import text
-from pithy.functions.arrays import compute_once
+from pithy.functions.arrays import bind, compute_once
 from pithy.session import written
 
 
@@ -68,10 +68,19 @@ def add_checks(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
 
 
 def quarantine(df: DataFrame, cols: Columns = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """The good rows as they were, and the rejected rows with their reason."""
+    """The good rows as they were, and the rejected rows with their reason.
+
+    Of a good row's article no more words are looked for than its summary has.
+    """
     checked = add_checks(df, cols)
-    good = checked.where("reject_reason is null").select(*df.columns)
-    return good, checked.where("reject_reason is not null")
+    rejected = checked.where("reject_reason is not null")
+    if {"reject_reason", "article_words", "summary_words"} & set(df.columns):
+        return checked.where("reject_reason is null").select(*df.columns), rejected
+    article, summary = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (cols.article, cols.summary))
+    fine = bind(text.word_count(summary), lambda n: (n > 0) & text.has_words(article, n))
+    if CORRUPT in df.columns:
+        fine = F.col(CORRUPT).isNull() & fine
+    return compute_once(df, {"reject_reason": fine}).where("reject_reason").select(*df.columns), rejected
 
 
 def _blank(value: Column) -> Column:

@@ -285,3 +285,19 @@ def test_blank_offenders_are_found_without_counting_words(spark):
             assert [r.id for r in found.collect()] == [
                 r.id for r in quality.add_checks(given).where(F.col("reject_reason") == reason).orderBy("id").collect()]
             assert "split(" not in plan_of(found)
+
+
+def test_good_rows_take_no_full_word_count_of_the_article(spark):
+    """They are those without a reason; the article is split up to as many words as the summary has."""
+    words = ["", " ", "a", " a", "a ", "a b", "  a\t\nb ", "a b c", " a b c d", None]
+    rows = [(i * 100 + j, "s", a, h) for i, a in enumerate(words) for j, h in enumerate(words)]
+    df = frame(spark, rows)
+    expected = quality.add_checks(df).where("reject_reason is null")
+    good = quality.quarantine(df)[0]
+    assert good.columns == df.columns and sorted(good.collect(), key=str) == sorted(expected.select(*df.columns).collect(), key=str)
+    parsed = df.withColumn(quality.CORRUPT, F.when(F.col("id") % 2 == 0, "x"))
+    assert {r["id"] for r in quality.quarantine(parsed)[0].collect()} == {r["id"] for r in expected.collect() if r["id"] % 2}
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "article_words" not in plan
+    counted = df.withColumn("article_words", F.lit(7))
+    assert {r["article_words"] for r in quality.quarantine(counted)[0].collect()} <= {1, 2, 3, 4}

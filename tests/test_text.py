@@ -145,3 +145,14 @@ def test_quick_classes_hold_the_same_characters(spark):
     made = df.select(text.drop_boilerplate(F.col("t")).alias("t"))
     assert [r.t for r in made.collect()] == [" Stay", "Aclick here to go. Stay", "x  Stay", "éclick here to go. x"]
     assert r"\bclick" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_has_words(spark):
+    texts = ["", " ", "a", " a", "a ", " a  b ", "a b c", " a\nb"]
+    found = run(spark, lambda c: F.array(*[text.has_words(c, F.lit(n)) for n in range(5)]), texts)
+    assert found == [[len(t.split()) >= n for n in range(5)] for t in texts]
+
+
+def test_copyright_notices_go_only_where_the_sign_is(spark):
+    texts = ["A. COPYRIGHT © 2020 by x. B", "copyright (c) y. B", "© copyright z", "copyright\n©", None]
+    assert run(spark, text.drop_boilerplate, texts) == ["A.  B", "copyright (c) y. B", "© copyright z", "", None]
