@@ -11,7 +11,7 @@ import sys
 import time
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +32,7 @@ def nfkc(text: Column) -> Column:
 
     @F.arrow_udf("string")
     def normalise(batch: pa.Array) -> pa.Array:
-        return pa.array(
-            [t and unicodedata.normalize("NFKC", t) for t in batch.to_pylist()], pa.string()
-        )
+        return _by_row(lambda t: t and unicodedata.normalize("NFKC", t), pa.string(), batch)
 
     return normalise(text)
 
@@ -44,7 +42,7 @@ def unescape_entities(text: Column) -> Column:
 
     @F.arrow_udf("string")
     def decode(batch: pa.Array) -> pa.Array:
-        return pa.array([t and html.unescape(t) for t in batch.to_pylist()], pa.string())
+        return _by_row(lambda t: t and html.unescape(t), pa.string(), batch)
 
     return decode(text)
 
@@ -52,7 +50,7 @@ def unescape_entities(text: Column) -> Column:
 def stem_tokens(tokens: Column) -> Column:
     """Porter-stem the tokens of a space-joined string that have over 3 characters.
 
-    Each distinct token of a batch is looked up once; the strings are rebuilt from those.
+    Each distinct token of a piece is looked up once; the strings are rebuilt from those.
     """
 
     @F.arrow_udf("string")
@@ -67,12 +65,15 @@ def stem_tokens(tokens: Column) -> Column:
                 found = known[token] = porter_stem(token) if len(token) > 3 else token
             return found
 
-        for batch in batches:
-            lists = pc.split_pattern(batch.fill_null(""), " ")
+        def stems(texts: pa.Array) -> pa.Array:
+            lists = pc.split_pattern(texts.fill_null(""), " ")
             coded = lists.flatten().dictionary_encode()
-            stems = pa.array(map(stem_one, coded.dictionary.to_pylist()), pa.string()).take(coded.indices)
-            joined = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, stems), " ")
-            yield pc.if_else(batch.is_valid(), joined, pa.scalar(None, pa.string()))
+            found = pa.array(map(stem_one, coded.dictionary.to_pylist()), pa.string()).take(coded.indices)
+            joined = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, found), " ")
+            return pc.if_else(texts.is_valid(), joined, pa.scalar(None, pa.string()))
+
+        for batch in batches:
+            yield pa.concat_arrays([stems(texts) for (texts,) in _text_pieces(batch)] or [batch])
 
     return stem(tokens)
 
@@ -82,13 +83,7 @@ def lcs_length(reference: Column, candidate: Column) -> Column:
 
     @F.arrow_udf("int")
     def lcs(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array(
-            [
-                None if a is None or b is None else _lcs_bits(a.split(), b.split())
-                for a, b in zip(left.to_pylist(), right.to_pylist())
-            ],
-            pa.int32(),
-        )
+        return _by_row(lambda a, b: None if a is None or b is None else _lcs_bits(a.split(), b.split()), pa.int32(), left, right)
 
     return lcs(reference, candidate)
 
@@ -98,13 +93,7 @@ def union_lcs_hits(reference: Column, candidate: Column) -> Column:
 
     @F.arrow_udf("int")
     def hits(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array(
-            [
-                None if a is None or b is None else _union_hits(a, b)
-                for a, b in zip(left.to_pylist(), right.to_pylist())
-            ],
-            pa.int32(),
-        )
+        return _by_row(lambda a, b: None if a is None or b is None else _union_hits(a, b), pa.int32(), left, right)
 
     return hits(reference, candidate)
 
@@ -139,10 +128,35 @@ PIECE_TOKENS = 100_000
 def _pieces(batch: pa.Array) -> Iterator[pa.Array]:
     """Runs of whole rows of an array<array<string>> batch, each of about PIECE_TOKENS tokens or one row."""
     upto = batch.values.offsets.to_numpy()[batch.offsets.to_numpy()]  # tokens before each row, and before the end
+    for at, rows in _runs(upto, PIECE_TOKENS):
+        yield batch.slice(at, rows)
+
+
+# Bytes of text that become Python strings or tokens at a time, in whole texts: bounds the scratch memory, not the result.
+PIECE_BYTES = 1_000_000
+
+
+def _text_pieces(*columns: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
+    """Runs of whole rows of string columns, each of about PIECE_BYTES or one row."""
+    sizes = sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    for at, rows in _runs(np.concatenate(([0], np.cumsum(sizes + 1))), PIECE_BYTES):
+        yield tuple(c.slice(at, rows) for c in columns)
+
+
+def _by_row(compute: Callable, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """What `compute` makes of each row's texts."""
+    done = [pa.array([], kind)]
+    for piece in _text_pieces(*columns):
+        done.append(pa.array([compute(*row) for row in zip(*(c.to_pylist() for c in piece))], kind))
+    return pa.concat_arrays(done)
+
+
+def _runs(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs whose sums are at most `most`, or of one row; upto: the sum before each row, and before the end."""
     at = 0
-    while at < len(batch):
-        end = max(at + 1, int(np.searchsorted(upto, upto[at] + PIECE_TOKENS, "right")) - 1)
-        yield batch.slice(at, end - at)
+    while at < len(upto) - 1:
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + most, "right")) - 1)
+        yield at, end - at
         at = end
 
 

@@ -1,9 +1,13 @@
+import unicodedata
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pithy.functions import text
+from pithy.functions import arrow_udfs, text
 from pithy.operators import summarize as S
 from pithy.operators import tfidf
+from pithy.session import BATCH_BYTES, BATCH_ROWS, job, small_batches
 
 ARTICLE = (
     "The harbour bridge opened after two years of work. Engineers tested the bridge with heavy lorries. "
@@ -142,6 +146,32 @@ def test_summaries_go_to_python_in_small_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_long_texts_go_to_python_few_at_a_time(spark):
+    """1,000 texts of 100 KB would be 100 MB in every worker: a batch is bounded in bytes as well."""
+    with job(spark):
+        spark.conf.set(BATCH_ROWS, 10_000)
+        spark.conf.set(BATCH_BYTES, "64m")
+        S.add_summaries(texts(spark, ARTICLE))
+        long = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("t"))
+        rows_of_batch = F.arrow_udf(lambda batch: pa.array([len(batch)] * len(batch), pa.int64()), "long")
+        sizes = [r[0] for r in long.select(rows_of_batch("t")).collect()]
+        assert len(sizes) == 300 and max(sizes) <= 100
+        spark.conf.set(BATCH_BYTES, "1m")
+        small_batches(spark)
+        assert spark.conf.get(BATCH_BYTES) == "1m"
+
+
+def test_pieces_of_a_batch_give_the_same_texts(monkeypatch):
+    values = ["ﬁ", None, "", "a" * 50, "½ café", "b"] * 3
+    whole = [v and unicodedata.normalize("NFKC", v) for v in values]
+    for size in (1, 20, 10**6):
+        monkeypatch.setattr(arrow_udfs, "PIECE_BYTES", size)
+        array = pa.array(["dropped", *values]).slice(1)
+        assert arrow_udfs._by_row(lambda t: t and unicodedata.normalize("NFKC", t), pa.string(), array).to_pylist() == whole
+        assert sum(len(piece) for (piece,) in arrow_udfs._text_pieces(array)) == len(values)
+        assert arrow_udfs._by_row(lambda a, b: None, pa.int32(), array.slice(0, 0), array.slice(0, 0)).to_pylist() == []
+
+
 def test_default_stop_words_are_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
     known = StopWordsRemover.loadDefaultStopWords("english")
