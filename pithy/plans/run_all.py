@@ -17,7 +17,7 @@ from pithy.operators import quality as Q
 from pithy.operators import reports as R
 from pithy.operators.split import cap_rows, split_dataset
 from pithy.operators.summarize import Method, choose_methods
-from pithy.session import job, written
+from pithy.session import job, small_batches, written
 from pithy.sources.readers import read_pairs
 from pithy.sources.sinks import commit_run, new_run, read_rows, write_metrics, write_rows, write_summary
 
@@ -38,6 +38,7 @@ def run_all(
     tables are removed at the end.
     """
     with job(spark):
+        small_batches(spark)  # cleaning comes before the summaries, which set it too
         raw = read_pairs(spark, in_path, fmt, label_corrupt=True)
         Q.check_columns(raw, cols)
         if not cols.id or cols.id not in raw.columns:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pithy.operators import quality
 from pithy.plans.run_all import run_all
-from pithy.session import BATCH_ROWS, checkpoint_root, job, spread, table_folder, table_name, written
+from pithy.session import BATCH_BYTES, BATCH_ROWS, checkpoint_root, job, spread, table_folder, table_name, written
 from pithy.sources import readers, sinks
 from pithy.sources.harmonise import SPECS, CorpusSpec, harmonise, read_with_row_keys, union_corpora
 from pithy.streaming.digest import digest_pages, start_page_digest
@@ -244,6 +244,17 @@ def test_a_job_removes_its_intermediate_tables(spark):
     assert left.count() == 3
 
 
+def test_run_all_cleans_in_small_batches(spark, tmp_path, corpus, monkeypatch):
+    corpus.write.parquet(str(tmp_path / "in.parquet"))
+    prepare, seen = quality.prepare, []
+    monkeypatch.setattr(quality, "prepare", lambda *args: seen.append([int(spark.conf.get(BATCH_ROWS)), spark.conf.get(BATCH_BYTES)]) or prepare(*args))
+    with job(spark):
+        spark.conf.set(BATCH_ROWS, 10_000)
+        spark.conf.set(BATCH_BYTES, "64m")
+        run_all(spark, str(tmp_path / "in.parquet"), str(tmp_path / "out"), variants=("rouge1",))
+    assert seen == [[1000, str(8 << 20)]]
+
+
 def test_run_all_leaves_no_intermediate_tables(spark, tmp_path, corpus):
     corpus.write.parquet(str(tmp_path / "in.parquet"))
     written(corpus, "before")
